@@ -50,16 +50,39 @@ FILE_SCHEMA = "path string, first_doc long, first_row long, n_docs long, n_ids l
 DOC = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("n_ids", "<u8"), ("crc", "<u4"), ("n_refs", "<u4")])
 REF = np.dtype([("pack", "<u4"), ("off", "<u8"), ("len", "<u4"), ("n_ids", "<u4"), ("digest", "S32")])
 
-#: Text whose only white space is space and line feed falls into units that start where either follows other text.
-#: No pre-token of a byte-level tokenizer reaches over such a place, so units can be encoded one by one and remembered.
-UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Text of these characters alone can be cut into units: before white space that follows something else, and between a
+#: letter and a character that is neither letter nor space.  Every pre-token of a byte-level tokenizer ends at both
+#: places, so units can be encoded one by one and remembered.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+NOT_PLAIN = re.compile(rf"[^ -~\n{LETTERS}\u00a1-\u00a9\u00ab-\u00b9\u00bb-\u00bf\u2010-\u2027\u2030-\u205e\u20ac]")
+
+
+@functools.lru_cache(1)
+def kinds() -> np.ndarray:
+    """0: space or line feed, 1: letter, 2: other; by the first byte of a character."""
+    kind = np.full(256, 2, np.uint8)
+    kind[[10, 32]] = 0
+    kind[[*range(65, 91), *range(97, 123), *range(0xC3, 0xCA)]] = 1
+    return kind
+
+
+def unit_starts(raw: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Where units start in the UTF-8 bytes of plain texts that start at firsts."""
+    kind = kinds()[raw]
+    inner = np.flatnonzero((raw & 0xC0) == 0x80)
+    for _ in range(2):  # a later byte is of its character's kind
+        kind[inner] = kind[inner - 1]
+    before, now = kind[:-1], kind[1:]
+    is_start = np.zeros(len(raw), bool)
+    np.logical_or((now == 0) & (before != 0), (now == 2) & (before == 1), out=is_start[1:])
+    is_start[firsts] = True
+    return np.flatnonzero(is_start)
 
 
 class Encoder:
     """tokenizers' encoding of whole texts as little-endian 16-bit ids, with a bounded memory of units."""
 
-    def __init__(self, path: str, most_units: int = 400_000):
+    def __init__(self, path: str, most_units: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -67,6 +90,9 @@ class Encoder:
         if self.tok.get_vocab_size() > 1 << 16:
             raise ValueError("16-bit ids are too narrow for this vocabulary")
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.n_bytes = np.zeros(1 << 16, np.int64)  # a byte-level vocabulary writes each byte as one character
+        for token, i in self.tok.get_vocab(with_added_tokens=False).items():
+            self.n_bytes[i] = len(token)
         self.seen: dict[str, bytes] = {}
         self.most = most_units
 
@@ -74,16 +100,59 @@ class Encoder:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u2").tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        units = [None if OTHER_SPACE.search(t) or any(a in t for a in self.added) else UNIT.findall(t) for t in texts]
-        if len(self.seen) > self.most:
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Units that start with white space, encoded as one text and cut where each one's bytes end."""
+        ids = np.array(self.tok.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, dtype="<u2")
+        ends = np.cumsum(self.n_bytes[ids])
+        want = np.cumsum([len(u.encode()) for u in units])
+        cut = np.searchsorted(ends, want)
+        if not len(ends) or not np.array_equal(ends[cut], want):
+            raise ValueError("a token reaches over the start of a unit")
+        raw, last, out = ids.tobytes(), 0, []
+        for c in (2 * (cut + 1)).tolist():
+            out.append(raw[last:c])
+            last = c
+        return out
+
+    def _learn(self, units: list[str]) -> None:
+        if len(self.seen) + len(units) > self.most:
             self.seen.clear()
-        seen = self.seen
-        new = [u for u in set().union(*(x for x in units if x)) if u not in seen]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            seen.update(zip(part, self._plain(part), strict=True))
-        return [self._plain([t])[0] if u is None else b"".join(map(seen.__getitem__, u)) for t, u in zip(texts, units, strict=True)]
+        new = [u for u in units if u not in self.seen]
+        spaced = [u for u in new if u[0] in " \n" and u[-1] not in " \n"]
+        for i in range(0, len(spaced), 2000):
+            part = spaced[i : i + 2000]
+            self.seen.update(zip(part, self._units(part), strict=True))
+        rest = [u for u in new if u not in self.seen]
+        self.seen.update(zip(rest, self._plain(rest), strict=True))
+
+    def _by_units(self, texts: list[str]) -> list[bytes]:
+        """Encodings of texts that are plain and not empty."""
+        coded = [t.encode() for t in texts]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        raw = np.frombuffer(b"".join(coded), np.uint8)
+        firsts = np.cumsum(sizes) - sizes
+        starts = unit_starts(raw, firsts)
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        units = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+        names = units.dictionary.to_pylist()
+        found = list(map(self.seen.get, names))
+        if new := [u for u, x in zip(names, found, strict=True) if x is None]:
+            self._learn(new)
+            found = [self.seen[u] if x is None else x for u, x in zip(names, found, strict=True)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        index = units.indices.to_numpy()
+        n = lengths[index]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(lengths) - lengths)[index] - (ends - n), n) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), "<u2")[at].tobytes()
+        bounds = np.append((2 * (ends - n))[np.searchsorted(starts, firsts)], len(ids)).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [bool(t) and not NOT_PLAIN.search(t) and not any(a in t for a in self.added) for t in texts]
+        by_units = iter(self._by_units([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else ())
+        whole = iter(self._plain([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(by_units if p else whole) for p in plain]
 
 
 @functools.lru_cache(2)
