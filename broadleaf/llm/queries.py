@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_store
+from . import langid, token_store, warc
 from .common import table
 
 
@@ -14,11 +14,31 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_to_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_warc": op4_warc,
     "op5_token_store": op5_token_store,
+    "op7_langid": op7_langid,
+}
+
+SQL: dict[str, str] = {
+    "op4_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d HAVING count(*) > 1)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN page_id > first OR page_id IS NULL AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first OR page_id IS NULL THEN first END AS refers_to
+FROM p LEFT JOIN g ON p.d = g.d
+""",
 }
-SQL: dict[str, str] = {}
