@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, token_store, warc
+from . import langid, quality_rules, token_store, url_filter, warc
 from .common import table
 
 
@@ -14,6 +15,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: (host, path prefix, verdict)
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+#: Hosts with a label of advertising or tracking; the URLs seen on them make the list of op1.
+AD_HOSTS = r"(^|[.-])(ads?|adserver|banner|beacon|pixel|track(er|ing)?)([.-]|$)"
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.where(url_filter.host(F.col("url")).rlike(AD_HOSTS)).select("url")
+    return url_filter.judge(pages, listed, URL_RULES)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -26,13 +45,45 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op4_warc": op4_warc,
     "op5_token_store": op5_token_store,
     "op7_langid": op7_langid,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 SQL: dict[str, str] = {
+    "op1_url_filter": r"""
+WITH p AS (
+  SELECT page_id, url,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') AS query
+  FROM pages),
+q AS (
+  SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT starts_with(x, 'utm_'))), '&') AS kept FROM p),
+c AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/$', '')
+         || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END AS canonical FROM q),
+listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|[.-])(ads?|adserver|banner|beacon|pixel|track(er|ing)?)([.-]|$)')),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM c)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN canonical IN (SELECT canonical FROM listed WHERE canonical IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+""".replace("\\\\", "\\"),
     "op4_warc": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 g AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d HAVING count(*) > 1)
