@@ -42,7 +42,7 @@ from .common import delete, filesystem, new_dir, written
 
 END_ID = 2
 MIN_IDS, MASK_BITS, MAX_IDS, WINDOW_STEPS = 128, 9, 8192, (1, 2, 4, 8, 16)
-SEGMENT_BYTES, RECIPE_IDS = 64 << 20, 8_000_000
+SEGMENT_BYTES, RECIPE_IDS, READ_BYTES = 64 << 20, 8_000_000, 32 << 10
 PACK_MAGIC, RECIPE_MAGIC = b"CASPACK1", b"CASRECI1"
 CHUNK_SCHEMA = "row_no long, doc_id long, seq int, digest binary, n_ids int, seg string, off long, len int, fresh boolean"
 PACK_SCHEMA = "digest binary, pack string, off long, len int"
@@ -82,7 +82,7 @@ def unit_starts(raw: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 class Encoder:
     """tokenizers' encoding of whole texts as little-endian 16-bit ids, with a bounded memory of units."""
 
-    def __init__(self, path: str, most_units: int = 500_000):
+    def __init__(self, path: str, most_units: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -191,7 +191,7 @@ def cuts(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[list
         yield out
 
 
-def sub_batches(batches: Iterable[pa.RecordBatch], chars: int = 4_000_000) -> Iterator[tuple[list, list[str]]]:
+def sub_batches(batches: Iterable[pa.RecordBatch], chars: int = 8_000_000) -> Iterator[tuple[list, list[str]]]:
     """(doc_ids, texts) of a bounded number of characters; a longer text comes alone."""
     for batch in batches:
         ids, texts, size = [], [], 0
@@ -212,7 +212,7 @@ def _cutter(tokenizer: str, store: str, end_id: int):
         import zstandard
 
         fs, base = filesystem(store)
-        press = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        press = zstandard.ZstdCompressor(level=1, write_content_size=True)
         enc, end = encoder(tokenizer), np.array([end_id], dtype="<u2").tobytes()
         task, row, out, name, places = TaskContext.get().partitionId(), 0, None, "", {}
         for ids, texts in sub_batches(batches):
@@ -381,27 +381,30 @@ def _reader(store: str, with_ids: bool):
                 head, at = json.loads(data[12 : 12 + n]), 12 + n
                 docs = np.frombuffer(data, DOC, head["docs"], at)
                 refs = np.frombuffer(data, REF, head["refs"], at + docs.nbytes)
-                order = np.lexsort((refs["off"], refs["pack"]))
+                digests = [x.ljust(32, b"\0") for x in refs["digest"].tolist()]
+                places = list(zip(refs["pack"].tolist(), refs["off"].tolist(), strict=True))
+                sizes, counts = refs["len"].tolist(), refs["n_ids"].tolist()
                 chunks: dict[tuple, bytes] = {}
-                pack, src = -1, None
-                for r in refs[order]:
-                    key = (int(r["pack"]), int(r["off"]))
+                pack, src, seen, seen_at = -1, None, b"", 0
+                for i in np.lexsort((refs["off"], refs["pack"])).tolist():
+                    key = places[i]
                     if key in chunks:
                         continue
                     if key[0] != pack:
                         if src:
                             src.close()
-                        pack, src = key[0], fs.open_input_file(f"{base}/packs/{head['packs'][key[0]]}")
-                    raw = unpress.decompress(src.read_at(int(r["len"]), key[1]), max_output_size=2 * MAX_IDS)
-                    if hashlib.sha256(raw).digest() != r["digest"].ljust(32, b"\0") or len(raw) != 2 * r["n_ids"]:
+                        pack, src, seen = key[0], fs.open_input_file(f"{base}/packs/{head['packs'][key[0]]}"), b""
+                    at = key[1] - seen_at
+                    if not seen or at + sizes[i] > len(seen):
+                        seen, seen_at, at = src.read_at(max(READ_BYTES, sizes[i]), key[1]), key[1], 0
+                    raw = unpress.decompress(seen[at : at + sizes[i]])
+                    if hashlib.sha256(raw).digest() != digests[i] or len(raw) != 2 * counts[i]:
                         raise ValueError(f"{path}: a chunk of {head['packs'][key[0]]} at {key[1]} is damaged")
                     chunks[key] = raw
                 if src:
                     src.close()
                 got: dict[str, list] = {k: [] for k in ("doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids)}
                 leaves, k = [], 0
-                places = list(zip(refs["pack"].tolist(), refs["off"].tolist(), strict=True))
-                digests = [x.ljust(32, b"\0") for x in refs["digest"].tolist()]
                 for doc, no_id, n_ids, _, m in docs.tolist():
                     ids = np.frombuffer(b"".join(chunks[p] for p in places[k : k + m]), "<u2").astype("<u4")
                     leaves.append(leaf(doc, no_id, digests[k : k + m]))
