@@ -54,3 +54,28 @@ def filesystem(uri: str):
     from pyarrow import fs
 
     return (fs.LocalFileSystem(), uri) if "://" not in uri and not uri.startswith("file:") else fs.FileSystem.from_uri(uri)
+
+
+def with_texts(docs: DataFrame, text_col: str, run, added: str = "") -> DataFrame:
+    """docs through run, a function for mapInArrow, all columns renamed and back so that no names clash.
+
+    run gets the text as column 0 and then all columns of docs; it returns the columns of `added` (DDL) and then those of docs.
+    """
+    back = [f"c{k}" for k in range(len(docs.columns))]
+    schema = ", ".join([*([added] if added else []), *(f"{b} {f.dataType.simpleString()}" for b, f in zip(back, docs.schema, strict=True))])
+    new = [x.split()[0] for x in added.split(",")] if added else []
+    rows = docs.toDF(*back).select(F.col(back[docs.columns.index(text_col)]).cast("string").alias("t"), *back)
+    return rows.mapInArrow(run, schema).toDF(*new, *docs.columns)
+
+
+def keep_texts(docs: DataFrame, text_col: str, keep) -> DataFrame:
+    """The rows of docs whose text keep(texts), a list of booleans, keeps."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            mask = pa.array(keep(batch.column(0).to_pylist()), pa.bool_())
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], names=batch.schema.names[1:]).filter(mask)
+
+    return with_texts(docs, text_col, run)

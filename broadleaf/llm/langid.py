@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import keep_texts
+
 BITS = 15
 BUCKETS = 1 << BITS
 ORDERS = (1, 2, 3)
@@ -175,3 +177,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     return rows.mapInArrow(_predict(spark.sparkContext.broadcast(model)), "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_TEXTS) -> DataFrame:
+    """docs, all columns, without the texts that have no language or one of a lower score; all go if there is nothing to learn from."""
+    model = train(docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)), text_col, lang_col, per_language)
+    if model is None:
+        return docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts: list[str | None]) -> list[bool]:
+        out: list[bool] = []
+        for block in blocks(t or "" for t in texts):
+            best, score = shared.value.score(block)
+            out += ((best >= 0) & (score >= least)).tolist()
+        return out
+
+    return keep_texts(docs, text_col, keep)

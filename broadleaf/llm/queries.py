@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality_rules, token_store, url_filter, warc
+from . import decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, token_store, url_filter, warc
 from .common import table
 
 
@@ -33,6 +33,18 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, listed, URL_RULES)
 
 
+#: The key of this repository's own runs; a deployment sets its own.
+PII_KEY = b"broadleaf example key"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_sa.digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -41,6 +53,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_to_store(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -49,12 +65,32 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.groups(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_pii": op2_pii,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_warc": op4_warc,
     "op5_token_store": op5_token_store,
+    "op6_decontamination": op6_decontamination,
     "op7_langid": op7_langid,
     "op8_quality_rules": op8_quality_rules,
+    "op9_importance": op9_importance,
+    "op10_near_dup": op10_near_dup,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
