@@ -39,7 +39,7 @@ from .common import filesystem
 
 MARK = "▁"
 NORMAL, CONTROL, USER, BYTE = 1, 3, 4, 6
-MOST_UNITS, BLOCK_CHARS = 500_000, 6_000_000
+MOST_UNITS, BLOCK_CHARS, MATCH_CHARS = 400_000, 2_000_000, 300_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -252,8 +252,7 @@ class Codec:
 
     def _learn(self, units: list[str]) -> None:
         odd = [u for u in units if MARK * 3 in u]
-        units = [u for u in units if MARK * 3 not in u]
-        if units:
+        for units in blocks((u for u in units if MARK * 3 not in u), MATCH_CHARS):
             ids, ends = self.pieces.match(units)
             raw, last = ids.astype("<u2").tobytes(), 0
             for u, end in zip(units, (2 * ends).tolist(), strict=True):
