@@ -67,14 +67,13 @@ def unescape(text: Column) -> Column:
     return text
 
 
-@F.pandas_udf(T.StringType())
 def _unescape_twice(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else html.unescape(html.unescape(x)))
 
 
 def decode_entities(text: Column, full: bool = False) -> Column:
     """decoded twice; full: the whole entity table, in an Arrow-fed function."""
-    return _unescape_twice(text) if full else unescape(unescape(text))
+    return F.pandas_udf(_unescape_twice, T.StringType())(text) if full else unescape(unescape(text))
 
 
 def line_feeds(text: Column) -> Column:

@@ -31,8 +31,9 @@ def _repeats(values: Column) -> Column:
 
 def parse_error(content: Column) -> Column:
     """V4: null for a JSON object."""
-    parsed = F.try_parse_json(content)
-    return F.when(content.isNull(), "plan_content_missing").when(parsed.isNull(), "plan_malformed_json").when(~F.ltrim(content, F.lit(" \t\r\n")).startswith("{"), "plan_not_object")
+    listed = F.try_parse_json(F.concat(F.lit("["), content, F.lit("]")))  # the parser overlooks what follows a value
+    bad = listed.isNull() | F.try_variant_get(listed, "$[1]", "variant").isNotNull() | F.try_variant_get(listed, "$[0]", "variant").isNull()
+    return F.when(content.isNull(), "plan_content_missing").when(bad, "plan_malformed_json").when(~F.ltrim(content, F.lit(" \t\r\n")).startswith("{"), "plan_not_object")
 
 
 def validate(plans: DataFrame, candidates: DataFrame, by: str = "date", content_col: str = "content") -> DataFrame:

@@ -105,12 +105,15 @@ def compact_json(value: Column) -> Column:
     return F.concat(F.to_json(value, {"ignoreNullFields": "false"}), F.lit("\n"))
 
 
-@F.pandas_udf(T.StringType())
-def pretty_json(compact: pd.Series) -> pd.Series:
-    """Two-space indent, field order kept, other than ASCII kept, and a line feed."""
+def _pretty(compact: pd.Series) -> pd.Series:
     return compact.map(lambda x: None if x is None else json.dumps(json.loads(x), ensure_ascii=False, indent=2) + "\n")
 
 
+def pretty_json(compact: Column) -> Column:
+    """Two-space indent, field order kept, other than ASCII kept, and a line feed."""
+    return F.pandas_udf(_pretty, T.StringType())(compact)
+
+
 def issue_json(issues: DataFrame) -> DataFrame:
     """derived_path and the canonical JSON of each issue."""
     cols = [c.strip().split()[0] for c in ISSUE.split(", ") if c.split()[0] in issues.columns]

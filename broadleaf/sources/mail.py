@@ -5,6 +5,7 @@ from __future__ import annotations
 import email
 import email.utils
 import html
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -29,8 +30,7 @@ def plain_text(raw: bytes | None) -> str | None:
 MAIL = T.StructType([T.StructField(n, T.StringType()) for n in ("message_id", "sender", "date", "body")])
 
 
-@F.pandas_udf(MAIL)
-def parsed_mail(raw: pd.Series) -> pd.DataFrame:
+def _mail(raw: pd.Series) -> pd.DataFrame:
     """Message id, sender, the date in the sender's own offset, and the plain text of raw messages."""
     rows = []
     for data in raw:
@@ -40,6 +40,10 @@ def parsed_mail(raw: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[f.name for f in MAIL])
 
 
+def parsed_mail(raw: Column | str) -> Column:
+    return F.pandas_udf(_mail, MAIL)(raw)
+
+
 def landed(messages: DataFrame) -> DataFrame:
     """S10, S12 on rows of uid and content: the file each message becomes, newest first by uid."""
     m = messages.select("uid", parsed_mail("content").alias("m")).select("uid", "m.*")
@@ -87,14 +91,22 @@ def html_articles(text: str, tag: str = "div", css_class: str | None = "text-blo
     return found[:-1] if drop_last else found
 
 
-@F.pandas_udf("array<struct<title:string,link:string,summary:string>>")
-def legacy_articles(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: [{"title": t, "link": k, "summary": s} for t, k, s in html_articles(x)])
+BLOCKS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("title", "link", "summary")]))
+
+
+def _blocks(*how) -> Callable[[pd.Series], pd.Series]:
+    def run(text: pd.Series) -> pd.Series:
+        return text.map(lambda x: [{"title": t, "link": k, "summary": s} for t, k, s in html_articles(x, *how)])
+
+    return run
+
+
+def legacy_articles(text: Column) -> Column:
+    return F.pandas_udf(_blocks(), BLOCKS, F.PandasUDFType.SCALAR)(text)
 
 
-@F.pandas_udf("array<struct<title:string,link:string,summary:string>>")
-def legacy_tables(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: [{"title": t, "link": k, "summary": s} for t, k, s in html_articles(x, "table", None, False)])
+def legacy_tables(text: Column) -> Column:
+    return F.pandas_udf(_blocks("table", None, False), BLOCKS, F.PandasUDFType.SCALAR)(text)
 
 
 def tracked_target(text: Column, prefix: str = r"https://tracking\.[a-z]+\.=") -> Column:
