@@ -45,11 +45,11 @@ def parsed_mail(raw: Column | str) -> Column:
 
 
 def landed(messages: DataFrame) -> DataFrame:
-    """S10, S12 on rows of uid and content: the file each message becomes, newest first by uid."""
+    """S10, S12 on rows of uid and content: the file each message becomes, newest first by uid (L8); without sender, date or text there is none."""
     m = messages.select("uid", parsed_mail("content").alias("m")).select("uid", "m.*")
     sector = X.sender_sector(F.col("sender"))
     name = F.concat(sector, F.lit("/article_"), F.date_format(F.to_date("date"), "dd-MM-yyyy"), F.lit(".md"))
-    return m.where("body is not null").select(F.sha2(F.concat(F.coalesce("message_id", F.lit("")), F.col("uid").cast("string")), 256).alias("message_key"), "uid", sector.alias("sector"), name.alias("relative_path"), "body").orderBy(F.desc("uid"))
+    return m.where(F.col("body").isNotNull() & name.isNotNull()).select(F.sha2(F.concat(F.coalesce("message_id", F.lit("")), F.col("uid").cast("string")), 256).alias("message_key"), "uid", sector.alias("sector"), name.alias("relative_path"), "body").orderBy(F.desc("uid"))
 
 
 class _Blocks(HTMLParser):
