@@ -47,7 +47,7 @@ NUMBERS = re.compile(
     r"|(?<![\w.])(?:(?P<ip>\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
     r"|(?P<date>\d{4}(?P<d>[-/.])\d{1,2}(?P=d)\d{1,2}(?!\w|[-/.]\d)|\d{1,2}(?P<e>[-/.])\d{1,2}(?P=e)\d{4}(?!\w|[-/.]\d))"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4}(?![\w]|-\d))"
-    r"|(?P<card>\d(?:[ -]?\d){12,18}(?!\w|[ -]?\d)))"
+    r"|(?P<card>(?:\d{4}(?P<k>[ -])\d{4}(?P=k)\d{4}(?P=k)\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\w)))"
     r"|(?P<phone>(?<![\w+.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4})(?![\w]|[ .-]\d))"
 )
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -112,6 +112,17 @@ class Pseudonyms:
             out.append(c)
         return "".join(reversed(out))
 
+    @staticmethod
+    def _shortened(text: str, form) -> str | None:
+        """The pseudonym of the longest valid start of text that ends before a separator, with the rest as it is."""
+        end = len(text)
+        while end > 0:
+            new = form(text[:end])
+            if new is not None:
+                return new + text[end:]
+            end = max(text.rfind(c, 0, end) for c in " .-")
+        return None
+
     # -- forms: each gives the pseudonym, or None if the value isn't valid ---
 
     def email(self, text: str) -> str | None:
@@ -137,6 +148,9 @@ class Pseudonyms:
         return re.sub(r"\d", lambda _: next(found), text)
 
     def iban(self, text: str) -> str | None:
+        return self._shortened(text, self._iban)
+
+    def _iban(self, text: str) -> str | None:
         tight = text.replace(" ", "")
         if not 15 <= len(tight) <= 34 or iban_rest(tight) != 1:
             return None
@@ -182,6 +196,9 @@ class Pseudonyms:
         return mark.join([f"{d.year:04d}", *two] if year_first else [*two, f"{d.year:04d}"])
 
     def phone(self, text: str) -> str | None:
+        return self._shortened(text, self._phone)
+
+    def _phone(self, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
         if not 8 <= len(digits) <= 15:
             return None
