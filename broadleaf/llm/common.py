@@ -21,6 +21,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def arrow_rows(spark: SparkSession, rows: int = 2000) -> None:
+    """Rows that go to a Python worker at once, set on the session: texts are long, and a worker holds several copies of a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+#: What operators remember in a Python worker, by operator: how to forget it.
+_MEMORIES: dict = {}
+
+
+def remembers(owner: str, forget) -> None:
+    """Called in a worker by an operator with a memory of its own, or with None: others' memories are emptied, so that they don't add up."""
+    for other in [k for k in _MEMORIES if k != owner]:
+        _MEMORIES.pop(other)()
+    if forget:
+        _MEMORIES[owner] = forget
+
+
 def new_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/broadleaf/{name}-{uuid.uuid4().hex}"
 
@@ -61,6 +78,7 @@ def with_texts(docs: DataFrame, text_col: str, run, added: str = "") -> DataFram
 
     run gets the text as column 0 and then all columns of docs; it returns the columns of `added` (DDL) and then those of docs.
     """
+    arrow_rows(docs.sparkSession)
     back = [f"c{k}" for k in range(len(docs.columns))]
     schema = ", ".join([*([added] if added else []), *(f"{b} {f.dataType.simpleString()}" for b, f in zip(back, docs.schema, strict=True))])
     new = [x.split()[0] for x in added.split(",")] if added else []
@@ -74,6 +92,7 @@ def keep_texts(docs: DataFrame, text_col: str, keep) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        remembers("filter", None)
         for batch in batches:
             mask = pa.array(keep(batch.column(0).to_pylist()), pa.bool_())
             yield pa.RecordBatch.from_arrays(batch.columns[1:], names=batch.schema.names[1:]).filter(mask)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_texts
+from .common import arrow_rows, keep_texts, remembers
 
 SEED, LEAST_SEEDS = 3, 8
 MATCH, MISMATCH, GAP = 2, -1, -2
@@ -161,6 +161,7 @@ def _frequencies(shared):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Items = shared.value
+        remembers("decontaminate", None)
         total = np.zeros(len(items.grams), np.int64)
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -186,6 +187,7 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Items]:
 def seeded(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> Iterator:
     """For each block of the benchmark, a broadcast of its items with their rare seeds."""
     spark = docs.sparkSession
+    arrow_rows(spark)
     for items in blocks(benchmark, item_col, item_text_col):
         counts = docs.select(F.col(text_col).cast("string")).mapInArrow(_frequencies(spark.sparkContext.broadcast(items)), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
         df = np.zeros(len(items.grams), np.int64)

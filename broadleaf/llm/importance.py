@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import arrow_rows, remembers, written
 
 BITS = 14
 BUCKETS = 1 << BITS
@@ -59,6 +59,7 @@ def features(text: str) -> np.ndarray:
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, BUCKETS), np.int64)
+    remembers("importance", HASHES.clear)
     for batch in batches:
         for text, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             n = np.bincount(features(text or ""), minlength=BUCKETS)
@@ -80,7 +81,9 @@ def target_ids(labels: DataFrame, id_col: str = "doc_id", most: int = TARGET_DOC
 def ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TARGET_DOCS) -> np.ndarray:
     """log(target / raw) of each bucket."""
     ids = F.broadcast(target_ids(labels, id_col, most))  # of bounded size
-    rows = docs.join(ids, docs[id_col] == ids["_target"], "left").select(docs[text_col].cast("string"), F.col("_target").isNotNull())
+    arrow_rows(docs.sparkSession)
+    own = docs.select(F.col(id_col).alias("_target"), F.col(text_col).cast("string").alias("text"))
+    rows = own.join(ids.withColumn("good", F.lit(True)), "_target", "left").select("text", F.col("good").isNotNull())
     counts = rows.mapInArrow(_count, "kind int, bucket int, n long").groupBy("kind", "bucket").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros((2, BUCKETS))
     total[counts["kind"].to_numpy(), counts["bucket"].to_numpy()] = counts["n"].to_numpy()
@@ -94,6 +97,7 @@ def ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def _score(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio = shared.value
+        remembers("importance", HASHES.clear)
         for batch in batches:
             out = []
             for text in batch.column(2).to_pylist():

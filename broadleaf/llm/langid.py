@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_texts
+from .common import arrow_rows, keep_texts, remembers
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -89,6 +89,7 @@ def _count(langs: list[str]):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
+        remembers("langid", None)
         for batch in batches:
             by: dict[int, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -125,6 +126,7 @@ class Model:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_TEXTS) -> Model | None:
     """Fit on up to per_language distinct texts of each language; None if there is nothing to learn from."""
+    arrow_rows(docs.sparkSession)
     own = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
     light = own.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").count()
     most = MATRIX_BYTES // (4 * (BUCKETS + 1))

@@ -35,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem
+from .common import arrow_rows, filesystem, remembers
 
 MARK = "▁"
 NORMAL, CONTROL, USER, BYTE = 1, 3, 4, 6
-MOST_UNITS, BLOCK_CHARS, MATCH_CHARS = 400_000, 2_000_000, 300_000
+MOST_UNITS, BLOCK_CHARS, MATCH_CHARS = 300_000, 2_000_000, 300_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -302,6 +302,7 @@ def blocks(texts: Iterable[str | None], chars: int = BLOCK_CHARS) -> Iterator[li
 def _encoder(model: str, digest: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
+        remembers("sentencepiece", c.seen.clear)
         for batch in batches:
             at = 0
             for texts in blocks(batch.column(1).to_pylist()):
@@ -322,6 +323,7 @@ def _encoder(model: str, digest: bool):
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    arrow_rows(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

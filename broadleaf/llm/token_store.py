@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete, filesystem, new_dir, written
+from .common import arrow_rows, delete, filesystem, new_dir, remembers, written
 
 END_ID = 2
 MIN_IDS, MASK_BITS, MAX_IDS, WINDOW_STEPS = 128, 9, 8192, (1, 2, 4, 8, 16)
@@ -214,6 +214,7 @@ def _cutter(tokenizer: str, store: str, end_id: int):
         fs, base = filesystem(store)
         press = zstandard.ZstdCompressor(level=1, write_content_size=True)
         enc, end = encoder(tokenizer), np.array([end_id], dtype="<u2").tobytes()
+        remembers("token_store", enc.seen.clear)
         task, row, out, name, places = TaskContext.get().partitionId(), 0, None, "", {}
         for ids, texts in sub_batches(batches):
             coded = [x + end for x in enc.encode(texts)]
@@ -344,6 +345,7 @@ def _recipe_writer(store: str):
 def write_store(docs: DataFrame, tokenizer: str, store: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> str:
     """Write docs as a store; returns the hex root of the store. tokenizer: path of a tokenizers file, the same on all machines."""
     spark = docs.sparkSession
+    arrow_rows(spark, 10_000)
     fs, base = filesystem(store)
     for d in ("segments", "packs", "recipes"):
         fs.create_dir(f"{base}/{d}", recursive=True)
