@@ -147,6 +147,29 @@ def illustration_hash_1(brief: Column, sources: Column, model: Column, version:
     return X.hash_parts(*(F.concat(x, F.lit("\n")) for x in (brief, sources, model, version, config)))
 
 
+def illustration_hash_2(contract: Column) -> Column:
+    """F18, second contract: hash of the canonical JSON of one struct, its fields in alphabetical order at every level."""
+    return X.hash_parts(compact_json(contract))
+
+
+def _blocks(pairs: list[tuple[str, Column]]) -> Column:
+    """Titled blocks of lines, a blank line before each; a block is a string or an array of lines."""
+    return F.flatten(F.array(*(F.concat(F.array(F.lit(""), F.lit(title)), lines) for title, lines in pairs)))
+
+
+def prompt_2(preamble: Column, stories: Column, brief: Column, restrictions: list[str]) -> Column:
+    """F19, second form: a titled block for each part of a brief; restrictions are the profile's own sentences."""
+    facts = F.flatten(F.transform(stories, lambda s: F.array(F.concat(F.lit("Title: "), s["title"]), F.concat(F.lit("Summary: "), s["summary"]))))
+    one = lambda name: F.array(brief[name])
+    head = F.concat(F.array(F.lit("Rendering style:"), preamble, F.lit(""), F.lit("Exact source facts:")), facts)
+    rest = _blocks([
+        ("Editorial idea:", one("editorial_idea")), ("Central subject:", one("central_subject")), ("Visual relationship:", one("visual_relationship")), ("Composition:", one("composition")),
+        ("Permitted literal elements:", brief["literal_elements"]), ("Abstraction level:", one("abstraction_level")), ("Story-specific forbidden elements:", brief["forbidden_elements"]),
+        ("Likely failure modes to avoid:", brief["failure_modes"]), ("Global factual restrictions:", F.array(*map(F.lit, restrictions))),
+    ])
+    return F.concat(X.stripped(F.array_join(F.concat(head, rest), "\n")), F.lit("\n"))
+
+
 def prompt(preamble: Column, stories: Column, subject: Column, metaphor: Column, composition: Column, forbidden: Column) -> Column:
     """a prompt's lines from a brief and its source stories (title, summary)."""
     facts = F.flatten(F.transform(stories, lambda s: F.array(F.concat(F.lit("Title: "), s["title"]), F.concat(F.lit("Summary: "), s["summary"]))))

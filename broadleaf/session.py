@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +24,18 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
         **conf,
     }
     return builder.config(map=settings).getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the package to Python workers that couldn't import it: neither their working folder nor PYTHONPATH has it."""
+    root = Path(__file__).resolve().parent.parent
+    places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if getattr(context, "_broadleaf_shipped", False) or any(p and Path(p).resolve() == root for p in places):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="broadleaf-")) / "broadleaf-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((root / "broadleaf").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(str(archive))
+    context._broadleaf_shipped = True

@@ -100,6 +100,12 @@ def manifest_entries(issues: DataFrame) -> DataFrame:
     return issues.select("issue_id", "sector", "sector_slug", "date", "source_path", "source_content_hash", "schema_version", "generator_version", "format_family", "parse_status", X.issue_path(F.col("sector_slug"), F.col("date")).alias("derived_path"))
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """L1, L2: sources or manifest entries in their fixed order."""
+    last = "relative_path" if "relative_path" in rows.columns else "issue_id"
+    return rows.orderBy("sector_slug", "date_iso" if "date_iso" in rows.columns else "date", last)
+
+
 def compact_json(value: Column) -> Column:
     """JSON of a struct whose fields are in alphabetical order, nulls kept, and a line feed."""
     return F.concat(F.to_json(value, {"ignoreNullFields": "false"}), F.lit("\n"))

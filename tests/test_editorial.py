@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -117,3 +118,23 @@ def test_registry_and_gate(spark):
         editorial.bounded_product(spark.range(10), spark.range(10).toDF("b"), 99)
     with pytest.raises(ValueError):
         incremental.must_be_clean(spark.range(1))
+
+
+def test_second_prompt_and_hash(spark):
+    brief = F.struct(*(F.lit(x).alias(k) for k, x in (("editorial_idea", "i"), ("central_subject", "c"), ("visual_relationship", "r"), ("composition", "o"), ("abstraction_level", "low"))), *(F.array(F.lit("x"), F.lit("y")).alias(k) for k in ("literal_elements", "forbidden_elements", "failure_modes")))
+    df = spark.createDataFrame([([("T", "S")],)], "stories array<struct<title:string,summary:string>>")
+    row = df.select(editorial.prompt_2(F.lit("P"), F.col("stories"), brief, ["no text"]).alias("p"), editorial.illustration_hash_2(F.struct(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b"))).alias("h")).collect()[0]
+    assert row.p.split("\n")[:8] == ["Rendering style:", "P", "", "Exact source facts:", "Title: T", "Summary: S", "", "Editorial idea:"] and row.p.endswith("Global factual restrictions:\nno text\n")
+    data = b'{"a":1,"b":null}\n'
+    assert row.h == "sha256:" + hashlib.sha256(len(data).to_bytes(8, "big") + data).hexdigest()
+
+
+def test_windowed_counts(spark, tmp_path):
+    from broadleaf.streaming.ingest import landing, windowed_counts
+
+    rows = spark.createDataFrame([(1, "2024-01-01 00:10:00", "a", 1.0), (2, "2024-01-01 00:50:00", "a", 2.0), (3, "2024-01-01 01:10:00", "b", 3.0), (4, "2024-01-02 00:00:00", "a", 0.0)], "event_id long, t string, event_type string, value double").select("event_id", F.to_timestamp("t").alias("ts"), "event_type", "value")
+    rows.write.parquet(str(tmp_path / "in"))
+    q = windowed_counts(landing(spark, str(tmp_path / "in"), rows.schema)).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {(r.start.hour, r.event_type, r.n, r.total) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(0, "a", 2, 3.0), (1, "b", 1, 3.0)}  # the last window stays open
