@@ -162,21 +162,20 @@ def encoder(path: str) -> Encoder:
 
 @functools.lru_cache(1)
 def gear() -> np.ndarray:
-    """A 64-bit number for each 16-bit id, by the splitmix64 rule."""
+    """A 32-bit number for each 16-bit id, by the splitmix64 rule."""
     x = (np.arange(1 << 16, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(32)).astype(np.uint32)
 
 
 def cuts(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[list[int]]:
     """Chunk ends of each [start, end) of ids; they depend on the ids of that range alone."""
     h = gear()[ids]
     for s in WINDOW_STEPS:
-        low = h[:-s] << np.uint64(s)
+        low = h[:-s] << np.uint32(s)
         h[s:] += low
-    mask = np.uint64((1 << MASK_BITS) - 1)
-    places = np.flatnonzero(((h >> np.uint64(40)) & mask) == 0) + 1
+    places = np.flatnonzero(h < np.uint32(1 << (32 - MASK_BITS))) + 1
     lo, hi = np.searchsorted(places, starts), np.searchsorted(places, ends)
     for start, end, a, b in zip(starts.tolist(), ends.tolist(), lo.tolist(), hi.tolist(), strict=True):
         out, last = [], start
@@ -258,17 +257,24 @@ def _compactor(store: str):
         for batch in batches:
             cols = batch.to_pydict()
             got = {"digest": cols["digest"], "pack": [], "off": [], "len": cols["len"]}
+            run_at = run_end = 0  # what is to be copied in one piece
             for s, off, n in zip(cols["seg"], cols["off"], cols["len"], strict=True):
-                if s != seg:
-                    for f in (src, out):
-                        if f:
-                            f.close()
-                    seg, name = s, f"pack-{uuid.uuid4().hex}"
-                    src, out = fs.open_input_file(f"{base}/segments/{seg}"), fs.open_output_stream(f"{base}/packs/{name}")
-                    out.write(PACK_MAGIC)
+                if s != seg or off != run_end:
+                    if run_end > run_at:
+                        out.write(src.read_at(run_end - run_at, run_at))
+                    if s != seg:
+                        for f in (src, out):
+                            if f:
+                                f.close()
+                        seg, name = s, f"pack-{uuid.uuid4().hex}"
+                        src, out = fs.open_input_file(f"{base}/segments/{seg}"), fs.open_output_stream(f"{base}/packs/{name}")
+                        out.write(PACK_MAGIC)
+                    shift, run_at = out.tell() - off, off
                 got["pack"].append(name)
-                got["off"].append(out.tell())
-                out.write(src.read_at(n, off))
+                got["off"].append(off + shift)
+                run_end = off + n
+            if run_end > run_at:
+                out.write(src.read_at(run_end - run_at, run_at))
             yield pa.RecordBatch.from_pydict(got, schema=pa.schema([("digest", pa.binary()), ("pack", pa.string()), ("off", pa.int64()), ("len", pa.int32())]))
         for f in (src, out):
             if f:
