@@ -222,11 +222,11 @@ def q_page_links(spark, sf_dir):
     return rows.groupBy("page_id", "href").agg(F.count("*").alias("n"))
 
 
-@query("SELECT d.doc_id, l.quality, CASE WHEN l.doc_id IS NULL THEN 'dangling_reference' END AS code FROM documents d LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) l ON d.doc_id = l.doc_id")
+@query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, CASE WHEN l.doc_id IS NULL THEN 'dangling_reference' END AS code FROM documents d LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) l ON d.doc_id = l.doc_id")
 def q_dangling_refs(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").distinct().withColumn("there", F.lit(True))
     rows = table(spark, sf_dir, "documents").select("doc_id").join(labels, "doc_id", "left")
-    return rows.select("doc_id", "quality", F.when(F.col("there").isNull(), "dangling_reference").alias("code"))
+    return rows.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.when(F.col("there").isNull(), "dangling_reference").alias("code"))
 
 
 # conversations as issues: a system turn is a heading, a user turn an item, other turns its text
