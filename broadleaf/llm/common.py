@@ -56,6 +56,19 @@ def written(df: DataFrame, name: str, where: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(where)
 
 
+class Scratch:
+    """Written tables of one call, which can be deleted together once its result is written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base = spark, new_dir(spark, name)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, name, f"{self.base}/{name}-{uuid.uuid4().hex}")
+
+    def clear(self) -> None:
+        delete(self.spark, self.base)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

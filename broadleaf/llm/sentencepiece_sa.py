@@ -39,7 +39,7 @@ from .common import arrow_rows, filesystem, remembers
 
 MARK = "▁"
 NORMAL, CONTROL, USER, BYTE = 1, 3, 4, 6
-MOST_UNITS, BLOCK_CHARS, MATCH_CHARS = 300_000, 2_000_000, 300_000
+MOST_UNITS, BLOCK_CHARS, MATCH_CHARS = 200_000, 1_000_000, 150_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
