@@ -1,21 +1,23 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs of letters and digits.  A first pass counts in how
-many documents each word trigram of the benchmark occurs.  Of each item the
-rarer half of its trigrams (at least LEAST_SEEDS) become seeds: a ranking within
-the item, so that a widely copied item keeps its seeds.  A second pass joins
-passages to items where a seed occurs, and aligns the words around it with the
-whole item by Smith-Waterman, many passages at a time in numpy.  A pair counts if
-its score is at least MIN_SHARE of the item's score with itself.
+many documents each word pair of the benchmark occurs.  A passage that counts
+keeps a least number of its item's word pairs (least_pairs), so of each item the
+most frequent pairs, half of that number, are let go: a ranking within the item, so
+that a widely copied item keeps its seeds.  The other pairs are seeds, and a second
+pass aligns the words around places where the other half of that number of seeds
+occur together with the whole item by Smith-Waterman, many passages at a time in
+numpy.  A pair counts if its score is at least MIN_SHARE of the item's score with
+itself; none that counts is lost to the choice of seeds.
 
 Benchmark words are numbered and broadcast with the seeds; a benchmark of over
 BLOCK_WORDS words is taken in blocks, each a pass of its own, so what is broadcast
 is bounded.  Documents are never shuffled, and each is read whole.
 
 Defined results: null or wordless documents match nothing; null or wordless items
-are ignored; items of fewer than three words seed with all their words; items of
-up to SHORT words match only whole; repeated rows of either table each count; an
-empty benchmark leaves all documents.
+are ignored; items of one word seed with it; items of up to SHORT words match only
+whole; repeated rows of either table each count; an empty benchmark leaves all
+documents.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_rows, keep_texts, remembers
 
-SEED, LEAST_SEEDS = 3, 8
+SEED = 2
 MATCH, MISMATCH, GAP = 2, -1, -2
 MIN_SHARE, SHORT = 0.5, 8
 BLOCK_WORDS = 1_000_000
@@ -52,6 +54,7 @@ class Items:
         self.vocabulary: dict[str, int] = {}
         self.tokens = [np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in w], np.int32) for _, w in pairs]
         self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        self.needed = np.maximum(least_pairs(self.sizes), 1)
         grams, item, offset = [], [], []
         for k, t in enumerate(self.tokens):
             g = grams_of(t, min(SEED, len(t)))
@@ -68,13 +71,15 @@ class Items:
         self.count = np.diff(np.append(self.first, len(order)))
 
     def keep_rare(self, df: np.ndarray) -> None:
-        """Keep each item's rarer seeds, by the document frequency of each of grams; ties by place."""
+        """Drop each item's most frequent seeds, half as many as it needs, by the document frequency of each of grams; ties by place."""
         f = np.repeat(df, self.count)
         order = np.lexsort((self.offset, f, self.item))
         item = self.item[order]
         rank = np.arange(len(order)) - np.searchsorted(item, item)
-        size = np.bincount(item, minlength=len(self.ids))[item]
-        keep = order[rank < np.maximum(LEAST_SEEDS, (size + 1) // 2)]
+        size = np.bincount(item, minlength=len(self.ids))
+        dropped = self.needed // 2
+        keep = order[(rank < (size - dropped)[item]) & (f[order] > 0)]
+        self.needed = self.needed - dropped
         self._index(np.repeat(self.grams, self.count)[keep], self.item[keep], self.offset[keep])
 
     def numbers(self, text: str | None) -> np.ndarray:
@@ -108,10 +113,7 @@ class Items:
                 continue
             n = self.count[which]
             k = np.repeat(self.first[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            item = self.item[k]
-            step = self.sizes[item] // 2 + 1
-            start = (np.repeat(at, n) - self.offset[k]) // step * step
-            windows += [(row, i, s) for i, s in set(zip(item.tolist(), start.tolist(), strict=True))]
+            windows += [(row, i, w) for i, w in self._windows(self.item[k], self.offset[k], np.repeat(at, n))]
         best: dict[tuple[int, int], float] = {}
         windows.sort(key=lambda w: (self.sizes[w[1]], w))
         for a in range(0, len(windows), WINDOWS):
@@ -123,6 +125,33 @@ class Items:
                     best[row, item] = max(share, best.get((row, item), 0.0))
         return [(row, item, share) for (row, item), share in sorted(best.items())]
 
+    def _windows(self, item: np.ndarray, offset: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, start) of the windows that hold enough different seeds.
+
+        The gaps of a passage that counts move it by less than a step, so its seeds start in one window or in two that adjoin.
+        """
+        step = self.sizes[item] // 2 + 1
+        key = (item << 40) + (at - offset) // step + (1 << 30)  # a window; the next number is the next window of the item
+        for thorough in (False, True):
+            order = np.lexsort((offset, key)) if thorough else np.argsort(key, kind="stable")
+            key, item, offset, step = key[order], item[order], offset[order], step[order]
+            if thorough:
+                new = np.append(True, (key[1:] != key[:-1]) | (offset[1:] != offset[:-1]))
+                key, item, offset, step = key[new], item[new], offset[new], step[new]
+            each, first, count = np.unique(key, return_index=True, return_counts=True)
+            after = np.append(np.where(np.diff(each) == 1, count[1:], 0), 0)
+            before = np.append(0, np.where(np.diff(each) == 1, count[:-1], 0))
+            needed = self.needed[item[first]]
+            good = count + after >= needed
+            if thorough:
+                w = (each & ((1 << 40) - 1)) - (1 << 30)
+                yield from zip(item[first][good].tolist(), (w * step[first])[good].tolist(), strict=True)
+            elif good.any():
+                rows = np.repeat(good | (count + before >= needed), count)
+                key, item, offset, step = key[rows], item[rows], offset[rows], step[rows]
+            else:
+                return
+
     def _align(self, windows: list[tuple[int, int, int]], tokens: list[np.ndarray]) -> list[int]:
         """Best local score of each window's item with the passage around its start: half an item before to one after its end."""
         sizes = [int(self.sizes[i]) for _, i, _ in windows]
@@ -148,6 +177,16 @@ class Items:
         return best.tolist()
 
 
+def least_pairs(m: np.ndarray) -> np.ndarray:
+    """The least number of an item's word pairs that any alignment with a counting score keeps, by the item's words m.
+
+    k matches, x mismatches and g gap words score 2k - x - 2g >= s in at most 1 + x + g runs, so at least k - 1 - x - g pairs
+    stay, which is least for g = (2k - x - s) / 2: (s - x) / 2 - 1.  From k + x <= m follows 3x <= 2m - s.
+    """
+    s = np.maximum(np.ceil(MIN_SHARE * MATCH * m).astype(np.int64), MATCH * np.minimum(m, SHORT))
+    return (s - (2 * m - s) // 3 + 1) // 2 - 1
+
+
 def grams_of(tokens: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit number of every n words in a row; word numbers stay under 2**20, so no two runs share one."""
     out = np.full(max(0, len(tokens) - n + 1), n, np.uint64)

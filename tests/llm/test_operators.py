@@ -236,6 +236,51 @@ def test_decontamination(spark, none):
     assert decontaminate.contaminated(none, bench).count() == 0 and decontaminate.remove_contaminated(df, bench.limit(0)).count() == df.count()
 
 
+def test_decontamination_finds_edited_and_partial_copies(spark):
+    rng = random.Random(16)
+    vocabulary = variety(18, 3000).split()
+    items = [(i, " ".join(rng.choices(vocabulary, k=40))) for i in range(30)]
+    docs = []
+    for i, t in items:
+        copy = t.split()
+        if i % 3 < 2:  # every 5th or 3rd word replaced
+            copy = [rng.choice(vocabulary) if k % (5, 3)[i % 3] == 2 else w for k, w in enumerate(copy)]
+        else:  # a half copied, the other from elsewhere
+            copy[22:] = rng.choices(vocabulary, k=18)
+        words = rng.choices(vocabulary, k=200)
+        words[90:90] = copy
+        docs.append((i, " ".join(words)))
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i, _ in items}
+
+
+def test_seeds_lose_no_passage():
+    rng = random.Random(26)
+    vocabulary = [*"abcdefghijkmnopqrst", *variety(28, 40).split()]
+    items = decontaminate.Items(list(range(40)), [" ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 5, 9, 12, 16, 17, 30, 41]))) for _ in range(40)])
+    texts = []
+    for i in [*range(40)] * 8:
+        copy, edits = [], rng.random() / 2
+        for w in items.tokens[i].tolist():
+            x = rng.random() / edits if edits else 1
+            copy += [w] if x > 1 else [0] if x > 0.5 else [w, 0] if x > 0.25 else []
+        own = [*rng.choices([*items.vocabulary.values(), 0], k=30), *copy, *rng.choices([*items.vocabulary.values(), 0], k=30)]
+        texts.append(" ".join({v: k for k, v in items.vocabulary.items()}.get(n, "none") for n in own))
+    df = np.zeros(len(items.grams), np.int64)
+    for t in texts:
+        df[np.unique(items.hits(items.numbers(t))[1])] += 1
+    want = set()
+    tokens = [items.numbers(t) for t in texts]
+    windows = [(r, i, s) for r, t in enumerate(tokens) for i, m in enumerate(items.sizes.tolist()) for s in range(0, len(t), m // 2 + 1)]
+    for a in range(0, len(windows), 5000):
+        for (r, i, _), score in zip(windows[a : a + 5000], items._align(windows[a : a + 5000], tokens), strict=True):
+            m = int(items.sizes[i])
+            if score >= max(decontaminate.MIN_SHARE * decontaminate.MATCH * m, decontaminate.MATCH * min(m, decontaminate.SHORT)):
+                want.add((r, i))
+    items.keep_rare(df)
+    assert {(r, i) for r, i, _ in items.matches(texts)} == want
+
+
 def test_alignment_against_plain_dynamic_programming():
     rng = random.Random(7)
     items = decontaminate.Items(list(range(8)), [" ".join(rng.choices("abcdefghijk", k=rng.randint(3, 25))) for _ in range(8)])
