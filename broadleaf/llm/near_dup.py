@@ -10,7 +10,11 @@ both are in one class already; so a bucket of n gives at most n pairs.  A pair i
 a link if the longest common subsequence of its shingles, found by bit-parallel
 alignment within the band that the threshold leaves, is at least SIMILARITY of
 all shingles of both.  Links make classes by label propagation over written
-tables.  Rounds end when nothing is left to pair, or after ROUNDS.
+tables.  Rounds end when nothing is left to pair, or after ROUNDS.  Buckets that
+still hold several classes then have all their pairs across classes judged, in
+blocks of BLOCK_BYTES, each with each whose sizes allow a link: shingles in common
+are counted for all pairs of two blocks at once, and only pairs with enough of them
+are aligned.  So every link between two members of a bucket is found or implied.
 
 Only light rows are kept of all texts.  Shingles are read again just for nodes
 that occur in pairs, once per node.  Copies within a task are counted once before
@@ -28,7 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, arrow_rows, broadcast_if_small, remembers, with_texts, written
@@ -39,6 +43,8 @@ ORDERS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A
 #: Other orders of nodes for the centres of later rounds, made by exclusive-or.
 TURNS = (0x5DEECE66D1234567, 0x2545F4914F6CDD1D)
 NODE_BYTES = 64
+#: Shingles of a block of the exact pass; a node counts as LEAST_BYTES at least, so that a block has 512 nodes at most.
+BLOCK_BYTES, LEAST_BYTES = 2 << 20, 4096
 
 
 class Hashes(dict):
@@ -185,6 +191,49 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
 
+def overlaps(arrays: list[np.ndarray]) -> np.ndarray:
+    """For each two arrays, a bound on the values they have in common: exact but for values repeated in both."""
+    n = len(arrays)
+    distinct = [np.unique(x) for x in arrays]
+    repeats = np.array([len(x) - len(d) for x, d in zip(arrays, distinct, strict=True)])
+    owner = np.repeat(np.arange(n), [len(d) for d in distinct])
+    _, code, count = np.unique(np.concatenate(distinct), return_inverse=True, return_counts=True)
+    order = np.argsort(code, kind="stable")
+    owner, start = owner[order], np.cumsum(count) - count
+    total = np.zeros(n * n, np.float32)
+    for c in range(2, 9):  # values of few arrays, pair by pair
+        at = start[count == c]
+        for i in range(c):
+            for j in range(i + 1, c):
+                total += np.bincount(owner[at + i] * n + owner[at + j], minlength=n * n)
+    total = total.reshape(n, n)
+    total += total.T
+    hot = np.flatnonzero(count > 8)
+    for k in range(0, len(hot), 4096):
+        part = hot[k : k + 4096]
+        has = np.zeros((n, len(part)), np.float32)
+        for i, h in enumerate(part):
+            has[owner[start[h] : start[h] + count[h]], i] = 1
+        total += has @ has.T
+    return total + np.minimum(repeats[:, None], repeats[None, :])
+
+
+def _block_links(group: pa.Table) -> pa.Table:
+    """Links among the nodes of a block, or between those of two, that join all of their classes that links join."""
+    nodes, arrays = group["node"].to_pylist(), [np.frombuffer(x, np.uint32) for x in group["blob"].to_pylist()]
+    side, label, size = group["blk"].to_numpy(), group["label"].to_numpy().copy(), np.array([len(x) for x in arrays])
+    need = np.ceil((size[:, None] + size[None, :]) * SIMILARITY / (1 + SIMILARITY) - 1e-9)
+    wanted = (overlaps(arrays) >= need) & (label[:, None] != label[None, :])
+    wanted &= (side[:, None] != side[None, :]) if side.min() != side.max() else True
+    a, b = np.nonzero(np.triu(wanted, 1))
+    links = []
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        if label[i] != label[j] and similarity(arrays[i], arrays[j]) > 0:
+            links.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+            label[label == label[j]] = label[i]
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+
 def few(df: DataFrame, rows: int) -> DataFrame:
     """df in as many partitions as that number of light rows needs."""
     return df.coalesce(1 + rows // 200_000)
@@ -208,16 +257,48 @@ def components(links: DataFrame, n: int, scratch: Scratch) -> DataFrame:
             return labels
 
 
-def _judged(own: DataFrame, least: DataFrame, pairs: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """Pairs a, b with ok: whether they are links. Shingles are read again for their nodes only."""
-    needed = scratch.written(few(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(least, "node").select("node", "raw"), 2 * n), "needed")
+def _shingled(own: DataFrame, least: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """node and blob of n nodes. Shingles are read again for them only."""
+    needed = scratch.written(few(nodes.join(least, "node").select("node", "raw"), n), "needed")
     found = own.select("raw", "text").join(broadcast_if_small(needed, NODE_BYTES), "raw").select("node", "text").mapInArrow(_blobs, "node long, blob binary")
-    blobs = scratch.written(found.groupBy("node").agg(F.first("blob").alias("blob")), "blobs")
+    return scratch.written(found.groupBy("node").agg(F.first("blob").alias("blob")), "blobs")
+
+
+def _judged(own: DataFrame, least: DataFrame, pairs: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """Pairs a, b with ok: whether they are links."""
+    blobs = _shingled(own, least, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), 2 * n, scratch)
     at_b = pairs.join(blobs.select(F.col("node").alias("b"), F.col("blob").alias("y")), "b")
     both = at_b.join(blobs.select(F.col("node").alias("a"), F.col("blob").alias("x")), "a").select("a", "b", "x", "y")
     return scratch.written(both.mapInArrow(_verify, "a long, b long, ok boolean"), "judged")
 
 
+def _rest(own: DataFrame, least: DataFrame, sizes: DataFrame, members: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """Links a, b that join all classes that any link within a bucket joins, from members (key, node, label) of buckets with several labels.
+
+    Buckets that share nodes are taken together where that gives fewer pairs than one by one.
+    """
+    n = members.count()
+    if not n:
+        return None
+    stars = members.join(members.groupBy("key").agg(F.min("node").alias("a")), "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    families = components(stars, n, scratch).select("node", F.col("label").alias("family"))
+    named = scratch.written(members.join(families, "node"), "named")
+    apart = named.groupBy("family", "key").agg(F.count("*").cast("double").alias("c")).groupBy("family").agg(F.sum(F.col("c") * F.col("c")).alias("apart"))
+    whole = named.groupBy("family").agg(F.countDistinct("node").cast("double").alias("c")).join(apart, "family").where("c * c <= apart").select("family", F.lit(True).alias("whole"))
+    unit = F.when(F.col("whole"), F.xxhash64(F.lit("family"), "family")).otherwise(F.xxhash64(F.lit("key"), "key"))
+    parts = named.join(whole, "family", "left").select(unit.alias("unit"), "node", "label").distinct().join(sizes, "node")
+    filled = F.sum(F.greatest(F.lit(LEAST_BYTES), 4 * F.col("n"))).over(Window.partitionBy("unit").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1))
+    parts = scratch.written(parts.withColumn("blk", F.floor(F.coalesce(filled, F.lit(0)) / BLOCK_BYTES)), "parts")
+    blocks = parts.groupBy("unit", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("from"), F.max("label").alias("to"))
+    x, y = (blocks.select("unit", *(F.col(c).alias(c + k) for c in ("blk", "lo", "hi", "from", "to"))) for k in "12")
+    fits = (F.col("blk1") <= F.col("blk2")) & (F.col("hi1") >= F.col("lo2") * SIMILARITY - 1) & (F.least("from1", "from2") < F.greatest("to1", "to2"))
+    meet = scratch.written(x.join(y, "unit").where(fits).select("unit", "blk1", "blk2"), "meet")
+    places = meet.select("unit", "blk1", "blk2", F.explode(F.array_distinct(F.array("blk1", "blk2"))).alias("blk"))
+    blobs = _shingled(own, least, parts.select("node").distinct(), n, scratch)
+    rows = parts.select("unit", "blk", "node", "label").join(places, ["unit", "blk"]).join(blobs, "node").select("unit", "blk1", "blk2", "blk", "node", "label", "blob")
+    return scratch.written(rows.groupBy("unit", "blk1", "blk2").applyInArrow(_block_links, "a long, b long"), "rest")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, node, class (a node) and class_id of each row, as a written table."""
     arrow_rows(docs.sparkSession)
@@ -260,6 +341,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             links = new if links is None else links.unionByName(new)
             n_links += found
             labels = components(links, n_links, scratch)
+    now = members.select("key", "node")
+    now = now.join(broadcast_if_small(labels, NODE_BYTES, 2 * n_links), "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else now.withColumn("label", F.col("node"))
+    open_ = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+    # Buckets of two nodes had their only pair judged.
+    open_ = open_.join(members.groupBy("key").count().where("count > 2").select("key"), "key")
+    rest = scratch.written(now.join(open_, "key").select("key", "node", "label"), "members")
+    new = _rest(own, least, rows.where("n > 0").groupBy("node").agg(F.max("n").alias("n")), rest, scratch)
+    if new is not None and (found := new.count()):
+        links = new if links is None else links.unionByName(new)
+        n_links += found
+        labels = components(links, n_links, scratch)
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"))
     if labels is not None:
         labels = broadcast_if_small(labels, NODE_BYTES, 2 * n_links)

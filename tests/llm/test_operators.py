@@ -449,6 +449,33 @@ def test_near_duplicates_against_all_pairs(spark):
     assert Counter((r.doc_id, r.class_id) for r in near_dup.groups(df).collect()) == plain_classes(docs)
 
 
+@pytest.mark.parametrize("block", [near_dup.BLOCK_BYTES, 200_000])
+def test_near_duplicates_within_a_template(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", block)
+    vocabulary = variety(41, 4000).split()
+    rng = random.Random(42)
+    template = rng.choices(vocabulary, k=350)
+    docs = []
+    for d in range(200):  # siblings at 0.77; those from 120 on have a partner at 0.81
+        own = rng.choices(vocabulary, k=52)
+        docs.append((d, " ".join(template + own)))
+        if d >= 120:
+            docs.append((d + 1000, " ".join(template + own[:14] + rng.choices(vocabulary, k=38))))
+    got = {r.doc_id: r.class_id for r in near_dup.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: d if d < 1000 else d - 1000 for d, _ in docs}
+
+
+def test_overlaps_bound_common_values():
+    rng = np.random.default_rng(43)
+    arrays = [rng.integers(0, m, 60).astype(np.uint32) for m in (20, 100, 400, 3000) for _ in range(12)]
+    got = near_dup.overlaps(arrays)
+    for i, a in enumerate(arrays):
+        for j, b in enumerate(arrays):
+            if i != j:
+                distinct = len(set(a.tolist()) & set(b.tolist()))
+                assert sum((Counter(a.tolist()) & Counter(b.tolist())).values()) <= got[i, j] <= distinct + 60 - max(len(set(a.tolist())), len(set(b.tolist())))
+
+
 def test_alignment_and_bounds():
     rng = random.Random(11)
     for _ in range(300):
