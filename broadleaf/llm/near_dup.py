@@ -1,29 +1,34 @@
 """Near-duplicate classes by Order MinHash, verified by banded alignment.
 
-Texts are lower-cased word sequences and are compared as sequences of five-word
-shingles.  Equal sequences share a node (a 64-bit hash of the text).  Each node
-gets SKETCHES Order MinHash values: the TUPLE least of its shingles, labelled by
-occurrence, under a random order, hashed in the order they have in the text.
-Nodes that share a value share a bucket.  In each round every bucket member is
-paired with the bucket's centre (least, greatest, then by other orders), unless
-both are in one class already; so a bucket of n gives at most n pairs.  A pair is
-a link if the longest common subsequence of its shingles, found by bit-parallel
-alignment within the band that the threshold leaves, is at least SIMILARITY of
-all shingles of both.  Links make classes by label propagation over written
-tables.  Rounds end when nothing is left to pair, or after ROUNDS.  Buckets that
-still hold several classes then have all their pairs across classes judged, in
-blocks of BLOCK_BYTES, each with each whose sizes allow a link: shingles in common
-are counted for all pairs of two blocks at once, and only pairs with enough of them
-are aligned.  So every link between two members of a bucket is found or implied.
-
-Only light rows are kept of all texts.  Shingles are read again just for nodes
-that occur in pairs, once per node.  Copies within a task are counted once before
-any shuffle.
+Texts are lower-cased word sequences.  Equal sequences share a node (a 64-bit hash
+of the text).  Each node gets SKETCHES Order MinHash values: the TUPLE least of its
+five-word shingles, labelled by occurrence, under a random order, hashed in the
+order they have in the text.  Nodes that share a value share a bucket.
+
+Two nodes are a link if the longest common subsequence of their words, found by
+bit-parallel alignment within the band that the threshold leaves, is at least
+SIMILARITY of the words of both taken together.  So a text with one word in ten
+replaced is a copy, although it shares less than 0.8 of its shingles; shingles only
+bring candidates together.  Two texts at the threshold whose edits lie evenly share
+about 0.39 of their shingles, hence a bucket with a chance of 0.90; at 0.85 it is
+0.99, and 0.999 beyond 0.88.
+
+First every bucket member is paired with the bucket's least and greatest node, unless
+both are in one class already: at most two pairs a member.  Buckets that still hold
+several classes then have all their pairs across classes judged, in blocks of
+BLOCK_BYTES, each with each whose sizes allow a link: words in common are counted for
+all pairs of two blocks at once, and only pairs with enough of them are aligned.  So
+every link between two members of a bucket is found or implied, whatever its size.
+Links make classes by label propagation over written tables.
+
+Only light rows are kept of all texts.  Words are read again just for nodes that
+occur in pairs, once per node.  Copies within a task are counted once before any
+shuffle.  A node in many pairs has its words copied under several salts.
 
 Defined results: null text and text without words are classes of their own; texts
-of fewer than five words have one shingle; the class id is its least doc_id (null
-if none has one); rows that share a doc_id each get a row, and deduplicate() keeps
-exactly one row of each class whatever the ids are.
+of fewer than five words have one shingle, so that only equal ones meet; the class id
+is its least doc_id (null if none has one); rows that share a doc_id each get a row,
+and deduplicate() keeps exactly one row of each class whatever the ids are.
 """
 
 from __future__ import annotations
@@ -38,13 +43,18 @@ from pyspark.sql import functions as F
 from .common import Scratch, arrow_rows, broadcast_if_small, remembers, with_texts, written
 
 WORDS, SIMILARITY = 5, 0.8
-SKETCHES, TUPLE, ROUNDS = 20, 3, 4
+SKETCHES, TUPLE = 40, 3
 ORDERS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-#: Other orders of nodes for the centres of later rounds, made by exclusive-or.
-TURNS = (0x5DEECE66D1234567, 0x2545F4914F6CDD1D)
-NODE_BYTES = 64
-#: Shingles of a block of the exact pass; a node counts as LEAST_BYTES at least, so that a block has 512 nodes at most.
+#: A row of two longs in a broadcast hash table.
+NODE_BYTES = 160
+#: Words of a block of the exact pass; a node counts as LEAST_BYTES at least, so that a block has 512 nodes at most.
 BLOCK_BYTES, LEAST_BYTES = 2 << 20, 4096
+#: Nodes that a task remembers to count copies once.
+MOST_SEEN = 200_000
+#: Pairs of a node under one salt.
+SALT_PAIRS = 2000
+#: Words beyond which an alignment looks positions up instead of holding a bit set for each word.
+LONG = 16_384
 
 
 class Hashes(dict):
@@ -68,20 +78,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None) -> tuple[int, np.ndarray]:
-    """The text's node and the 64-bit hashes of its shingles in order."""
+def words(text: str | None) -> tuple[int, np.ndarray]:
+    """The text's node and the 64-bit hashes of its words in order."""
     import xxhash
 
-    words = (text or "").lower().split()
-    node = xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
-    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    found = (text or "").lower().split()
+    node = xxhash.xxh3_64_intdigest(" ".join(found).encode("utf-8", "surrogatepass"))
+    return node, np.fromiter(map(HASHES.__getitem__, found), np.uint64, len(found))
+
+
+def shingles(h: np.ndarray) -> np.ndarray:
+    """64-bit hashes of every WORDS words in a row; one of all words if there are fewer."""
     k = min(WORDS, len(h))
     if not k:
-        return node, h
+        return h
     out = np.zeros(len(h) - k + 1, np.uint64)
     for i in range(k):
         out = out * np.uint64(0xC2B2AE3D27D4EB4F) + h[i : len(h) - k + 1 + i]
-    return node, mixed(out)
+    return mixed(out)
 
 
 def sketches(h: np.ndarray) -> np.ndarray:
@@ -94,7 +108,8 @@ def sketches(h: np.ndarray) -> np.ndarray:
         first = np.maximum.accumulate(np.where(np.append(True, ~repeated), at, 0))
         occurrence = np.empty(n, np.uint64)
         occurrence[order] = (at - first).astype(np.uint64)
-        labelled = mixed(h + occurrence * np.uint64(0xD6E8FEB86659FD93))
+        # a first occurrence keeps its own label, as in texts without repeats
+        labelled = np.where(occurrence == 0, h, mixed(h + occurrence * np.uint64(0xD6E8FEB86659FD93)))
     k = min(TUPLE, n)
     if n <= 100_000:
         keys = mixed_orders(labelled[None, :], ORDERS[:, None])
@@ -113,8 +128,50 @@ def mixed_orders(h: np.ndarray, order: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+class Places:
+    """Where each value of a long list stands; memory is linear in its length."""
+
+    def __init__(self, values: list[int]):
+        codes, inverse, count = np.unique(np.array(values), return_inverse=True, return_counts=True)
+        order, ends = np.argsort(inverse, kind="stable"), np.cumsum(count)
+        self.at = {v: order[e - c : e] for v, e, c in zip(codes.tolist(), ends.tolist(), count.tolist(), strict=True)}
+
+    def bits(self, value: int, low: int, high: int) -> int:
+        """The places of value from low to high - 1, as bits from low."""
+        at = self.at.get(value)
+        if at is None:
+            return 0
+        at = at[np.searchsorted(at, low) : np.searchsorted(at, high)]
+        if len(at) <= 4:
+            return sum(1 << (p - low) for p in at.tolist())
+        some = np.zeros(int(at[-1]) - low + 1, np.uint8)
+        some[at - low] = 1
+        return int.from_bytes(np.packbits(some, bitorder="little").tobytes(), "little")
+
+
+def common_within(a: list[int], b: list[int], band: int) -> int:
+    """As common(), holding only the bits within the band: those before it are settled, those after it still free."""
+    places, n, low, high = Places(a), len(a), 0, min(len(a), band)
+    free, settled = (1 << high) - 1, 0
+    for j, y in enumerate(b):
+        if j + band < n:
+            high += 1
+            free |= 1 << (high - 1 - low)
+        if j > band and low < n:
+            settled += not free & 1
+            free >>= 1
+            low += 1
+        m = places.bits(y, low, high)
+        if m:
+            u = free & m
+            free = ((free + u) | (free - u)) & ((1 << (high - low)) - 1)
+    return settled + (high - low) - free.bit_count()
+
+
 def common(a: list[int], b: list[int], band: int) -> int:
     """Length of the longest common subsequence of a and b among places at most band apart."""
+    if len(a) > LONG:
+        return common_within(a, b, band)
     places: dict[int, int] = {}
     for i, x in enumerate(a):
         places[x] = places.get(x, 0) | 1 << i
@@ -131,7 +188,7 @@ def common(a: list[int], b: list[int], band: int) -> int:
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Common subsequence over all shingles of both; 0 if it is certainly below least."""
+    """Common subsequence over the words of both taken together; 0 if it is below least."""
     total = len(a) + len(b)
     if not len(a) or not len(b):
         return 0.0
@@ -162,13 +219,15 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes, sizes, values = [], [], []
         for text in batch.column(2).to_pylist():
-            node, h = shingles(text)
+            node, h = words(text)
             new = node not in seen
             if new:
+                if len(seen) >= MOST_SEEN:
+                    seen.clear()
                 seen.add(node)
             nodes.append(node)
             sizes.append(len(h))
-            values.append(sketches(h).view(np.int64) if new and len(h) else ())
+            values.append(sketches(shingles(h)).view(np.int64) if new and len(h) else ())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int64()))], schema=schema)
 
 
@@ -179,9 +238,11 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, blobs = [], []
         for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if node not in seen:
+                if len(seen) >= MOST_SEEN:
+                    seen.clear()
                 seen.add(node)
                 nodes.append(node)
-                blobs.append((shingles(text)[1] >> np.uint64(32)).astype(np.uint32).tobytes())
+                blobs.append((words(text)[1] >> np.uint64(32)).astype(np.uint32).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(blobs, pa.binary())], names=["node", "blob"])
 
 
@@ -192,12 +253,17 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def overlaps(arrays: list[np.ndarray]) -> np.ndarray:
-    """For each two arrays, a bound on the values they have in common: exact but for values repeated in both."""
+    """For each two arrays, how many values they have in common, repeats counted."""
     n = len(arrays)
-    distinct = [np.unique(x) for x in arrays]
-    repeats = np.array([len(x) - len(d) for x, d in zip(arrays, distinct, strict=True)])
-    owner = np.repeat(np.arange(n), [len(d) for d in distinct])
-    _, code, count = np.unique(np.concatenate(distinct), return_inverse=True, return_counts=True)
+    labelled = []
+    for x in arrays:
+        x = np.sort(x).astype(np.uint64)
+        new = np.append(True, x[1:] != x[:-1])
+        at = np.arange(len(x))
+        nth = at - np.maximum.accumulate(np.where(new, at, 0))
+        labelled.append(x << np.uint64(32) | nth.astype(np.uint64))
+    owner = np.repeat(np.arange(n), [len(x) for x in labelled])
+    _, code, count = np.unique(np.concatenate(labelled), return_inverse=True, return_counts=True)
     order = np.argsort(code, kind="stable")
     owner, start = owner[order], np.cumsum(count) - count
     total = np.zeros(n * n, np.float32)
@@ -215,7 +281,7 @@ def overlaps(arrays: list[np.ndarray]) -> np.ndarray:
         for i, h in enumerate(part):
             has[owner[start[h] : start[h] + count[h]], i] = 1
         total += has @ has.T
-    return total + np.minimum(repeats[:, None], repeats[None, :])
+    return total
 
 
 def _block_links(group: pa.Table) -> pa.Table:
@@ -257,18 +323,28 @@ def components(links: DataFrame, n: int, scratch: Scratch) -> DataFrame:
             return labels
 
 
-def _shingled(own: DataFrame, least: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """node and blob of n nodes. Shingles are read again for them only."""
+def _blobs_of(own: DataFrame, least: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """node and blob (its words as 32-bit hashes) of n nodes. Texts are read again for them only."""
     needed = scratch.written(few(nodes.join(least, "node").select("node", "raw"), n), "needed")
     found = own.select("raw", "text").join(broadcast_if_small(needed, NODE_BYTES), "raw").select("node", "text").mapInArrow(_blobs, "node long, blob binary")
     return scratch.written(found.groupBy("node").agg(F.first("blob").alias("blob")), "blobs")
 
 
+def _with_words(rows: DataFrame, pairs: DataFrame, blobs: DataFrame, node: str, name: str, n: int) -> DataFrame:
+    """rows, one for each of n pairs, with the words of a node; those of a node in many pairs are copied under salts, so that its pairs spread."""
+    many = pairs.groupBy(node).agg(F.ceil(F.count("*") / SALT_PAIRS).cast("int").alias("salts")).where("salts > 1")
+    many = broadcast_if_small(many, NODE_BYTES, n // SALT_PAIRS)  # each has more than SALT_PAIRS of the n pairs
+    salted = rows.join(many, node, "left").withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+    copies = blobs.withColumnsRenamed({"node": node, "blob": name}).join(many, node, "left")
+    copies = copies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return salted.join(copies, [node, "salt"]).drop("salt")
+
+
 def _judged(own: DataFrame, least: DataFrame, pairs: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """Pairs a, b with ok: whether they are links."""
-    blobs = _shingled(own, least, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), 2 * n, scratch)
-    at_b = pairs.join(blobs.select(F.col("node").alias("b"), F.col("blob").alias("y")), "b")
-    both = at_b.join(blobs.select(F.col("node").alias("a"), F.col("blob").alias("x")), "a").select("a", "b", "x", "y")
+    """n pairs a, b with ok: whether they are links."""
+    blobs = _blobs_of(own, least, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), 2 * n, scratch)
+    at_b = _with_words(pairs.select("a", "b"), pairs, blobs, "b", "y", n)
+    both = _with_words(at_b, pairs, blobs, "a", "x", n).select("a", "b", "x", "y")
     return scratch.written(both.mapInArrow(_verify, "a long, b long, ok boolean"), "judged")
 
 
@@ -294,7 +370,7 @@ def _rest(own: DataFrame, least: DataFrame, sizes: DataFrame, members: DataFrame
     fits = (F.col("blk1") <= F.col("blk2")) & (F.col("hi1") >= F.col("lo2") * SIMILARITY - 1) & (F.least("from1", "from2") < F.greatest("to1", "to2"))
     meet = scratch.written(x.join(y, "unit").where(fits).select("unit", "blk1", "blk2"), "meet")
     places = meet.select("unit", "blk1", "blk2", F.explode(F.array_distinct(F.array("blk1", "blk2"))).alias("blk"))
-    blobs = _shingled(own, least, parts.select("node").distinct(), n, scratch)
+    blobs = _blobs_of(own, least, parts.select("node").distinct(), n, scratch)
     rows = parts.select("unit", "blk", "node", "label").join(places, ["unit", "blk"]).join(blobs, "node").select("unit", "blk1", "blk2", "blk", "node", "label", "blob")
     return scratch.written(rows.groupBy("unit", "blk1", "blk2").applyInArrow(_block_links, "a long, b long"), "rest")
 
@@ -307,32 +383,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("raw"), text.alias("text"))
     rows = scratch.written(own.mapInArrow(_sketch, "doc_id long, raw long, node long, n long, values array<long>"), "sketches")
     keys = rows.where("n > 0").select("node", F.posexplode("values").alias("k", "v")).select(F.xxhash64("k", "v").alias("key"), "node")
-    shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key", F.col("lo").alias("c"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = scratch.written(keys.join(shared, "key").distinct(), "members")  # of buckets with several nodes
     least = rows.where("n > 0").groupBy("node").agg(F.min("raw").alias("raw"))
     tested = links = labels = None
     n_links = 0
-    for r in range(ROUNDS):
-        if r:
-            known = broadcast_if_small(labels, NODE_BYTES, 2 * n_links) if labels is not None else None
-            now = members.select("key", "node").join(known, "node", "left").withColumn("label", F.coalesce("label", "node")) if known is not None else members.select("key", "node", F.col("node").alias("label"))
-            turn = 0 if r < 2 else TURNS[r % len(TURNS)] + r
-            turned = F.col("node").bitwiseXOR(F.lit(turn))
-            end = F.max(turned) if r == 1 else F.min(turned)
-            open_ = now.groupBy("key").agg(end.bitwiseXOR(F.lit(turn)).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key", "c")
-            members = scratch.written(now.join(open_, "key").select("key", "node", "c", "label"), "members")
-            centres = members.where("node = c").select("key", F.col("label").alias("of"))
-            apart = members.join(centres, "key").where("label <> of")
-        else:
-            apart = members.where("node <> c")
+    for end in (F.min, F.max):
+        known = broadcast_if_small(labels, NODE_BYTES, 2 * n_links) if labels is not None else None
+        now = members.select("key", "node").join(known, "node", "left").withColumn("label", F.coalesce("label", "node")) if known is not None else members.select("key", "node", F.col("node").alias("label"))
+        open_ = now.groupBy("key").agg(end("node").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key", "c")
+        members = scratch.written(now.join(open_, "key").select("key", "node", "c", "label"), "members")
+        centres = members.where("node = c").select("key", F.col("label").alias("of"))
+        apart = members.join(centres, "key").where("label <> of") if labels is not None else members.where("node <> c")
         pairs = apart.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.written(pairs, "pairs")
         n = pairs.count()
         if not n:
-            if r > 1:
-                break
             continue
         judged = _judged(own, least, pairs, n, scratch)
         tested = judged.select("a", "b") if tested is None else tested.unionByName(judged.select("a", "b"))
@@ -377,7 +445,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def _nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [shingles(t) for t in batch.column(0).to_pylist()]
+        found = [words(t) for t in batch.column(0).to_pylist()]
         nodes = pa.array([np.uint64(n).view(np.int64).item() if len(h) else None for n, h in found], pa.int64())
         yield pa.RecordBatch.from_arrays([nodes, *batch.columns[1:]], names=["node", *batch.schema.names[1:]])
 
