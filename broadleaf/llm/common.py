@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +15,11 @@ BROADCAST_BYTES = 32 << 20
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is made only where none is set."""
+    """The folder that driver and executors share; a local one is made only where none is set, and only for a local master."""
     root = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="broadleaf-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -38,6 +42,39 @@ def remembers(owner: str, forget) -> None:
         _MEMORIES[owner] = forget
 
 
+class Hashes(dict):
+    """Word to 64-bit hash, filled as words come and emptied when large."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        if len(self) > 150_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers well mixed, one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def text_blocks(texts: Iterable[str | None], chars: int) -> Iterator[list[str]]:
+    """Texts in lists of a bounded number of characters; a longer one comes alone; null is empty."""
+    out, size = [], 0
+    for t in texts:
+        t = t or ""
+        if out and size + len(t) > chars:
+            yield out
+            out, size = [], 0
+        out.append(t)
+        size += len(t)
+    if out:
+        yield out
+
+
 def new_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/broadleaf/{name}-{uuid.uuid4().hex}"
 

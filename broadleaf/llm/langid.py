@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, keep_texts, remembers
+from .common import arrow_rows, keep_texts, remembers, text_blocks
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -37,6 +37,7 @@ MATRIX_BYTES = 64 << 20
 EVIDENCE = 64.0
 SMOOTHING = 0.1
 UNKNOWN = "und"
+BLOCK_CHARS = 2_000_000
 
 
 @functools.lru_cache(1)
@@ -71,19 +72,6 @@ def features(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray
     return starts, out, np.add.reduceat(is_letter[:n], starts, dtype=np.int64)
 
 
-def blocks(texts: Iterable[str], chars: int = 2_000_000) -> Iterator[list[str]]:
-    """Lists of a bounded number of characters; a longer text comes alone."""
-    out, size = [], 0
-    for t in texts:
-        if out and size + len(t) > chars:
-            yield out
-            out, size = [], 0
-        out.append(t)
-        size += len(t)
-    if out:
-        yield out
-
-
 def _count(langs: list[str]):
     schema = pa.schema([("lang", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64())])
 
@@ -95,7 +83,7 @@ def _count(langs: list[str]):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(lang, []).append(text)
             for lang, texts in by.items():
-                for block in blocks(texts):
+                for block in text_blocks(texts, BLOCK_CHARS):
                     for f in features(block)[1]:
                         total[lang] = total.get(lang, 0) + np.bincount(f, minlength=BUCKETS + 1)
         for lang, counts in total.items():
@@ -157,7 +145,7 @@ def _predict(shared):
         model = shared.value
         for batch in batches:
             pred, score = [], []
-            for block in blocks(t or "" for t in batch.column(2).to_pylist()):
+            for block in text_blocks(batch.column(2).to_pylist(), BLOCK_CHARS):
                 best, s = model.score(block)
                 pred += [UNKNOWN if k < 0 else model.langs[k] for k in best.tolist()]
                 score.append(s)
@@ -190,7 +178,7 @@ def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id",
 
     def keep(texts: list[str | None]) -> list[bool]:
         out: list[bool] = []
-        for block in blocks(t or "" for t in texts):
+        for block in text_blocks(texts, BLOCK_CHARS):
             best, score = shared.value.score(block)
             out += ((best >= 0) & (score >= least)).tolist()
         return out

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_rows, broadcast_if_small, remembers, with_texts, written
+from .common import Hashes, Scratch, arrow_rows, broadcast_if_small, mixed, remembers, with_texts, written
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, TUPLE = 40, 3
@@ -57,27 +57,9 @@ SALT_PAIRS = 2000
 LONG = 16_384
 
 
-class Hashes(dict):
-    """Word to 64-bit hash, filled as words come and emptied when large."""
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) > 150_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
-
-
 HASHES = Hashes()
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def words(text: str | None) -> tuple[int, np.ndarray]:
     """The text's node and the 64-bit hashes of its words in order."""
     import xxhash
