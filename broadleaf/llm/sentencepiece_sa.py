@@ -11,10 +11,16 @@ they end and relaxed place by place, all units at once: the encoding of a prefix
 ends in the one piece that can stand after the last piece of the prefix before
 it, that is, where merging the two pieces' characters by rank gives just the two.
 Characters without a piece become byte pieces.  Units are remembered, up to a
-bound, so that only new ones are matched.
+bound in bytes, so that only new ones are matched.
 
-The result equals the sentencepiece library's.  Runs of three or more spaces are
-merged directly, as their pieces all share one rank.
+A unit of more than LONG characters is matched in stretches that overlap, all at
+once: where the last pieces of two stretches agree over as many places as the longest
+piece has characters, they agree from there on.  If they don't, the unit is relaxed
+from its start.  The pieces of a run of spaces share one rank, the last of all, so a
+run is as many of the longest as fit and a rest whose pieces are a table; the last
+space goes to the word behind it if that word's own encoding takes it.
+
+The result equals the sentencepiece library's.
 
 Defined results: null and empty text have no ids and decode to the empty text; the
 mark itself (U+2581) decodes to a space, so that text holding it isn't restored;
@@ -35,11 +41,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, filesystem, remembers
+from .common import arrow_rows, filesystem, remembers, text_blocks
 
 MARK = "▁"
 NORMAL, CONTROL, USER, BYTE = 1, 3, 4, 6
-MOST_UNITS, BLOCK_CHARS, MATCH_CHARS = 200_000, 1_000_000, 150_000
+MOST_BYTES, BLOCK_CHARS, MATCH_CHARS = 48 << 20, 1_000_000, 150_000
+LONG, STRETCH, OVERLAP = 8192, 4096, 512
+#: Bytes that a remembered unit takes besides its characters and ids.
+UNIT_BYTES = 140
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -90,6 +99,7 @@ class Pieces:
         for r, i in enumerate(order):
             self.rank[i] = r
         self._splits()
+        self._runs()
         pairs = {t[k : k + 2] for t in self.ids for k in range(len(t) - 1)}
         self.letter_ends = not any(a.isalpha() and not b.isalpha() for a, b in pairs)
         self._keys()
@@ -134,6 +144,23 @@ class Pieces:
         order = np.argsort(keys)
         self.pair_key, self.pair_to = np.array(keys)[order], np.array(to)[order]
 
+    def _runs(self) -> None:
+        """Pieces of runs of fewer marks than the longest run's, by number; none if runs aren't merged last and alike."""
+        self.run: list[list[int]] = []
+        own = {len(t): i for t, i in self.ids.items() if set(t) == {MARK}}
+        n = max(own, default=1)
+        others = [self.score[i] for t, i in self.ids.items() if len(t) > 1 and set(t) != {MARK}]
+        alike = len({self.score[i] for k, i in own.items() if k > 1}) == 1 and self.score[own[n]] < min(others, default=0.0)
+        if not alike or any(MARK * 2 in t and set(t) != {MARK} for t in self.ids):
+            return
+        plain = [self.merged(MARK * k)[0] for k in range(5 * n)]
+        if all(x == [own[n]] * (k // n) + plain[k % n] for k, x in enumerate(plain)):
+            self.run = plain[: n + 1]
+
+    def run_ids(self, k: int) -> list[int]:
+        n = len(self.run) - 1
+        return self.run[n] * (k // n) + self.run[k % n]
+
     def can_follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether pieces a and b, side by side, are what merging their characters gives: no merge over the seam beats those inside."""
         n, out = len(self.text), np.ones(len(a), bool)
@@ -172,8 +199,8 @@ class Pieces:
 
     # -- matching ---------------------------------------------------------
 
-    def match(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all units, -1 for a character without a piece; and where each unit's end."""
+    def relaxed(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For units end to end, the last piece of each prefix by its end (-1: a character without a piece); starts and ends of units."""
         sizes = np.array([len(u) for u in units])
         codes = self.code[np.frombuffer("".join(units).encode("utf-32-le"), "<u4")]
         ends = np.cumsum(sizes)
@@ -214,6 +241,11 @@ class Pieces:
             ends_at[e[ok]] = p[ok]
             inner = e[ok]
             last[inner] = p[ok]
+        return ends_at, starts, ends
+
+    def match(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, -1 for a character without a piece; and where each unit's end."""
+        ends_at, starts, ends = self.relaxed(units)
         # back from the ends
         at, live, steps = ends.copy(), np.arange(len(units)), []
         while len(live):
@@ -226,6 +258,33 @@ class Pieces:
         order = np.argsort(who, kind="stable")
         return what[order], np.cumsum(np.bincount(who, minlength=len(units)))
 
+    def match_long(self, unit: str) -> list[int]:
+        """Ids of one unit by stretches that overlap."""
+        n = len(unit)
+        begins = range(0, max(1, n - OVERLAP), STRETCH)
+        whole = np.empty(n + 1, np.int32)
+        known = 0  # whole holds the last pieces of prefixes up to here
+        for some in text_blocks((unit[k : k + STRETCH + OVERLAP] for k in begins), MATCH_CHARS):
+            ends_at, starts, ends = self.relaxed(some)
+            for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+                own = ends_at[s + 1 : e + 1]
+                if not known:
+                    whole[1 : len(own) + 1], known, begin = own, len(own), 0
+                    continue
+                begin += STRETCH
+                same = whole[begin + 1 : known + 1] == own[: known - begin]
+                agreed = np.flatnonzero(np.convolve(same, np.ones(self.width), "valid") == self.width) if len(same) >= self.width else ()
+                if not len(agreed):
+                    return self.match([unit])[0].tolist()
+                at = int(agreed[0])
+                whole[begin + 1 + at : begin + len(own) + 1], known = own[at:], begin + len(own)
+        out, at = [], n
+        while at:
+            p = int(whole[at])
+            out.append(p)
+            at -= 1 if p < 0 else int(self.size[p])
+        return out[::-1]
+
     def bytes_of(self, text: str) -> list[int]:
         return [self.byte[b] for b in text.encode()]
 
@@ -241,6 +300,7 @@ class Codec:
         stop = rf"\n{MARK}"
         self.unit = re.compile(rf"{MARK}*(?:{letters}+|(?:(?![{stop}])[\W\d_])+{letters}*)|\n+|{MARK}+" if self.pieces.letter_ends else rf"{MARK}*[^{stop}]+|\n+|{MARK}+")
         self.seen: dict[str, bytes] = {}
+        self.held = 0
 
     def _coded(self, unit: str, ids: list[int]) -> bytes:
         """The ids with byte pieces for characters without a piece."""
@@ -250,30 +310,50 @@ class Codec:
             at += 1 if i < 0 else len(p.text[i])
         return np.array(out, "<u2").tobytes()
 
-    def _learn(self, units: list[str]) -> None:
-        odd = [u for u in units if MARK * 3 in u]
-        for units in blocks((u for u in units if MARK * 3 not in u), MATCH_CHARS):
-            ids, ends = self.pieces.match(units)
+    def _learn(self, units: Iterable[str]) -> None:
+        runs, plain = [], set()
+        for u in units:
+            k = len(u) - len(u.lstrip(MARK))
+            if k < 2 or not self.pieces.run:
+                plain.add(u)
+            else:
+                runs.append((u, k))
+                if k < len(u):
+                    plain.add(MARK + u[k:])
+        plain -= self.seen.keys()
+        for some in text_blocks((u for u in plain if len(u) <= LONG and (self.pieces.run or MARK * 3 not in u)), MATCH_CHARS):
+            ids, ends = self.pieces.match(some)
             raw, last = ids.astype("<u2").tobytes(), 0
-            for u, end in zip(units, (2 * ends).tolist(), strict=True):
-                self.seen[u] = raw[last:end]
+            for u, end in zip(some, (2 * ends).tolist(), strict=True):
+                self._keep(u, raw[last:end])
                 last = end
             for k in np.unique(np.searchsorted(ends, np.flatnonzero(ids < 0), "right")).tolist():
-                self.seen[units[k]] = self._coded(units[k], ids[ends[k - 1] if k else 0 : ends[k]].tolist())
-        for u in odd:
-            self.seen[u] = self._coded(u, self.pieces.merged(u)[0])
+                self._keep(some[k], self._coded(some[k], ids[ends[k - 1] if k else 0 : ends[k]].tolist()))
+        for u in plain - self.seen.keys():
+            self._keep(u, self._coded(u, self.pieces.match_long(u) if self.pieces.run or MARK * 3 not in u else self.pieces.merged(u)[0]))
+        mark = np.array([self.pieces.ids.get(MARK, -1)], "<u2").tobytes()
+        for u, k in runs:
+            word = self.seen[MARK + u[k:]] if k < len(u) else mark
+            alone = word[:2] == mark  # the word leaves the space before it to the run
+            self._keep(u, np.array(self.pieces.run_ids(k if alone else k - 1), "<u2").tobytes() + (word[2:] if alone else word))
+
+    def _keep(self, unit: str, ids: bytes) -> None:
+        self.seen[unit] = ids
+        self.held += 4 * len(unit) + len(ids) + UNIT_BYTES
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.held > MOST_BYTES:
+            self.forget()
         units = [self.unit.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        every = set().union(*units)
-        new = every.difference(self.seen)
-        if new and len(self.seen) + len(new) > MOST_UNITS:
-            self.seen.clear()
-            new = every
+        new = set().union(*units).difference(self.seen)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         return [b"".join(map(self.seen.__getitem__, u)) for u in units]
 
+    def forget(self) -> None:
+        self.seen.clear()
+        self.held = 0
+
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.pieces.shown.__getitem__, np.frombuffer(ids, "<u2").tolist()))
         return raw.decode("utf-8", "replace")[1:] if raw[:1] == b" " else raw.decode("utf-8", "replace")
@@ -286,26 +366,13 @@ def codec(path: str) -> Codec:
         return Codec(f.read())
 
 
-def blocks(texts: Iterable[str | None], chars: int = BLOCK_CHARS) -> Iterator[list[str]]:
-    out, size = [], 0
-    for t in texts:
-        t = t or ""
-        if out and size + len(t) > chars:
-            yield out
-            out, size = [], 0
-        out.append(t)
-        size += len(t)
-    if out:
-        yield out
-
-
 def _encoder(model: str, digest: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        remembers("sentencepiece", c.seen.clear)
+        remembers("sentencepiece", c.forget)
         for batch in batches:
             at = 0
-            for texts in blocks(batch.column(1).to_pylist()):
+            for texts in text_blocks(batch.column(1).to_pylist(), BLOCK_CHARS):
                 coded = c.encode(texts)
                 doc = batch.column(0).slice(at, len(texts))
                 at += len(texts)

@@ -124,6 +124,26 @@ def test_sentencepiece_equals_the_library(spark, odd, none, sf_dir):
     assert sentencepiece_sa.encode(none, path).count() == 0
 
 
+def test_sentencepiece_long_units_and_runs_of_spaces():
+    import time
+
+    import sentencepiece
+
+    path = queries.tokenizer_path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    c = sentencepiece_sa.Codec(open(path, "rb").read())
+    rng = random.Random(33)
+    some = [" " * n + w for n in range(1, 70) for w in ("", "the", "本x", "\n", "1", ", a  b", "zq")]
+    letters = ["".join(rng.choices("etaoinshrdlucmfwypvbgkjqxzé", k=n)) for n in (5000, 9000, 30_000)] + ["abc" * 5000, "a" * 12_345, "ab" * 7000 + "a" * 9001 + "日" * 300]
+    for t in [*some, *letters, "x".join(some), " ".join(letters)]:
+        assert np.frombuffer(c.encode([t])[0], "<u2").tolist() == sp.encode(t), t[:80]
+    for t in (" " * 1_000_000, "x" + " " * 1_000_001 + "end", "".join(rng.choices("etaoinshrdlu", k=1_000_000))):
+        began = time.perf_counter()
+        assert np.frombuffer(c.encode([t])[0], "<u2").tolist() == sp.encode(t)
+        assert time.perf_counter() - began < 30
+    assert c.held <= 2 * sentencepiece_sa.MOST_BYTES
+
+
 # -- 4 ------------------------------------------------------------------------
 
 
@@ -257,44 +277,85 @@ def test_decontamination_finds_edited_and_partial_copies(spark):
 def test_seeds_lose_no_passage():
     rng = random.Random(26)
     vocabulary = [*"abcdefghijkmnopqrst", *variety(28, 40).split()]
-    items = decontaminate.Items(list(range(40)), [" ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 5, 9, 12, 16, 17, 30, 41]))) for _ in range(40)])
+    own = [rng.choices(vocabulary, k=rng.choice([1, 2, 5, 9, 12, 16, 17, 30, 41])) for _ in range(40)]
+    items = decontaminate.Items(list(range(40)), [" ".join(w) for w in own])
     texts = []
     for i in [*range(40)] * 8:
         copy, edits = [], rng.random() / 2
-        for w in items.tokens[i].tolist():
+        for w in own[i]:
             x = rng.random() / edits if edits else 1
-            copy += [w] if x > 1 else [0] if x > 0.5 else [w, 0] if x > 0.25 else []
-        own = [*rng.choices([*items.vocabulary.values(), 0], k=30), *copy, *rng.choices([*items.vocabulary.values(), 0], k=30)]
-        texts.append(" ".join({v: k for k, v in items.vocabulary.items()}.get(n, "none") for n in own))
-    df = np.zeros(len(items.grams), np.int64)
-    for t in texts:
-        df[np.unique(items.hits(items.numbers(t))[1])] += 1
-    want = set()
-    tokens = [items.numbers(t) for t in texts]
-    windows = [(r, i, s) for r, t in enumerate(tokens) for i, m in enumerate(items.sizes.tolist()) for s in range(0, len(t), m // 2 + 1)]
+            copy += [w] if x > 1 else ["none"] if x > 0.5 else [w, "none"] if x > 0.25 else []
+        texts.append(" ".join([*rng.choices([*vocabulary, "none"], k=30), *copy, *rng.choices([*vocabulary, "none"], k=30)]))
+    docs = decontaminate.Texts(texts)
+    df, want = items.frequencies(docs), set()
+    plain = Counter(g for t in texts for g in {x for n in (1, 2) for x in decontaminate.Texts([t]).grams(n)[1].tolist()})
+    assert df.tolist() == [plain[g] for g in items.grams.tolist()]
+    windows = [(r, i, s) for r in range(len(texts)) for i, m in enumerate(items.sizes.tolist()) for s in range(0, int(docs.starts[r + 1] - docs.starts[r]), m // 2 + 1)]
     for a in range(0, len(windows), 5000):
-        for (r, i, _), score in zip(windows[a : a + 5000], items._align(windows[a : a + 5000], tokens), strict=True):
+        for (r, i, _), score in zip(windows[a : a + 5000], items._align(windows[a : a + 5000], docs), strict=True):
             m = int(items.sizes[i])
             if score >= max(decontaminate.MIN_SHARE * decontaminate.MATCH * m, decontaminate.MATCH * min(m, decontaminate.SHORT)):
                 want.add((r, i))
     items.keep_rare(df)
-    assert {(r, i) for r, i, _ in items.matches(texts)} == want
+    assert {(r, i) for r, i, _ in items.matches(docs)} == want
 
 
 def test_alignment_against_plain_dynamic_programming():
     rng = random.Random(7)
     items = decontaminate.Items(list(range(8)), [" ".join(rng.choices("abcdefghijk", k=rng.randint(3, 25))) for _ in range(8)])
-    passages = [items.numbers(" ".join(rng.choices("abcdefghijkxyz", k=rng.randint(1, 60)))) for _ in range(8)]
+    docs = decontaminate.Texts(" ".join(rng.choices("abcdefghijkxyz", k=rng.randint(1, 60))) for _ in range(8))
     windows = [(r, i, 0) for r in range(8) for i in range(8)]
-    for (r, i, _), got in zip(windows, items._align(windows, passages), strict=True):
-        a, m = items.tokens[i], int(items.sizes[i])
-        b = passages[r][: 2 * m + 2]
-        h = np.zeros((len(a) + 1, len(b) + 1), int)
-        for x in range(1, len(a) + 1):
-            for y in range(1, len(b) + 1):
-                s = decontaminate.MATCH if a[x - 1] == b[y - 1] else decontaminate.MISMATCH
-                h[x, y] = max(0, h[x - 1, y - 1] + s, h[x - 1, y] + decontaminate.GAP, h[x, y - 1] + decontaminate.GAP)
-        assert got == h.max()
+    for (r, i, _), got in zip(windows, items._align(windows, docs), strict=True):
+        m = int(items.sizes[i])
+        a = items.texts.hashes[items.texts.starts[i] : items.texts.starts[i + 1]]
+        b = docs.hashes[docs.starts[r] : docs.starts[r + 1]][: 2 * m + 2]
+        assert got == plain_alignment(a, b).max()
+
+
+def plain_alignment(a, b):
+    """All local scores of two sequences, by plain dynamic programming."""
+    h = np.zeros((len(a) + 1, len(b) + 1), int)
+    for x in range(1, len(a) + 1):
+        for y in range(1, len(b) + 1):
+            s = decontaminate.MATCH if a[x - 1] == b[y - 1] else decontaminate.MISMATCH
+            h[x, y] = max(0, h[x - 1, y - 1] + s, h[x - 1, y] + decontaminate.GAP, h[x, y - 1] + decontaminate.GAP)
+    return h
+
+
+def test_decontamination_of_all_documents_against_all_alignments(spark):
+    """Every item of sf0.01 against every whole document, without seeds: none is missed, none is made up."""
+    sf = "/root/testdata/sf0.01"
+    docs, bench = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    got = {(r.doc_id, r.item_id): r.share for r in decontaminate.contaminated(docs, bench).collect()}
+    items = decontaminate.Items(*map(list, zip(*((r.item_id, r.text) for r in bench.collect()), strict=True)))
+    want = {}
+    for doc_id, text in texts(docs):
+        one = decontaminate.Texts([text])
+        size = int(one.starts[1])
+        for i, m in enumerate(items.sizes.tolist()):
+            # an item whose words, repeats counted, cover too little of it can't reach the score
+            a = items.texts.hashes[items.texts.starts[i] : items.texts.starts[i + 1]]
+            if 2 * np.isin(a, one.hashes).sum() < max(decontaminate.MIN_SHARE * decontaminate.MATCH * m, decontaminate.MATCH * min(m, decontaminate.SHORT)):
+                continue
+            starts = [(0, i, s) for s in range(0, size, m // 2 + 1)]
+            best = max((max(items._align(starts[k : k + 500], one)) for k in range(0, len(starts), 500)), default=0)
+            if best >= max(decontaminate.MIN_SHARE * decontaminate.MATCH * m, decontaminate.MATCH * min(m, decontaminate.SHORT)):
+                want[doc_id, items.ids[i]] = best / (decontaminate.MATCH * m)
+    assert len(want) >= 20 and set(got) == set(want) and all(abs(got[k] - want[k]) < 0.2 for k in want)
+
+
+def test_decontamination_in_blocks_and_of_long_items(spark, monkeypatch):
+    rng = random.Random(36)
+    vocabulary = variety(38, 3000).split()
+    items = [(i, " ".join(rng.choices(vocabulary, k=30))) for i in range(40)] + [(99, " ".join(rng.choices(vocabulary, k=6000)))]
+    docs = [(d, " ".join([*rng.choices(vocabulary, k=80), *items[d][1].split(), *rng.choices(vocabulary, k=80)])) for d in range(0, 41, 3)] + [(100, items[40][1]), (101, None)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(d, d) for d in range(0, 39, 3)} | {(39, 39), (100, 99)}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()} == want
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 1000)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate.remove_contaminated(df, bench).collect()} == {101}
+    assert decontaminate.contaminated(df, bench)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # one pass besides that for the counts
 
 
 # -- 7 ------------------------------------------------------------------------
