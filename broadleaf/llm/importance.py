@@ -3,9 +3,8 @@
 Words and punctuation runs, and pairs of neighbours, are hashed into BUCKETS.
 One pass over all documents counts them for the raw model, and for the target
 model in labelled documents of good quality, up to TARGET_DOCS of them picked by
-a hash of their id.  A second pass sums log(target / raw) over each whole text;
-the log weight is that sum with evidence scaled to at most EVIDENCE n-grams, so
-long texts don't drown the draw.  Adding Gumbel noise, keyed by id and text hash,
+a hash of their id.  A second pass sums log(target / raw) over each whole text: the
+log weight is the log ratio of what the two models make of the text.  Adding Gumbel noise, keyed by id and text hash,
 and keeping the top k draws without replacement by weight.  The k-th key is found
 by counting keys by digit, level by level, so no task sorts or holds all keys.
 
@@ -30,7 +29,7 @@ from .common import arrow_rows, remembers, written
 BITS = 14
 BUCKETS = 1 << BITS
 TARGET_DOCS = 20_000
-EVIDENCE, SMOOTHING = 200.0, 1.0
+SMOOTHING = 1.0
 KEEP_SHARE = 0.8
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 DIGIT_BITS, KEY_UNIT = 12, 1 << 20
@@ -99,10 +98,7 @@ def _score(shared):
         ratio = shared.value
         remembers("importance", HASHES.clear)
         for batch in batches:
-            out = []
-            for text in batch.column(2).to_pylist():
-                f = features(text or "")
-                out.append(float(ratio[f].sum()) * min(1.0, EVIDENCE / max(1, len(f))))
+            out = [float(ratio[features(text or "")].sum()) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["doc_id", "text_hash", "log_weight"])
 
     return run
