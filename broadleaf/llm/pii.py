@@ -7,13 +7,15 @@ the same form: separators, letter case and check digits stay right
 (mixed-case hexadecimal becomes lower case).  The key and the
 form fix the permutation, so equal values get equal pseudonyms in all documents,
 different values of one form different ones, and the holder of the key can
-reverse it.  Invalid numbers (a card number that fails Luhn, 31 February) are not
-personal data and stay.
+reverse it.  Invalid numbers (a card number that no issuer has or that fails Luhn,
+31 February) are not personal data and stay.
 
-Forms: e-mail addresses (all but the last two host labels), telephone numbers
-(+country code, or North American groups), IPv4 addresses, payment cards, IBANs,
-US social security numbers, numeric dates, MAC addresses, and hexadecimal secrets
-that follow a word such as `token`.
+Forms: e-mail addresses (all but the last two host labels; letters of any script),
+telephone numbers (+country code, or North American groups; area and exchange that
+the North American plan has become such ones), IPv4 addresses, payment cards (the
+first KEPT_DIGITS digits name the issuer and stay), IBANs, US social security numbers,
+numeric dates, also before a time of day, MAC addresses, and hexadecimal secrets that
+follow a word such as `token`.
 
 Defined results: null text stays null and counts 0; text is read whole, and comes back
 unchanged where nothing is found; repeated rows are treated alike; other columns pass
@@ -23,8 +25,10 @@ through replace(), and are ignored by pseudonyms().
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from math import isqrt
@@ -39,17 +43,24 @@ ROUNDS = 10
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 HEX, HEX_UPPER = "0123456789abcdef", "0123456789ABCDEF"
 
-EMAIL = re.compile(r"(?<![\w.+%-])[\w+%-]+(?:\.[\w+%-]+)*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])")
+EMAIL = re.compile(r"(?<![\w.+%-])[\w+%-]+(?:\.[\w+%-]+)*@(?:[^\W_](?:[\w-]*[^\W_])?\.)+[^\W\d_]{2,}(?![\w-])")
 NUMBERS = re.compile(
     r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
     r"|(?P<mac>(?<![\w:-])[0-9A-Fa-f]{2}(?P<m>[:-])[0-9A-Fa-f]{2}(?:(?P=m)[0-9A-Fa-f]{2}){4}(?![\w:-]))"
     r"|(?P<secret>(?i:(?<![A-Za-z])(?:token|secret|api[_-]?key|access[_-]?key|password|passwd)\b[\"']?\s*[=:]\s*[\"']?)[0-9A-Fa-f]{16,128}(?![0-9A-Za-z]))"
     r"|(?<![\w.])(?:(?P<ip>\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
-    r"|(?P<date>\d{4}(?P<d>[-/.])\d{1,2}(?P=d)\d{1,2}(?!\w|[-/.]\d)|\d{1,2}(?P<e>[-/.])\d{1,2}(?P=e)\d{4}(?!\w|[-/.]\d))"
+    r"|(?P<date>\d{4}(?P<d>[-/.])\d{1,2}(?P=d)\d{1,2}(?=[T_]\d\d:|(?!\w|[-/.]\d))|\d{1,2}(?P<e>[-/.])\d{1,2}(?P=e)\d{4}(?!\w|[-/.]\d))"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4}(?![\w]|-\d))"
     r"|(?P<card>(?:\d{4}(?P<k>[ -])\d{4}(?P=k)\d{4}(?P=k)\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\w)))"
     r"|(?P<phone>(?<![\w+.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4})(?![\w]|[ .-]\d))"
 )
+#: First digits of payment cards by issuer, from and to, and how many digits such a card has.
+ISSUERS = (
+    ("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)), ("6011", "6011", (16, 19)), ("644", "659", (16, 19)),
+    ("3528", "3589", (16, 17, 18, 19)), ("300", "305", (14, 16)), ("3095", "3095", (14, 16)), ("36", "36", (14, 15, 16, 17, 18, 19)), ("38", "39", (14, 16)), ("62", "62", (16, 17, 18, 19)), ("50", "50", (13, 14, 15, 16, 17, 18, 19)), ("56", "58", (13, 14, 15, 16, 17, 18, 19)),
+)
+#: First digits of a card that its pseudonym keeps: every issuer above can be told by them.
+KEPT_DIGITS = 4
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 #: Lengths of country codes by their first digits; all others have three digits.
 ONE_DIGIT_CODES = ("1", "7")
@@ -60,6 +71,23 @@ def luhn(digits: str) -> bool:
     return sum(sum(divmod(2 * int(d), 10)) if k % 2 else int(d) for k, d in enumerate(reversed(digits))) % 10 == 0
 
 
+def is_card(digits: str) -> bool:
+    """Whether an issuer has cards of these first digits and this length, and the check digit is right."""
+    return any(low <= digits[: len(low)] <= high and len(digits) in sizes for low, high, sizes in ISSUERS) and luhn(digits)
+
+
+def is_north_american(body: str) -> bool:
+    """Whether area and exchange are as the North American plan has them: neither begins with 0 or 1 nor ends in 11."""
+    return len(body) == 10 and all(x[0] not in "01" and x[1:] != "11" for x in (body[:3], body[3:6]))
+
+
+@functools.lru_cache(4096)
+def alike(c: str) -> str:
+    """The letters of a character's kind among the 64 around it; nothing for what isn't a letter."""
+    first = ord(c) & ~63
+    return "".join(x for x in map(chr, range(first, first + 64)) if unicodedata.category(x) == unicodedata.category(c)) if c.isalpha() else ""
+
+
 def iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
@@ -92,8 +120,8 @@ class Pseudonyms:
                 return x
 
     def characters(self, text: str, form: str) -> str:
-        """Digits to digits and letters to letters of the same case, as one number; other characters stay."""
-        sets = [DIGITS if c in DIGITS else LOWER if c in LOWER else UPPER if c in UPPER else "" for c in text]
+        """Digits to digits and letters to letters of the same case and script, as one number; other characters stay."""
+        sets = [DIGITS if c in DIGITS else LOWER if c in LOWER else UPPER if c in UPPER else alike(c) for c in text]
         return self._spelled(text, sets, form + "".join(s[:1] or c for s, c in zip(sets, text, strict=True)))
 
     def _spelled(self, text: str, sets: list[str], form: str) -> str:
@@ -140,9 +168,10 @@ class Pseudonyms:
 
     def card(self, text: str) -> str | None:
         digits = re.sub(r"\D", "", text)
-        if not luhn(digits) or len(set(digits)) == 1:
+        if not is_card(digits):
             return None
-        new = f"{self.permute(int(digits[:-1]), 10 ** (len(digits) - 1), f'card{len(digits)}'):0{len(digits) - 1}d}"
+        kept, n = digits[:KEPT_DIGITS], len(digits) - KEPT_DIGITS - 1
+        new = kept + f"{self.permute(int(digits[KEPT_DIGITS:-1]), 10**n, f'card{len(digits)}/{kept}'):0{n}d}"
         new += next(c for c in DIGITS if luhn(new + c))
         found = iter(new)
         return re.sub(r"\d", lambda _: next(found), text)
@@ -209,8 +238,12 @@ class Pseudonyms:
                 return None
         elif len(digits) == 11:
             code = 1
-        body = digits[code:]
-        new = f"{self.permute(int(body), 10 ** len(body), f'phone{digits[:code]}/{len(body)}'):0{len(body)}d}"
+        new = body = digits[code:]
+        north = len(body) == 10 and digits[:code] in ("", "1")
+        while True:
+            new = f"{self.permute(int(new), 10 ** len(body), f'phone{digits[:code]}/{len(body)}'):0{len(body)}d}"
+            if is_north_american(new) == is_north_american(body) if north else (new[0] == "0") == (body[0] == "0"):
+                break  # else what was in the number plan has left it, or the reverse: walk on
         found = iter(digits[:code] + new)
         return re.sub(r"\d", lambda _: next(found), text)
 
