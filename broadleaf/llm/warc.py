@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, new_dir, written
+from .common import broadcast_if_small, filesystem, new_dir, written
 
 MIN_REVISIT = 100
 ARCHIVE_BYTES = 32 << 20
@@ -62,9 +62,13 @@ def from_urn(text: str) -> int | None:
     return None if x == "none" else int(x)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """One whole record with its closing blank lines."""
-    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + (b"" if revisit else payload)
+#: A digest and a page id in a broadcast hash table.
+SHARED_BYTES = 300
+
+
+def record(page_id: int | None, url: str | None, payload: bytes | None, n_bytes: int, digest: str, refers_to: int | None, revisit: bool) -> bytes:
+    """One whole record with its closing blank lines; of a revisit the payload isn't written."""
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % n_bytes + (b"" if revisit else payload or b"")
     target = quote(url, safe="!#$%&'()*+,/:;=?@[]~") if url else urn(page_id)[1:-1]
     head = [f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {urn(page_id)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha256:{digest}"]
     if revisit:
@@ -190,10 +194,8 @@ def _writer(folder: str):
             return pa.RecordBatch.from_pydict({"path": [name], "records": [len(held)], "bytes": [len(data)]}, schema=pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
         for batch in batches:
-            for x in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                page_id, url, payload, refers_to, revisit = x
-                payload = payload or b""
-                raw = record(page_id, url, payload, hashlib.sha256(payload).hexdigest(), refers_to, revisit)
+            for x in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+                raw = record(*x)
                 held.append(raw)
                 size += len(raw)
                 if size >= ARCHIVE_BYTES:
@@ -211,9 +213,12 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT
     fs.create_dir(base, recursive=True)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha2("payload", 256))
     shared = own.where(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1 and first is not null").select("digest", "first")
-    roles = own.join(shared.hint("shuffle_hash"), "digest", "left")
+    shared = written(shared, "shared", f"{folder}-shared")
+    roles = own.join(broadcast_if_small(shared, SHARED_BYTES), "digest", "left")
     revisit = F.col("first").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
-    rows = roles.select("page_id", "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"), F.coalesce(revisit, F.lit(False)).alias("revisit"))
+    revisit = F.coalesce(revisit, F.lit(False))
+    light = F.when(~revisit, F.col("payload"))  # of a revisit only length and digest are written
+    rows = roles.select("page_id", "url", light.alias("payload"), F.octet_length("payload").alias("n_bytes"), "digest", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
     return written(rows.mapInArrow(_writer(folder), "path string, records long, bytes long"), "archives", f"{folder}-listed")
 
 
@@ -234,8 +239,8 @@ def _reader(folder: str):
 
 def read_archives(listed: DataFrame, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record of the listed archives (path, records)."""
-    n = max(1, listed.sparkSession.sparkContext.defaultParallelism)
-    return listed.select("path", "records").repartition(max(n, listed.rdd.getNumPartitions())).mapInArrow(_reader(folder), RECORD_DDL)
+    tasks = max(1, listed.sparkSession.sparkContext.defaultParallelism, listed.count() // 8)
+    return listed.select("path", "records").repartition(tasks).mapInArrow(_reader(folder), RECORD_DDL)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
