@@ -79,6 +79,10 @@ def unit_starts(raw: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(is_start)
 
 
+class Seam(Exception):
+    """A token reaches over the start of a unit: the texts must be encoded whole."""
+
+
 class Encoder:
     """tokenizers' encoding of whole texts as little-endian 16-bit ids, with a bounded memory of units."""
 
@@ -107,7 +111,7 @@ class Encoder:
         want = np.cumsum([len(u.encode()) for u in units])
         cut = np.searchsorted(ends, want)
         if not len(ends) or not np.array_equal(ends[cut], want):
-            raise ValueError("a token reaches over the start of a unit")
+            raise Seam
         raw, last, out = ids.tobytes(), 0, []
         for c in (2 * (cut + 1)).tolist():
             out.append(raw[last:c])
@@ -150,7 +154,10 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [bool(t) and not NOT_PLAIN.search(t) and not any(a in t for a in self.added) for t in texts]
-        by_units = iter(self._by_units([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else ())
+        try:
+            by_units = iter(self._by_units([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else ())
+        except Seam:
+            return self._plain(texts)
         whole = iter(self._plain([t for t, p in zip(texts, plain, strict=True) if not p]))
         return [next(by_units if p else whole) for p in plain]
 
