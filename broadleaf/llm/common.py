@@ -110,6 +110,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is on this and every other machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if its counted size allows one; else as it is, for a shuffled join."""
     rows = df.count() if rows is None else rows

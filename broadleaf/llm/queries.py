@@ -6,13 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, token_store, url_filter, warc
-from .common import table
-
-
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+from . import pipeline as corpus
+from .common import table, tokenizer_path
+from .pipeline import PII_KEY
 
 
 #: (host, path prefix, verdict)
@@ -23,18 +19,18 @@ URL_RULES = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-#: Hosts with a label of advertising or tracking; the URLs seen on them make the list of op1.
-AD_HOSTS = r"(^|[.-])(ads?|adserver|banner|beacon|pixel|track(er|ing)?)([.-]|$)"
 
 
-def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    listed = pages.where(url_filter.host(F.col("url")).rlike(AD_HOSTS)).select("url")
-    return url_filter.judge(pages, listed, URL_RULES)
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """A made-up list for op1: the URLs whose canonical form has an MD5 that starts with 0 or 1, and below all others one that no page has."""
+    c = url_filter.canonical(F.col("url"))
+    rows = pages.where(c.isNotNull()).select("url", c.alias("c"), F.substring(F.md5(c), 1, 1).alias("m"))
+    return rows.select(F.when(F.col("m").isin("0", "1"), F.col("url")).otherwise(F.concat(F.lit("https://"), "c", F.lit("/unlisted"))).alias("url"))
 
 
-#: The key of this repository's own runs; a deployment sets its own.
-PII_KEY = b"broadleaf example key"
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, listed_urls(pages), URL_RULES)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,9 +70,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
+    return corpus.run(spark, sf_dir)
 
 
 QUERIES = {
@@ -106,7 +100,7 @@ q AS (
 c AS (
   SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/$', '')
          || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END AS canonical FROM q),
-listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|[.-])(ads?|adserver|banner|beacon|pixel|track(er|ing)?)([.-]|$)')),
+listed AS (SELECT DISTINCT CASE WHEN substr(md5(canonical), 1, 1) IN ('0', '1') THEN canonical ELSE canonical || '/unlisted' END AS canonical FROM c),
 r AS (
   SELECT *, CASE
     WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'

@@ -76,7 +76,7 @@ def test_url_filter_is_exact(spark, monkeypatch, broadcast):
 def test_pii_forms_are_kept_and_reversible():
     p, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", reverse=True)
     values = {
-        "email": ["bob.smith99@mail5.example.com"], "phone": ["+1 (499) 555-6503", "(212) 555-0123", "+49 30 1234567"], "ip": ["188.54.39.104"], "card": ["4111 1111 1111 1111", "378282246310005"],
+        "email": ["bob.smith99@mail5.example.com"], "phone": ["+1 (499) 555-6503", "(212) 555-0123", "+49 30 1234567"], "ip": ["188.54.39.104"], "card": ["4111 1111 1111 1111", "378282246310005", "5555555555554444"],
         "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"], "ssn": ["123-45-6789"], "date": ["1985-02-28", "31/12/1999", "12/31/1999", "1.5.2001"], "secret": ['token = "' + "1eb9c654" * 5], "mac": ["00:1A:2B:3C:4D:5E"],
     }
     for form, some in values.items():
@@ -95,6 +95,115 @@ def test_pii_forms_are_kept_and_reversible():
     assert len({p.date(f"{m:02d}/{d:02d}/2001") for m in range(1, 13) for d in range(1, 29)}) == 12 * 28
 
 
+def test_pii_pseudonyms_stay_in_their_number_plans():
+    p, back = pii.Pseudonyms(b"k"), pii.Pseudonyms(b"k", reverse=True)
+    rng = random.Random(22)
+    for _ in range(300):
+        card = rng.choice(["4", "51", "2345", "6011", "3530"]) + "".join(rng.choices("0123456789", k=15))
+        card = next(card[:15] + c for c in "0123456789" if pii.luhn(card[:15] + c))
+        new = p.card(card)
+        assert pii.is_card(new) and new[:4] == card[:4] and back.card(new) == card
+        area, exchange = (rng.choice("23456789") + rng.choice("023456789") + rng.choice("0123456789") for _ in range(2))
+        phone = f"({area}) {exchange}-{rng.randrange(10_000):04d}"
+        new = p.phone(phone)
+        assert new[1] in "23456789" and new[6] in "23456789" and new[2:4] != "11" and new[7:9] != "11" and back.phone(new) == phone
+    assert p.replace("1232810148878564 0810992847249404 9980942693487187")[1] == {}  # no issuer has such numbers
+    new, counts = p.replace("at 2024-01-05T10:00:00Z by jörg.müßig@bücher.münchen.example.de and 用户@例子.公司.example.cn")
+    assert counts == {"date": 1, "email": 2} and "T10:00:00Z by " in new and new.endswith(".example.cn") and "jörg" not in new and "用户" not in new and "münchen" not in new
+    assert back.replace(new)[0] == "at 2024-01-05T10:00:00Z by jörg.müßig@bücher.münchen.example.de and 用户@例子.公司.example.cn"
+
+
+def plain_pseudonym(key, form, x, n):
+    """A keyed permutation of 0..n-1, written again with big integers."""
+    import math
+
+    k, tag = hashlib.blake2b(key, digest_size=32).digest(), hashlib.blake2b(form.encode(), digest_size=15).digest()
+    a = math.isqrt(n - 1) + 1
+    b = (n + a - 1) // a
+    while True:
+        sides, sizes = [x // b, x % b], [a, b]
+        for i in range(10):
+            f = int.from_bytes(hashlib.blake2b(sides[1].to_bytes(64, "little"), digest_size=32, key=k, salt=tag + bytes([i]), person=b"feistel").digest(), "little")
+            sides, sizes = [sides[1], (sides[0] + f) % sizes[0]], [sizes[1], sizes[0]]
+        x = sides[0] * b + sides[1]
+        if x < n:
+            return x
+
+
+def plain_pii(key, text):
+    """The forms that the test documents hold, found by other patterns and replaced one form after another."""
+    n = Counter()
+
+    def spell(value, form):
+        sets = [next((s for s in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c in s), "") for c in value]
+        x = size = 0
+        size = 1
+        for c, s in zip(value, sets, strict=True):
+            if s:
+                x, size = x * len(s) + s.index(c), size * len(s)
+        x, out = plain_pseudonym(key, form + "".join(s[:1] or c for s, c in zip(sets, value, strict=True)), x, size), []
+        for c, s in zip(value[::-1], sets[::-1], strict=True):
+            out.append(s[x % len(s)] if s else c)
+            x //= len(s) or 1
+        return "".join(out[::-1])
+
+    def email(m):
+        n["email"] += 1
+        return spell(m[1], "email") + m[2]
+
+    def phone(m):
+        n["phone"] += 1
+        body = new = re.sub(r"\D", "", m[0])[1:]
+        plan = lambda d: d[0] in "23456789" and d[3] in "23456789" and d[1:3] != "11" and d[4:6] != "11"
+        while True:
+            new = f"{plain_pseudonym(key, 'phone1/10', int(new), 10**10):010d}"
+            if plan(new) == plan(body):
+                return f"+1 ({new[:3]}) {new[3:6]}-{new[6:]}"
+
+    def ip(m):
+        if any(int(x) > 255 or x != str(int(x)) for x in m[0].split(".")):
+            return m[0]
+        n["ip"] += 1
+        x = 0
+        for part in m[0].split("."):
+            x = x * 256 + int(part)
+        x = plain_pseudonym(key, "ip", x, 1 << 32)
+        return ".".join(str(x >> s & 255) for s in (24, 16, 8, 0))
+
+    def check(d):
+        return sum(int(c) if k % 2 else sum(map(int, str(2 * int(c)))) for k, c in enumerate(reversed(d))) * 9 % 10
+
+    def card(m):
+        d = m[0]
+        visa, master = d[0] == "4", 51 <= int(d[:2]) <= 55 or 2221 <= int(d[:4]) <= 2720
+        others = d[:4] == "6011" or 644 <= int(d[:3]) <= 659 or 3528 <= int(d[:4]) <= 3589 or d[:2] in ("36", "38", "39", "62", "50", "56", "57", "58") or 300 <= int(d[:3]) <= 305 or d[:4] == "3095"
+        if not (visa or master or others) or str(check(d[:-1])) != d[-1]:
+            return d
+        n["card"] += 1
+        new = d[:4] + f"{plain_pseudonym(key, 'card16/' + d[:4], int(d[4:-1]), 10**11):011d}"
+        return new + str(check(new))
+
+    def secret(m):
+        n["secret"] += 1
+        x = plain_pseudonym(key, "secret40f", int(m[2], 16), 16**40)
+        return m[1] + f"{x:040x}"
+
+    for pattern, put in ((r"([\w+%.-]+@(?:\w+\.)*)(\w+\.[a-z]+)", email), (r"\+1 \(\d{3}\) \d{3}-\d{4}", phone), (r"(?<![\w.])\d+\.\d+\.\d+\.\d+(?![\w]|\.\d)", ip), (r"(?<![\w.])\d{16}(?!\w)", card), (r"(token = \")([0-9a-f]{40})", secret)):
+        text = re.sub(pattern, put, text)
+    return text, +n
+
+
+def test_pii_of_all_documents_against_a_plain_replacer(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    old, back, seen = dict(texts(docs)), pii.Pseudonyms(b"k", reverse=True), Counter()
+    for r in pii.pseudonyms(docs, b"k").collect():
+        want, counts = plain_pii(b"k", old[r.doc_id] or "")
+        assert (r.text or "", r.kinds) == (want, ",".join(f"{k}:{counts[k]}" for k in sorted(counts))), r.doc_id
+        assert back.replace(r.text or "")[0] == (old[r.doc_id] or "")
+        seen += counts
+    assert set(seen) == {"email", "phone", "ip", "card", "secret"}
+
+
 def test_pii_rows(spark, odd, none):
     df = odd.unionByName(spark.createDataFrame([(20, "mail a.b@c.example.com and a.b@c.example.com", "en", "a", 1)], DOCS).withColumn("c0", F.lit("clash")).withColumn("t", F.lit(1)).withColumn("_node", F.lit(2.5)))
     rows = {r.doc_id: r for r in pii.pseudonyms(df, b"k").collect()}
@@ -158,7 +267,7 @@ def test_warc(spark, sf_dir):
 
 
 def test_warc_archives_are_checked():
-    raw = [warc.record(i, f"http://a/{i}", variety(i, 300).encode(), hashlib.sha256(variety(i, 300).encode()).hexdigest(), None, False) for i in range(300)]
+    raw = [warc.record(i, f"http://a/{i}", variety(i, 300).encode(), len(variety(i, 300).encode()), hashlib.sha256(variety(i, 300).encode()).hexdigest(), None, False) for i in range(300)]
     data = warc.archive(raw)
     assert data[:4] == warc.DICT_MAGIC and list(warc.records(data)) == raw
     assert list(warc.records(warc.archive(raw[:2]))) == raw[:2]  # too few for a dictionary
@@ -385,6 +494,43 @@ def test_language_does_not_depend_on_neighbours():
         assert one[0][0] == many[0][k] and abs(one[1][0] - many[1][k]) < 1e-9
 
 
+def plain_bayes(train, texts_):
+    """Multinomial naive Bayes over hashed 1- to 3-grams by loops and dictionaries."""
+    import math
+
+    def grams(t):
+        low = [ord(c) if c.isalpha() else 32 for c in "  " + t.lower() + "  "]
+        for i in range(len(low) - 2):
+            h = 0
+            for k in range(3):
+                h = (h * 0x01000193 + low[i + k] * 0x9E3779B1 + k + 1) & 0xFFFFFFFF
+                if any(c != 32 for c in low[i : i + k + 1]):
+                    yield (((h ^ h >> 15) * 0x85EBCA77) & 0xFFFFFFFF) >> 17
+
+    counts, docs = {}, Counter()
+    for lang, t in set(train):
+        docs[lang] += 1
+        counts.setdefault(lang, Counter()).update(grams(t))
+    total = {k: sum(c.values()) + 0.1 * (1 << 15) for k, c in counts.items()}
+    for t in texts_:
+        found = Counter(grams(t))
+        if not any(c.isalpha() for c in t):
+            yield "und", 0.0
+            continue
+        n = sum(found.values())
+        log = {k: (math.log(docs[k] / sum(docs.values())) + sum(m * math.log((counts[k][g] + 0.1) / total[k]) for g, m in found.items())) * 64 / max(n, 64) for k in sorted(counts)}
+        best = max(log, key=log.get)
+        yield best, 1 / sum(math.exp(x - log[best]) for x in log.values())
+
+
+def test_language_against_plain_bayes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").collect()
+    got = {r.doc_id: r for r in langid.identify(table(spark, sf_dir, "documents")).collect()}
+    train = [(r.lang, r.text) for r in docs if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    for r, (lang, score) in zip(docs, plain_bayes(train, [r.text or "" for r in docs]), strict=True):
+        assert got[r.doc_id].lang_pred == lang and abs(got[r.doc_id].score - score) < 1e-4
+
+
 # -- 8 ------------------------------------------------------------------------
 
 
@@ -420,20 +566,57 @@ def test_quality_outliers(spark, odd, none, sf_dir):
     assert quality_rules.judge(odd).count() == odd.count() and quality_rules.judge(none).count() == 0
 
 
-def test_covariance_steps_find_planted_outliers(spark):
+def plain_mcd(x, starts=60):
+    """Least determinant of a covariance of SUPPORT of the rows that concentration steps from random starts lead to, with floors as in the operator."""
+    rng, floor, h = np.random.default_rng(1), np.array(list(quality_rules.FLOORS.values())) ** 2, int(np.ceil(quality_rules.SUPPORT * len(x)))
+    best = (np.inf, None, None)
+    for _ in range(starts):
+        rows = rng.choice(len(x), 12, replace=False)
+        last = np.inf
+        while True:
+            m, c = x[rows].mean(0), quality_rules.CONSISTENCY * np.cov(x[rows].T, bias=True) + np.diag(floor)
+            logdet = np.linalg.slogdet(c)[1]
+            if logdet > last - 1e-9 and len(rows) == h:
+                break
+            last = logdet if len(rows) == h else np.inf
+            if last < best[0]:
+                best = (last, m, c)
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            rows = np.argsort(d, kind="stable")[:h]
+    return best
+
+
+def test_covariance_determinant_against_plain_search(spark):
     rng = np.random.default_rng(8)
-    x = rng.multivariate_normal([6, 1.6, 0, 0, 0], np.diag([0.5, 0.1, 0.2, 0.2, 0.2]) ** 2 + 0.005, 800)
-    x[:150] += [0, 0, 4, 0, 3]
-    df = spark.createDataFrame([("g", *map(float, np.round(v * 1024) / 1024)) for v in x], "g string, " + ", ".join(f"{k} double" for k in quality_rules.NAMES))
-    model = quality_rules._start(df)
-    for _ in range(quality_rules.STEPS):
-        model = quality_rules._step(df, model)
-    m = model.collect()[0]
-    assert abs(m.m2) < 0.1 and abs(m.m4) < 0.1  # means of the clean ones, not of all
-    low = np.array([[m[f"l{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
-    want = (((x - [m[f"m{i}"] for i in range(5)]) @ np.linalg.inv(low).T) ** 2).sum(1)
-    got = np.array([r.d2 for r in quality_rules.with_distance(quality_rules._joined(df, model, ["g"])).collect()])
-    assert np.allclose(np.sort(got), np.sort(want), rtol=0.02, atol=0.05)
+    parts = []
+    for k in range(3):
+        a = rng.normal(size=(5, 5)) * 0.5
+        x = rng.multivariate_normal([6, 1.6, 0, 0, 0], a @ a.T + 0.05 * np.eye(5), 700)
+        x[: 100 + 40 * k] += [[0, 0, 6, 0, 5], [3, 0, 0, 6, 0], [-4, 2, 0, 0, 6]][k]
+        parts.append(np.round(x * 1024) / 1024)
+    df = spark.createDataFrame([(f"g{k}", *map(float, v)) for k, x in enumerate(parts) for v in x], "g string, " + ", ".join(f"{k} double" for k in quality_rules.NAMES))
+    model = quality_rules.estimates(df, 3)
+    found = {r.g: r for r in model.collect()}
+    dist = {}
+    for r in quality_rules.with_distance(quality_rules._joined(df, model, ["g"])).collect():
+        dist.setdefault(r.g, {})[tuple(r[k] for k in quality_rules.NAMES)] = r.d2
+    for k, x in enumerate(parts):
+        logdet, m, c = plain_mcd(x)
+        r = found[f"g{k}"]
+        assert abs(r.logdet - logdet) < 0.1, (k, r.logdet, logdet)
+        assert np.allclose([r[f"m{i}"] for i in range(5)], m, atol=0.15)
+        want = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+        got = np.array([dist[f"g{k}"][tuple(map(float, v))] for v in x])
+        assert np.median(np.abs(got / want - 1)) < 0.1
+        assert ((got > 20.5) == (want > 20.5)).mean() > 0.98 and (got[: 100 + 40 * k] > 20.5).mean() > 0.98
+
+
+def test_repeats_alone_can_reject(spark):
+    words = [variety(500 + d, 300).split() for d in range(150)]
+    docs = [(d, " ".join(w), "xx", "s", 1) for d, w in enumerate(words)]
+    half = words[0][:230] + words[0][160:230]  # nothing else is unusual
+    rows = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame([*docs, (999, " ".join(half), "xx", "s", 1)], DOCS)).collect()}
+    assert all(r.kept for i, r in rows.items() if i != 999) and not rows[999].base_failed and not rows[999].kept
 
 
 # -- 9 ------------------------------------------------------------------------
@@ -452,6 +635,31 @@ def test_importance(spark, odd, none, sf_dir):
     assert importance.resample(none, labels).count() == 0
 
 
+def test_importance_weights_against_plain_counting(spark, sf_dir):
+    import math
+
+    docs, labels = table(spark, sf_dir, "documents").collect(), table(spark, sf_dir, "labels").collect()
+    good = {r.doc_id for r in labels if r.quality == 1}
+    mask = (1 << 64) - 1
+
+    def buckets(t):
+        h = [zlib.crc32(x.encode()) for x in re.findall(r"\w+|[^\w\s]+", (t or "").lower())]
+        for x in [2 * a + 1 for a in h] + [(a * 0x9E3779B97F4A7C15 & mask) ^ (b * 0xC2B2AE3D27D4EB4F & mask) for a, b in zip(h, h[1:], strict=False)]:
+            yield (x * 0xD6E8FEB86659FD93 & mask) >> 50
+
+    raw, target = Counter(), Counter()
+    for r in docs:
+        raw.update(buckets(r.text))
+        if r.doc_id in good:
+            target.update(buckets(r.text))
+    n, m = sum(raw.values()), sum(target.values())
+    share = lambda c, size, b: (c[b] + size / max(n, m)) / (size + (1 << 14) * size / max(n, m))
+    got = {r.doc_id: r.log_weight for r in importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).collect()}
+    for r in docs:
+        want = sum(math.log(share(target, m, b)) - math.log(share(raw, n, b)) for b in buckets(r.text))
+        assert abs(got[r.doc_id] - want) < 1e-6 * max(1, abs(want))
+
+
 def test_top_is_exact(spark):
     rng = random.Random(9)
     rows = [(rng.choice([rng.randint(-50, 50), rng.randint(-(1 << 40), 1 << 40)]), rng.choice([None, *range(9)])) for _ in range(500)]
