@@ -13,13 +13,15 @@ bring candidates together.  Two texts at the threshold whose edits lie evenly sh
 about 0.39 of their shingles, hence a bucket with a chance of 0.90; at 0.85 it is
 0.99, and 0.999 beyond 0.88.
 
-First every bucket member is paired with the bucket's least and greatest node, unless
-both are in one class already: at most two pairs a member.  Buckets that still hold
-several classes then have all their pairs across classes judged, in blocks of
-BLOCK_BYTES, each with each whose sizes allow a link: words in common are counted for
-all pairs of two blocks at once, and only pairs with enough of them are aligned.  So
-every link between two members of a bucket is found or implied, whatever its size.
-Links make classes by label propagation over written tables.
+First every node is paired with the least node of all its buckets, one pair a node,
+which joins most of any large family.  Then members of buckets that still hold several
+classes are paired with the bucket's least and with its greatest node, unless both are
+in one class already.  Buckets that hold several classes even then have all their
+pairs across classes judged, in blocks of about BLOCK_BYTES of nodes alike in size,
+each with each whose sizes allow a link: words in common are counted for all pairs of
+two blocks at once, and only pairs with enough of them are aligned.  So every link
+between two members of a bucket is found or implied, whatever its size.  Links make
+classes by label propagation over written tables.
 
 Only light rows are kept of all texts.  Words are read again just for nodes that
 occur in pairs, once per node.  Copies within a task are counted once before any
@@ -37,7 +39,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Hashes, Scratch, arrow_rows, broadcast_if_small, mixed, remembers, with_texts, written
@@ -53,6 +55,8 @@ BLOCK_BYTES, LEAST_BYTES = 2 << 20, 4096
 MOST_SEEN = 200_000
 #: Pairs of a node under one salt.
 SALT_PAIRS = 2000
+#: Nodes of one block differ by this factor in size at most.
+SIZE_STEP = 1.1
 #: Words beyond which an alignment looks positions up instead of holding a bit set for each word.
 LONG = 16_384
 
@@ -343,10 +347,15 @@ def _rest(own: DataFrame, least: DataFrame, sizes: DataFrame, members: DataFrame
     named = scratch.written(members.join(families, "node"), "named")
     apart = named.groupBy("family", "key").agg(F.count("*").cast("double").alias("c")).groupBy("family").agg(F.sum(F.col("c") * F.col("c")).alias("apart"))
     whole = named.groupBy("family").agg(F.countDistinct("node").cast("double").alias("c")).join(apart, "family").where("c * c <= apart").select("family", F.lit(True).alias("whole"))
+    whole = broadcast_if_small(scratch.written(whole, "whole"), NODE_BYTES)
     unit = F.when(F.col("whole"), F.xxhash64(F.lit("family"), "family")).otherwise(F.xxhash64(F.lit("key"), "key"))
     parts = named.join(whole, "family", "left").select(unit.alias("unit"), "node", "label").distinct().join(sizes, "node")
-    filled = F.sum(F.greatest(F.lit(LEAST_BYTES), 4 * F.col("n"))).over(Window.partitionBy("unit").orderBy("n", "node").rowsBetween(Window.unboundedPreceding, -1))
-    parts = scratch.written(parts.withColumn("blk", F.floor(F.coalesce(filled, F.lit(0)) / BLOCK_BYTES)), "parts")
+    parts = scratch.written(parts.withColumn("step", F.floor(F.log("n") / F.log(F.lit(SIZE_STEP)))).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(1 << 20))), "sized")
+    # blocks of a unit: by size step, and by hash where a step needs several
+    filled = parts.groupBy("unit", "step").agg(F.ceil(F.sum(F.greatest(F.lit(LEAST_BYTES), 4 * F.col("n"))) / BLOCK_BYTES).alias("several"))
+    filled = broadcast_if_small(scratch.written(filled, "filled"), NODE_BYTES)
+    block = F.col("step") * (1 << 32) + F.floor(F.col("salt") * F.col("several") / (1 << 20))
+    parts = scratch.written(parts.join(filled, ["unit", "step"]).select("unit", "node", "label", "n", block.alias("blk")), "parts")
     blocks = parts.groupBy("unit", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("from"), F.max("label").alias("to"))
     x, y = (blocks.select("unit", *(F.col(c).alias(c + k) for c in ("blk", "lo", "hi", "from", "to"))) for k in "12")
     fits = (F.col("blk1") <= F.col("blk2")) & (F.col("hi1") >= F.col("lo2") * SIMILARITY - 1) & (F.least("from1", "from2") < F.greatest("to1", "to2"))
@@ -370,13 +379,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     least = rows.where("n > 0").groupBy("node").agg(F.min("raw").alias("raw"))
     tested = links = labels = None
     n_links = 0
-    for end in (F.min, F.max):
-        known = broadcast_if_small(labels, NODE_BYTES, 2 * n_links) if labels is not None else None
-        now = members.select("key", "node").join(known, "node", "left").withColumn("label", F.coalesce("label", "node")) if known is not None else members.select("key", "node", F.col("node").alias("label"))
-        open_ = now.groupBy("key").agg(end("node").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key", "c")
-        members = scratch.written(now.join(open_, "key").select("key", "node", "c", "label"), "members")
-        centres = members.where("node = c").select("key", F.col("label").alias("of"))
-        apart = members.join(centres, "key").where("label <> of") if labels is not None else members.where("node <> c")
+    for end in (None, F.min, F.max):
+        if end is None:  # each node with the least of all its buckets
+            centres = members.groupBy("key").agg(F.min("node").alias("c"))
+            apart = members.join(centres, "key").groupBy("node").agg(F.min("c").alias("c")).where("node <> c")
+        else:
+            known = broadcast_if_small(labels, NODE_BYTES, 2 * n_links) if labels is not None else None
+            now = members.select("key", "node").join(known, "node", "left").withColumn("label", F.coalesce("label", "node")) if known is not None else members.select("key", "node", F.col("node").alias("label"))
+            open_ = now.groupBy("key").agg(end("node").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key", "c")
+            members = scratch.written(now.join(open_, "key").select("key", "node", "c", "label"), "members")
+            centres = members.where("node = c").select("key", F.col("label").alias("of"))
+            apart = members.join(centres, "key").where("label <> of")
         pairs = apart.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
