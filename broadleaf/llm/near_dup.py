@@ -21,7 +21,7 @@ pairs across classes judged, in blocks of about BLOCK_BYTES of nodes alike in si
 each with each whose sizes allow a link: words in common are counted for all pairs of
 two blocks at once, and only pairs with enough of them are aligned.  So every link
 between two members of a bucket is found or implied, whatever its size.  Links make
-classes by label propagation over written tables.
+classes by contraction over written tables.
 
 Only light rows are kept of all texts.  Words are read again just for nodes that
 occur in pairs, once per node.  Copies within a task are counted once before any
@@ -291,22 +291,48 @@ def few(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(1 + rows // 200_000)
 
 
+def _renamed(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
+    """rows with the label in place of each node of a column that has one."""
+    side = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    return rows.join(side, F.col(column) == F.col("_node"), "left").withColumn(column, F.coalesce("_label", column)).drop("_node", "_label")
+
+
+def _ordered(links: DataFrame) -> DataFrame:
+    """Distinct links a, b with a < b."""
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+
+
 def components(links: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """node and label (the least node of its component) of n links a, b: tables rewritten until no label changes.
+    """node and label (the least node of its component) of n links a, b: links are contracted until none is left.
 
-    Each step takes the least label among a node's own, its label's label, and its neighbours'.
+    Every node hangs on its least neighbour if that is less than itself; chains of such are halved until each node
+    hangs on a root; links between roots remain for the next turn.
     """
-    both = scratch.written(few(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), 2 * n), "links")
-    labels = scratch.written(few(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), 2 * n), "labels")
-    while True:
-        known = broadcast_if_small(labels.select(F.col("node").alias("at"), F.col("label").alias("new")), NODE_BYTES, 2 * n)
-        near = both.join(known, both["a"] == known["at"]).select(F.col("b").alias("node"), "new", F.lit(None).cast("long").alias("label"))
-        far = labels.join(known, labels["label"] == known["at"]).select("node", "new", "label")
-        step = scratch.written(few(near.unionByName(far).groupBy("node").agg(F.min("new").alias("new"), F.min("label").alias("label")), 2 * n), "labels")
-        changed = not step.where("new < label").isEmpty()
-        labels = step.select("node", F.col("new").alias("label"))
-        if not changed:
-            return labels
+    edges, done = scratch.written(few(_ordered(links), n), "links"), None
+    while n:
+        hung = scratch.written(few(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), n), "hung")
+        while True:
+            jumped = hung.withColumn("was", F.col("label"))
+            jumped = scratch.written(few(_renamed(jumped, "label", broadcast_if_small(hung, NODE_BYTES, n)), n), "hung")
+            hung = jumped.select("node", "label")
+            if jumped.where("label <> was").isEmpty():
+                break
+        side = broadcast_if_small(hung, NODE_BYTES, n)
+        done = hung if done is None else scratch.written(few(_renamed(done, "label", side).unionByName(hung), 2 * n), "labels")
+        edges = scratch.written(few(_ordered(_renamed(_renamed(edges, "a", side), "b", side)), n), "links")
+        n = edges.count()
+    return scratch.written(done.unionByName(done.select(F.col("label").alias("node"), "label").distinct()), "labels")
+
+
+def joined(labels: DataFrame | None, links: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """labels, of classes found so far, after n more links between nodes."""
+    if labels is None:
+        return components(links, n, scratch)
+    edges = scratch.written(_ordered(_renamed(_renamed(links.select("a", "b"), "a", labels), "b", labels)), "links")
+    if not (m := edges.count()):
+        return labels
+    new = components(edges, m, scratch)
+    return scratch.written(_renamed(labels, "label", broadcast_if_small(new, NODE_BYTES, 2 * m)).unionByName(new.join(labels.select("node"), "node", "left_anti")), "labels")
 
 
 def _blobs_of(own: DataFrame, least: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
@@ -377,7 +403,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = scratch.written(keys.join(shared, "key").distinct(), "members")  # of buckets with several nodes
     least = rows.where("n > 0").groupBy("node").agg(F.min("raw").alias("raw"))
-    tested = links = labels = None
+    tested = labels = None
     n_links = 0
     for end in (None, F.min, F.max):
         if end is None:  # each node with the least of all its buckets
@@ -401,9 +427,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         tested = judged.select("a", "b") if tested is None else tested.unionByName(judged.select("a", "b"))
         new = judged.where("ok").select("a", "b")
         if found := new.count():
-            links = new if links is None else links.unionByName(new)
             n_links += found
-            labels = components(links, n_links, scratch)
+            labels = joined(labels, new, found, scratch)
     now = members.select("key", "node")
     now = now.join(broadcast_if_small(labels, NODE_BYTES, 2 * n_links), "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else now.withColumn("label", F.col("node"))
     open_ = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
@@ -412,9 +437,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rest = scratch.written(now.join(open_, "key").select("key", "node", "label"), "members")
     new = _rest(own, least, rows.where("n > 0").groupBy("node").agg(F.max("n").alias("n")), rest, scratch)
     if new is not None and (found := new.count()):
-        links = new if links is None else links.unionByName(new)
         n_links += found
-        labels = components(links, n_links, scratch)
+        labels = joined(labels, new, found, scratch)
     nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies"))
     if labels is not None:
         labels = broadcast_if_small(labels, NODE_BYTES, 2 * n_links)

@@ -754,6 +754,30 @@ def test_chains_of_near_copies_stay_whole(spark):
     assert got == {d: d // 1000 * 1000 for d, _ in docs}
 
 
+def test_components_of_random_graphs(spark):
+    from broadleaf.llm.common import Scratch
+
+    rng = random.Random(45)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + (k * 37) % 101, 1000 + (k * 37 + 37) % 101) for k in range(90)]
+    root = {x: x for e in links for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    want = {x: find(x) for x in root}
+    scratch = Scratch(spark, "test")
+    one, two = (spark.createDataFrame(x, "a long, b long") for x in (links[:150], links[150:]))
+    labels = near_dup.joined(near_dup.joined(None, one, 150, scratch), two, len(links) - 150, scratch)
+    got = {r.node: r.label for r in labels.collect()}
+    assert {x: got.get(x, x) for x in want} == want and labels.count() == len(got)
+    scratch.clear()
+
+
 def test_near_duplicate_recall_on_documents(spark):
     """Links found or implied, of all pairs of different texts of sf0.01 that are links; pairs come from an index of all shingles."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
