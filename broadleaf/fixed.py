@@ -45,7 +45,7 @@ CLASS_RANK = {"editorial": 0, "resource": 1, "sponsor": 2}
 RESOURCE_TYPES = ("github_repo", "course", "tool", "resource", "library", "tutorial", "job")
 
 MATERIAL_WARNINGS = ("dangling_reference", "missing_reference_number", "missing_inline_url", "missing_links_block", "unknown_format", "empty_body")
-#: A line that starts with one of these, in any case, starts the footer.
+#: A line that starts with one of these patterns, in any case, starts the footer.
 FOOTER_STARTS = (
     "if you don't want to receive",
     "if you have any comments or feedback",
@@ -62,9 +62,7 @@ FOOTER_STARTS = (
     "share tldr",
     "if you are in a hiring position",
     "if you're hiring",
-    "hire ai",
-    "hire tech",
-    "hire software",
+    "hire (?:ai|tech|software)",
     "careers at tldr",
 )
 
@@ -80,6 +78,17 @@ LIST_LIMITS = {"literal_elements": 12, "forbidden_elements": 20, "failure_modes"
 FRONT_PAGE_SIZE, SECONDARY_SIZE, SHORTLIST_CAP = 9, 4, 60
 
 WEBP_QUALITY, WEBP_METHOD = 82, 6
+#: How images are asked for and converted; the limits are added by image_configuration.
+IMAGE_SETTINGS = {
+    "n_policy": "one_explicit_or_endpoint_default",
+    "resolution": "1K",
+    "aspect_ratio": "3:2",
+    "accepted_upstream_formats": ["image/jpeg", "image/png", "image/webp"],
+    "provider_webp_when_advertised": True,
+    "conversion_version": "1.0.0",
+    "conversion": {"mode": "RGB", "format": "webp", "quality": WEBP_QUALITY, "method": WEBP_METHOD, "metadata": "stripped", "animation": False, "background": "opaque_white"},
+}
+ILLUSTRATION_PROMPT_VERSION = "2.0.0"
 IMAGE_SIDES, ASPECT, ASPECT_TOLERANCE = (256, 8192), 1.5, 0.08
 RUBRIC_WEIGHTS = (30, 20, 15, 15, 10, 10)
 # -- end of fixed values -----------------------------------------------------

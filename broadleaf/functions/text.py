@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from broadleaf import fixed as V
 
-#: Entities that the native decoder knows, the ampersand last so that one pass decodes once.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&middot;": "·", "&copy;": "©", "&amp;": "&"}
+#: Entities that the native decoder of single addresses knows, the ampersand last so that one pass decodes once.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&middot;": "·", "&copy;": "©", "&amp;": "&"}
 SHA = r"^sha256:[0-9a-f]{64}$"
 OBJECT_KEY = r"^(?:daily/\d{4}/\d{2}/\d{2}/[0-9a-f]{64}\.webp|podcast/daily/\d{4}/\d{2}/\d{2}/(?:en|fr)/[0-9a-f]{64}\.mp3)$"
 
@@ -49,8 +49,17 @@ def content_hash(data: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(data.cast("binary"), 256))
 
 
+def canonical_json(value: Column) -> Column:
+    """Compact JSON of any value and a line feed; the fields of a struct must be in alphabetical order. Codes of control characters in lower case."""
+    json = F.to_json(F.array(value), {"ignoreNullFields": "false"})
+    json = F.substring(json, F.lit(2), F.char_length(json) - 2)
+    for code in ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F"):
+        json = F.regexp_replace(json, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}")
+    return F.concat(json, F.lit("\n"))
+
+
 def hash_parts(*parts: Column) -> Column:
-    """hash of parts, each after its length as eight big-endian bytes."""
+    """hash of parts, each after its length as eight big-endian bytes; bytes as they are, other values by way of canonical_json."""
     sized = [x for p in parts for x in (F.unhex(F.lpad(F.hex(F.octet_length(p.cast("binary")).cast("long")), 16, "0")), p.cast("binary"))]
     return F.concat(F.lit("sha256:"), F.sha2(F.concat(*sized), 256))
 
@@ -71,18 +80,30 @@ def _unescape_twice(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else html.unescape(html.unescape(x)))
 
 
-def decode_entities(text: Column, full: bool = False) -> Column:
-    """decoded twice; full: the whole entity table, in an Arrow-fed function."""
-    return F.pandas_udf(_unescape_twice, T.StringType())(text) if full else unescape(unescape(text))
+def decode_entities(text: Column, full: bool = True) -> Column:
+    """decoded twice by the whole entity table, in an Arrow-fed function that sees only text with an ampersand; else by the entities listed here."""
+    return F.coalesce(F.pandas_udf(_unescape_twice, T.StringType())(F.when(text.contains("&"), text)), text) if full else unescape(unescape(text))
 
 
 def line_feeds(text: Column) -> Column:
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
+#: What ends a line, and what is blank at its ends.
+LINE_END, BLANK = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])", r"[\p{IsWhite_Space}\x1c-\x1f]"
+NOT_END = r"[^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+#: What a footer's first line is, from its start on.
+FOOTER = (
+    rf"(?:{BLANK}*(?:{'|'.join(V.FOOTER_STARTS)})"
+    rf"|{BLANK}*jobs? board\.?{BLANK}*(?={LINE_END}|\z)"
+    rf"|(?={NOT_END}*unsubscribe)(?={NOT_END}*(?:http|\[))"
+    rf"|(?={NOT_END}*/manage\?email=))"
+)
+
+
 def lines(text: Column) -> Column:
-    """Lines without their ends; no empty last one."""
-    parts = F.split(line_feeds(text), "\n")
+    """Lines without their ends, whichever of Unicode's line ends they have; no empty last one."""
+    parts = F.split(text, LINE_END)
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
@@ -92,18 +113,19 @@ def stripped(text: Column) -> Column:
 
 def starts_footer(line: Column) -> Column:
     """T4, T5: whether a line starts the footer."""
-    s = stripped(line)
-    low = F.lower(s)
-    starts = "|".join(re.escape(x).replace(r"\ ", " ").replace("'", "'") for x in V.FOOTER_STARTS)
-    return s.rlike(rf"(?i)^(?:{starts})") | s.rlike(r"(?i)^jobs? board\.?\s*$") | (low.contains("unsubscribe") & (low.contains("http") | low.contains("["))) | low.contains("/manage?email=")
+    return line.rlike(rf"(?i)\A{FOOTER}")
+
+
+def footer_at(text: Column) -> Column:
+    """Where the line end before the first footer line, or a footer line that opens the text, starts; 0 if there is none."""
+    return F.regexp_instr(text, F.lit(rf"(?i)(?:\A|{LINE_END}){FOOTER}"))
 
 
 def without_footer(text: Column) -> Column:
-    """T4: text up to the first footer line, right-trimmed, with one line feed; as it is if there is none."""
-    flags = F.transform(lines(text), lambda x: starts_footer(x))
-    at = F.array_position(flags, True)
-    kept = F.array_join(F.slice(lines(text), 1, (at - 1).cast("int")), "\n")
-    return F.when(at > 0, F.concat(F.regexp_replace(kept, r"[\p{IsWhite_Space}]+$", ""), F.lit("\n"))).otherwise(text)
+    """T4: text up to the first footer line, right-trimmed, with line feeds only; as it is if there is none. One search of the whole text."""
+    at = footer_at(text)
+    kept = F.regexp_replace(F.substring(text, F.lit(1), at - 1), LINE_END, "\n")
+    return F.when(at > 0, F.concat(F.regexp_replace(kept, rf"{BLANK}+\z", ""), F.lit("\n"))).otherwise(text)
 
 
 def sector_rank(slug_: Column) -> Column:

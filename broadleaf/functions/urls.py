@@ -93,7 +93,7 @@ def domain(url: Column) -> Column:
     return F.nullif(F.regexp_replace(F.lower(netloc(url)), r"^www\.", ""), F.lit(""))
 
 
-def repaired(url: Column, full: bool = False) -> Column:
+def repaired(url: Column, full: bool = True) -> Column:
     """entities decoded, line breaks, spaces and zero-width characters dropped, trailing marks dropped."""
     out = strip_zero_width(F.translate(decode_entities(url, full), "\r\n ", ""))
     return F.rtrim(F.btrim(out, F.lit("\t\x0b\x0c ")), F.lit(V.TRAILING_MARKS))
@@ -111,9 +111,9 @@ def is_management_host(host: Column) -> Column:
     return _site(host, V.NEWS_SITE, V.NEWS_MAIL_SITE, *V.ACCOUNT_HOSTS)
 
 
-def is_private(url: Column, repair: bool = True) -> Column:
+def is_private(url: Column, repair: bool = True, full: bool = True) -> Column:
     """U-3: a subscription, account or referral link; empty counts as one."""
-    url = repaired(url) if repair else url
+    url = repaired(url, full) if repair else url
     host, p, q = F.lower(netloc(url)), path(url), query(url)
     low = F.lower(F.concat(p, F.lit("?"), q))
     identity = q.rlike(r"(?i)(^|&)(email|subscriber|subscriber_id)=")
@@ -126,7 +126,7 @@ def is_private(url: Column, repair: bool = True) -> Column:
     )
 
 
-def public(url: Column, full: bool = False) -> Column:
+def public(url: Column, full: bool = True) -> Column:
     """U-2: the URL without fragment, subscriber keys and removable credentials; null if private, invalid or not to be shown."""
     url = repaired(url, full)
     s, loc, host = F.regexp_extract(url, _SPLIT, 1), netloc(url), hostname(netloc(url))

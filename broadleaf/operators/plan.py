@@ -6,23 +6,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadleaf import fixed as V
+from broadleaf.functions import text as X
 
 BRIEF = "struct<schema_version:string,mode:string,source_candidate_ids:array<string>,editorial_idea:string,central_subject:string,visual_metaphor:string,visual_relationship:string,composition:string,literal_elements:array<string>,abstraction_level:string,forbidden_elements:array<string>,failure_modes:array<string>,alt_text:string>"
-PLAN = f"lead_candidate_id string, front_page array<struct<candidate_id:string,role:string>>, section_order array<string>, visual_brief {BRIEF}"
+PLAN = f"struct<lead_candidate_id:string,front_page:array<struct<candidate_id:string,role:string>>,section_order:array<string>,visual_brief:{BRIEF}>"
+ROLES, MODES, LEVELS = ("lead", "secondary", "brief"), ("lead_story", "edition_theme", "none"), ("low", "medium", "high")
 
 
 def bad_text(value: Column, most: int = 500, empty: Column | bool = False) -> Column:
     """V3: null, blank (unless allowed), too long, with control characters, addresses, tags or Markdown links."""
-    blank = (F.trim(value) == "") & ~(F.lit(empty) if isinstance(empty, bool) else empty)
+    blank = (X.stripped(value) == "") & ~(F.lit(empty) if isinstance(empty, bool) else empty)
     return value.isNull() | blank | (F.char_length(value) > most) | value.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]") | value.rlike(r"(?i)https?://|<[^>]+>|\[[^\]]+\]\([^)]+\)")
 
 
-def _keys(json: Column, at: str) -> Column:
-    return F.array_sort(F.json_object_keys(F.get_json_object(json, at) if at != "$" else json))
+def _is(value: Column, kind: str) -> Column:
+    """Whether a variant is an OBJECT, an ARRAY or a STRING; null isn't."""
+    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
 
 
-def _literal(names: tuple[str, ...]) -> Column:
-    return F.array(*map(F.lit, sorted(names)))
+def _text(value: Column) -> Column:
+    """The string of a variant; null if it is of another type."""
+    return F.when(_is(value, "STRING"), F.try_variant_get(value, "$", "string"))
+
+
+def _list(value: Column) -> Column:
+    """The elements of a variant, as variants; null if it is no array."""
+    return F.when(_is(value, "ARRAY"), F.try_variant_get(value, "$", "array<variant>"))
+
+
+def _texts(value: Column) -> Column:
+    """The elements of a list of variants as strings, those of other types null."""
+    return F.transform(value, _text)
+
+
+def _has_keys(value: Column, *keys: tuple[str, ...]) -> Column:
+    """Whether a variant is an object of just these keys, in one of the sets given."""
+    found = F.array_sort(F.json_object_keys(F.to_json(value)))
+    out = F.lit(False)
+    for names in keys:
+        out = out | (found == F.array(*map(F.lit, sorted(names))))
+    return _is(value, "OBJECT") & F.coalesce(out, F.lit(False))
 
 
 def _repeats(values: Column) -> Column:
@@ -37,7 +60,7 @@ def parse_error(content: Column) -> Column:
 
 
 def validate(plans: DataFrame, candidates: DataFrame, by: str = "date", content_col: str = "content") -> DataFrame:
-    """Plans with `error`, the first rule broken, or null.
+    """Plans with `error`, the first broken rule of the first broken part, or null, and `plan`, the plan with its texts stripped, or null.
 
     candidates: by, candidate_id, sector_slug, eligible.
     """
@@ -47,58 +70,69 @@ def validate(plans: DataFrame, candidates: DataFrame, by: str = "date", content_
         F.collect_set("sector_slug").alias("_sectors"),
         F.count_if("eligible").alias("_n"),
     )
-    json = F.col(content_col)
-    rows = plans.join(known, by, "left").withColumn("_p", F.from_json(json, PLAN)).withColumn("_malformed", parse_error(json))
-    p, fp, brief = F.col("_p"), F.col("_p.front_page"), F.col("_p.visual_brief")
-    ids, roles = F.transform(fp, lambda x: x["candidate_id"]), F.transform(fp, lambda x: x["role"])
-    lead, mode, src = p["lead_candidate_id"], brief["mode"], brief["source_candidate_ids"]
-    n = F.coalesce("_n", F.lit(0))
     none = F.array().cast("array<string>")
-    count = lambda role: F.size(F.filter(roles, lambda r: r == role))
-    entry_keys = F.from_json(F.get_json_object(json, "$.front_page"), "array<map<string,string>>")
-    second = F.coalesce(_keys(json, "$.visual_brief") == _literal(V.BRIEF_2_KEYS), F.lit(False))
-    first = F.coalesce(_keys(json, "$.visual_brief") == _literal(V.BRIEF_1_KEYS), F.lit(False))
+    rows = plans.join(known, by, "left").withColumns({"_malformed": parse_error(F.col(content_col)), "_v": F.try_parse_json(content_col)})
+    rows = rows.withColumns({c: F.coalesce(c, none) for c in ("_ids", "_good", "_sectors")})
+    part = lambda v, name: F.try_variant_get(v, f"$.{name}", "variant")
+    rows = rows.withColumns({"_front": _list(part(F.col("_v"), "front_page")), "_order": _list(part(F.col("_v"), "section_order")), "_brief": part(F.col("_v"), "visual_brief"), "_lead": _text(part(F.col("_v"), "lead_candidate_id"))})
+    brief = F.col("_brief")
+    texts, lists = [*V.TEXT_LIMITS, "mode", "schema_version", "abstraction_level"], [*V.LIST_LIMITS, "source_candidate_ids"]
+    rows = rows.withColumns({f"_b_{k}": _text(part(brief, k)) for k in texts} | {f"_b_{k}": _list(part(brief, k)) for k in lists})
+    entry = lambda x: F.struct(
+        _has_keys(x, ("candidate_id", "role")).alias("whole"), _text(part(x, "candidate_id")).alias("raw"), X.stripped(_text(part(x, "candidate_id"))).alias("candidate_id"), _text(part(x, "role")).alias("role")
+    )
+    rows = rows.withColumns({"_entries": F.transform("_front", entry), "_sections": _texts(F.col("_order")), "_sources": _texts(F.col("_b_source_candidate_ids")), "_first": _has_keys(brief, V.BRIEF_1_KEYS), "_second": _has_keys(brief, V.BRIEF_2_KEYS)})
+    broken_entry = lambda e: (
+        F.when(~e["whole"], "plan_entry_properties")
+        .when(bad_text(e["raw"], 16), "plan_invalid_candidate_id")
+        .when(~F.coalesce(e["role"].isin(*ROLES), F.lit(False)), "plan_role")
+        .when(~F.array_contains("_ids", e["candidate_id"]), "plan_unknown_candidate")
+        .when(~F.array_contains("_good", e["candidate_id"]), "plan_ineligible_candidate")
+    )
+    rows = rows.withColumn("_entry", F.get(F.filter(F.transform("_entries", broken_entry), lambda c: c.isNotNull()), F.lit(0)))
+    entries, lead, mode, src, second = F.col("_entries"), X.stripped(F.col("_lead")), F.col("_b_mode"), F.col("_sources"), F.col("_second")
+    ids = F.transform(entries, lambda e: e["candidate_id"])
+    count = lambda role: F.size(F.filter(entries, lambda e: e["role"] == role))
     free = mode == "none"
-
-    def entries(role_ok):
-        return F.exists(F.arrays_zip(ids.alias("i"), roles.alias("r")), role_ok)
-
+    strange = lambda values: F.exists(values, lambda x: x.isNull())
     rules = [
-        (F.col("_malformed").isNotNull(), None),
-        (~F.coalesce(_keys(json, "$") == _literal(V.PLAN_KEYS), F.lit(False)), "plan_unknown_properties"),
-        (bad_text(lead, 16), "plan_invalid_lead_id"),
-        (fp.isNull() | (F.size(fp) != F.least(F.lit(V.FRONT_PAGE_SIZE), n)), "plan_front_page_count"),
-        (F.exists(entry_keys, lambda m: F.array_sort(F.map_keys(m)) != _literal(("candidate_id", "role"))), "plan_entry_properties"),
-        (F.exists(ids, lambda i: bad_text(i, 16)), "plan_invalid_candidate_id"),
-        (F.exists(roles, lambda r: r.isNull() | ~r.isin("lead", "secondary", "brief")), "plan_role"),
-        (F.size(F.array_except(ids, F.coalesce("_ids", none))) > 0, "plan_unknown_candidate"),
-        (F.size(F.array_except(ids, F.coalesce("_good", none))) > 0, "plan_ineligible_candidate"),
+        (F.col("_malformed").isNotNull(), F.col("_malformed")),
+        (~_has_keys(F.col("_v"), V.PLAN_KEYS), "plan_unknown_properties"),
+        (bad_text(F.col("_lead"), 16), "plan_invalid_lead_id"),
+        (F.col("_front").isNull() | (F.size("_front") != F.least(F.lit(V.FRONT_PAGE_SIZE), F.coalesce("_n", F.lit(0)))), "plan_front_page_count"),
+        (F.col("_entry").isNotNull(), F.col("_entry")),
         (_repeats(ids), "plan_duplicate_candidate"),
-        ((count("lead") != 1) | ~F.exists(fp, lambda x: (x["role"] == "lead") & (x["candidate_id"] == lead)), "plan_lead"),
+        ((count("lead") != 1) | ~F.exists(entries, lambda e: (e["role"] == "lead") & (e["candidate_id"] == lead)), "plan_lead"),
         (count("secondary") > V.SECONDARY_SIZE, "plan_secondary_count"),
-        (p["section_order"].isNull() | _repeats(p["section_order"]) | (F.size(F.array_except(p["section_order"], F.coalesce("_sectors", none))) > 0), "plan_section_order"),
-        (brief.isNull() | ~(first | second), "plan_visual_properties"),
-        (mode.isNull() | ~mode.isin("lead_story", "edition_theme", "none"), "plan_visual_mode"),
-        (src.isNull() | (F.size(src) > 3) | _repeats(src) | (F.size(F.array_except(src, ids)) > 0), "plan_visual_sources"),
+        (F.col("_order").isNull() | strange(F.col("_sections")) | _repeats(F.col("_sections")) | (F.size(F.array_except("_sections", "_sectors")) > 0), "plan_section_order"),
+        (~(F.col("_first") | second), "plan_visual_properties"),
+        (~F.coalesce(mode.isin(*MODES), F.lit(False)), "plan_visual_mode"),
+        (src.isNull() | strange(src) | (F.size(src) > 3) | _repeats(src) | (F.size(F.array_except(src, ids)) > 0), "plan_visual_sources"),
         (free & (F.size(src) > 0), "plan_visual_none_sources"),
         (~free & (F.size(src) == 0), "plan_visual_sources"),
         ((mode == "lead_story") & (src != F.array(lead)), "plan_lead_visual_source"),
-        (second & ~brief["schema_version"].eqNullSafe(F.lit(V.BRIEF_2_VERSION)), "plan_visual_schema_version"),
+        (second & ~F.col("_b_schema_version").eqNullSafe(F.lit(V.BRIEF_2_VERSION)), "plan_visual_schema_version"),
     ]
-    for k in ("editorial_idea", "central_subject", "visual_metaphor", "visual_relationship", "composition", "alt_text"):
-        has = second if k in V.BRIEF_2_KEYS and k not in V.BRIEF_1_KEYS else first if k not in V.BRIEF_2_KEYS else F.lit(True)
-        rules.append((has & bad_text(brief[k], V.TEXT_LIMITS[k], free), f"plan_invalid_{k}"))
-    rules.append((second & ~F.coalesce(brief["abstraction_level"].isin("low", "medium", "high"), F.lit(False)), "plan_abstraction_level"))
+    for k, most in V.TEXT_LIMITS.items():
+        has = second if k not in V.BRIEF_1_KEYS else ~second if k not in V.BRIEF_2_KEYS else F.lit(True)
+        rules.append((has & bad_text(F.col(f"_b_{k}"), most, free), f"plan_invalid_{k}"))
+    rules.append((second & ~F.coalesce(F.col("_b_abstraction_level").isin(*LEVELS), F.lit(False)), "plan_abstraction_level"))
+    cleaned = {k: F.transform(_texts(F.col(f"_b_{k}")), X.stripped) for k in V.LIST_LIMITS}
     for k, most in V.LIST_LIMITS.items():
-        has = F.lit(True) if k == "forbidden_elements" else second
-        cleaned = F.transform(brief[k], lambda x: F.trim(x))
+        has = second if k not in V.BRIEF_1_KEYS else F.lit(True)
+        given = F.col(f"_b_{k}")
         rules += [
-            (has & (brief[k].isNull() | (F.size(brief[k]) > most)), f"plan_{k}"),
-            (has & F.exists(brief[k], lambda x: bad_text(x, 100)), f"plan_invalid_{k[:-1]}"),
-            (second & _repeats(cleaned), f"plan_{k}"),
+            (has & (given.isNull() | (F.size(given) > most)), f"plan_{k}"),
+            (has & F.exists(_texts(given), lambda x: bad_text(x, 100)), f"plan_invalid_{k[:-1]}"),
+            (second & _repeats(cleaned[k]), f"plan_{k}"),
         ]
-    rules.append((brief["alt_text"].rlike(r"(?i)\b(photo|photograph|photographic)\b"), "plan_alt_text_photo"))
+    rules.append((F.col("_b_alt_text").rlike(r"(?i)\b(photo|photograph|photographic)\b"), "plan_alt_text_photo"))
     error = F.lit(None).cast("string")
     for broken, code in reversed(rules):
-        error = F.when(F.coalesce(broken, F.lit(False)), F.lit(code) if code else F.col("_malformed")).otherwise(error)
-    return rows.withColumn("error", error).drop("_p", "_malformed", "_ids", "_good", "_sectors", "_n")
+        error = F.when(F.coalesce(broken, F.lit(False)), F.lit(code) if isinstance(code, str) else code).otherwise(error)
+    rows = rows.withColumn("error", error)
+    own = {k: X.stripped(F.col(f"_b_{k}")) for k in V.TEXT_LIMITS} | cleaned | {k: F.col(f"_b_{k}") for k in ("mode", "schema_version", "abstraction_level")} | {"source_candidate_ids": src}
+    names = [f.split(":")[0] for f in BRIEF[7:-1].split(",")]
+    pairs = F.transform(entries, lambda e: F.struct(e["candidate_id"].alias("candidate_id"), e["role"].alias("role")))
+    clean = F.struct(lead.alias("lead_candidate_id"), pairs.alias("front_page"), F.col("_sections").alias("section_order"), F.struct(*(own[k].alias(k) for k in names)).alias("visual_brief"))
+    return rows.withColumn("plan", F.when(F.col("error").isNull(), clean)).select(*plans.columns, "error", "plan")
