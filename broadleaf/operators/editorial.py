@@ -143,13 +143,28 @@ def chosen_pairs(product: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def illustration_hash_1(brief: Column, sources: Column, model: Column, version: Column, config: Column) -> Column:
-    """F18, first contract: hash of the canonical JSON of each input."""
-    return X.hash_parts(*(F.concat(x, F.lit("\n")) for x in (brief, sources, model, version, config)))
-
-
-def illustration_hash_2(contract: Column) -> Column:
-    """F18, second contract: hash of the canonical JSON of one struct, its fields in alphabetical order at every level."""
-    return X.hash_parts(compact_json(contract))
+    """F18, first contract: hash of a brief (struct), the sources' titles and summaries, model, version and image settings."""
+    facts = F.transform(sources, lambda s: F.struct(s["summary"].alias("summary"), s["title"].alias("title")))
+    return X.hash_parts(*map(X.canonical_json, (brief, facts, model, version, config)))
+
+
+#: Fields of an illustration profile that its hash takes, in order.
+PROFILE = ("fixed_negative_constraints", "internal_id", "preamble", "profile_id", "rendering_material_constraints", "schema_version", "shared_factual_restrictions")
+
+
+def illustration_hash_2(profile: Column, brief: Column, sources: Column, model: Column, config: Column, version: str = V.ILLUSTRATION_PROMPT_VERSION) -> Column:
+    """F18, second contract: hash of the profile's contract, the brief, the exact facts of its sources, model and image settings."""
+    facts = F.transform(sources, lambda s: F.struct(*(s[k].alias(k) for k in ("article_id", "issue_id", "summary", "title"))))
+    contract = F.struct(
+        facts.alias("exact_sources"),
+        F.struct(*(profile[k].alias(k) for k in PROFILE)).alias("illustration_profile"),
+        F.lit(version).alias("illustration_prompt_version"),
+        config.alias("image_configuration"),
+        model.alias("image_model"),
+        brief.alias("visual_brief"),
+        brief["schema_version"].alias("visual_brief_schema_version"),
+    )
+    return X.hash_parts(X.canonical_json(contract))
 
 
 def _blocks(pairs: list[tuple[str, Column]]) -> Column:

@@ -77,7 +77,7 @@ def article_hits(url: Column) -> Column:
     others = F.filter(
         F.array(
             F.when(url.rlike(r"(?i)[?&](email|subscriber|subscriber_id)="), "subscriber parameter in article url"),
-            F.when(url.rlike(rf"(?i)https?://(?:[\w.-]+\.)?{site}/[^\s]*(?:/manage(?:/|\?)|/unsubscribe(?:/|\?)|unsubscribe\?)"), "management url in article url"),
+            F.when(url.rlike(rf"(?i)https?://(?:[\w.-]+\.)?{site}/[^\s]*(?:/manage(?:/|\?)|/unsubscribe(?:/|\?)|unsubscribe\?)"), f"{V.SECTOR_WORD} management url in article url"),
             F.when(url.rlike("(?i)" + "|".join(h.replace(".", r"\.") for h in V.ACCOUNT_HOSTS)), "referral/account url in article url"),
         ),
         lambda x: x.isNotNull(),

@@ -49,22 +49,35 @@ def missing(rows: DataFrame, files: DataFrame, key: str) -> DataFrame:
 
 
 def consistency_errors(manifest: DataFrame, files: DataFrame, schema_version: str = V.SCHEMA_VERSION, generator_version: str = V.GENERATOR_VERSION) -> DataFrame:
-    """V1, A5: (ord, error) of all problems of a manifest (with a position idx) and its document files (derived_path, versions, source_path)."""
+    """V1, A5: (place, ord, error) of all problems, in their order, of a manifest (with a position idx, and perhaps an id that
+    stands in for a missing issue_id) and its document files (derived_path, versions, source_path).
+
+    Problems of entries come first, entry by entry; then those of the whole, then those of files by path.
+    """
+    if "id" in manifest.columns:
+        manifest = manifest.withColumn("issue_id", F.coalesce(F.nullif("issue_id", F.lit("")), "id"))
     keys = ("issue_id", "source_path", "derived_path")
+    low, bad = V.FORBIDDEN_SOURCE.lower(), V.FORBIDDEN_SOURCE
+    row = lambda place, ord_, error: (place.cast("string").alias("place"), F.lit(ord_).alias("ord"), error.alias("error"))
+    entry = F.concat(F.lit("entry "), F.lpad(F.col("idx").cast("string"), 12, "0"))
     out = []
     for i, k in enumerate(keys):
         empty = manifest.where(F.coalesce(F.col(k), F.lit("")) == "")
-        out.append(empty.select(F.lit(10 + i).alias("ord"), F.concat(F.lit("manifest issues["), F.col("idx").cast("string"), F.lit(f"] missing {k}")).alias("error")))
+        out.append(empty.select(*row(entry, 10 * i, F.concat(F.lit("manifest issues["), F.col("idx").cast("string"), F.lit(f"] missing {k}")))))
         again = manifest.where(F.coalesce(F.col(k), F.lit("")) != "").withColumn("nth", F.row_number().over(W.partitionBy(k).orderBy("idx"))).where("nth > 1")
-        out.append(again.select(F.lit(20 + i).alias("ord"), F.concat(F.lit(f"duplicate manifest {k}: "), F.col(k)).alias("error")))
-    out.append(missing(manifest, files, "derived_path").select(F.lit(30).alias("ord"), F.concat(F.lit("missing derived file for "), F.col("derived_path")).alias("error")))
-    out.append(manifest.where(F.col("source_path").contains(V.FORBIDDEN_SOURCE)).select(F.lit(31).alias("ord"), F.concat(F.lit("forbidden path in manifest: "), F.col("source_path")).alias("error")))
-    n = manifest.agg(F.count("*").alias("a")).crossJoin(files.agg(F.count("*").alias("b")))  # one row each
-    out.append(n.where("a <> b").select(F.lit(40).alias("ord"), F.format_string("issue file count (%d) != manifest entries (%d)", "b", "a").alias("error")))
+        out.append(again.select(*row(entry, 10 * i + 1, F.concat(F.lit(f"duplicate manifest {k}: "), F.col(k)))))
+    out.append(manifest.where(F.col("source_path").contains(bad)).select(*row(entry, 12, F.concat(F.lit(f"{bad} path in manifest: "), F.col("source_path")))))
+    lost = manifest.where("coalesce(derived_path, '') <> ''").join(files.select("derived_path").distinct(), "derived_path", "left_anti")
+    out.append(lost.select(*row(entry, 22, F.concat(F.lit("missing derived file for "), F.col("derived_path")))))
+    n = manifest.agg(F.count("*").alias("a")).crossJoin(files.agg(F.count("*").alias("b"), F.max(F.lower("derived_path").contains(low)).alias("has")))  # one row each
+    out.append(n.where("has").select(*row(F.lit("files"), 0, F.lit(f"{bad} output exists under generated/issues"))))
+    out.append(n.where("a <> b").select(*row(F.lit("files"), 1, F.format_string("issue file count (%d) != manifest entries (%d)", "b", "a"))))
+    file = F.concat(F.lit("of "), F.col("derived_path"))
+    shown = lambda c: F.when(c.isNull(), "None").otherwise(F.concat(F.lit("'"), c, F.lit("'")))
     for i, (k, v) in enumerate((("generator_version", generator_version), ("schema_version", schema_version))):
-        out.append(files.where(~F.col(k).eqNullSafe(F.lit(v))).select(F.lit(50 + i).alias("ord"), F.concat(F.col("derived_path"), F.lit(f": {k} "), F.coalesce(k, F.lit("null")), F.lit(f" != {v}")).alias("error")))
-    low = V.FORBIDDEN_SOURCE.lower()
-    out.append(files.where(F.lower("derived_path").contains(low) | F.coalesce(F.col("source_path").contains(V.FORBIDDEN_SOURCE), F.lit(False))).select(F.lit(60).alias("ord"), F.concat(F.lit("forbidden issue output: "), F.col("derived_path")).alias("error")))
+        out.append(files.where(~F.col(k).eqNullSafe(F.lit(v))).select(*row(file, i, F.concat(F.col("derived_path"), F.lit(f": {k} "), shown(F.col(k)), F.lit(f" != '{v}'")))))
+    forbidden = F.lower("derived_path").contains(low) | F.coalesce(F.col("source_path").contains(bad), F.lit(False))
+    out.append(files.where(forbidden).select(*row(file, 2, F.concat(F.lit(f"{bad} issue output: "), F.col("derived_path")))))
     return reduce(DataFrame.unionByName, out)
 
 

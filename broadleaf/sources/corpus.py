@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from broadleaf import fixed as V
 from broadleaf.functions import text as X
+from broadleaf.operators.incremental import upsert
+from broadleaf.sources import objects as O
 
 ARTICLE = "struct<id:string,order:int,title:string,summary:string,url:string,reading_time_minutes:int,source_domain:string,content_type:string,is_sponsor:boolean>"
 SECTION = f"struct<id:string,heading:string,order:int,articles:array<{ARTICLE}>>"
@@ -44,9 +47,13 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
 
 
 def resolve(spark: SparkSession, root: str, relative_path: str) -> DataFrame:
-    """One source, or an error if its path isn't approved."""
-    found = discover(spark, root).where(F.col("relative_path") == relative_path)
-    if found.isEmpty():
+    """One source, of which only its own file is read, or an error if its path isn't approved."""
+    if "\\" in relative_path or ".." in relative_path.split("/") or relative_path.startswith("/"):
+        raise ValueError(f"not an approved source: {relative_path}")
+    at = spark._jvm.org.apache.hadoop.fs.Path(root, relative_path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    found = named_sources(spark.read.format("binaryFile").load(at.toString()).select(F.lit(relative_path).alias("relative_path"), "content")) if there else None
+    if found is None or found.isEmpty():
         raise ValueError(f"not an approved source: {relative_path}")
     return found
 
@@ -84,11 +91,51 @@ def verified_issues(manifest: DataFrame, issues: DataFrame) -> DataFrame:
     return rows.withColumn("date", checked.cast("string")).drop("i_date", "derived_path").withColumnRenamed("i_parse_status", "parse_status")
 
 
+def issues_of(entries: DataFrame, root: str) -> DataFrame:
+    """The issue documents that manifest entries name below root; no other file is read."""
+    texts = O.read_texts(entries.select(F.col("derived_path").alias("path")), root).where("text is not null")
+    return texts.select(F.from_json("text", ISSUE).alias("d")).where("d.issue_id is not null").select("d.*")
+
+
+def existing_hashes(entries: DataFrame, root: str) -> DataFrame:
+    """derived_path and the source hash that the document there holds; null if there is none or it is broken."""
+    return O.read_texts(entries.select(F.col("derived_path").alias("path")), root).select(F.col("path").alias("derived_path"), F.get_json_object("text", "$.source_content_hash").alias("source_content_hash"))
+
+
 def write_issues(issues: DataFrame, path: str) -> None:
-    """Partitioned by sector and year, committed by Spark's protocol."""
+    """Issues as a table, partitioned by sector and year, committed by Spark's protocol."""
     issues.withColumn("year", F.substring("date", 1, 4)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sector_slug", "year").parquet(path)
 
 
+def write_issue_files(issues: DataFrame, root: str) -> int:
+    """Each issue as root/issues/<sector>/<year>/<date>.json; returns how many files changed."""
+    done = O.put_texts(issue_json(issues).select(F.col("derived_path").alias("path"), F.col("json").alias("text")), root)
+    return done.agg(F.count_if("written").alias("n")).collect()[0]["n"]
+
+
+def write_manifest(entries: DataFrame, path: str, merge: bool = True) -> bool:
+    """The manifest file with its versions and the entries in order, merged with those it had; returns whether it changed.
+
+    Entries pass the driver one partition at a time.
+    """
+    names = [c.strip().split()[0] for c in ENTRY.split(",")]
+    entries = entries.select(*names)
+    if merge:
+        entries = upsert(read_manifest(entries.sparkSession, path).select(*names), entries)
+    rows = in_order(entries).select(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("json"))
+
+    def parts():
+        before = "\n"
+        yield f'{{\n  "schema_version": "{V.SCHEMA_VERSION}",\n  "generator_version": "{V.GENERATOR_VERSION}",\n  "issues": ['.encode()
+        for r in rows.toLocalIterator():
+            lines = json.dumps(json.loads(r["json"]), ensure_ascii=False, indent=2).replace("\n", "\n    ")
+            yield f"{before}    {lines}".encode()
+            before = ",\n"
+        yield b"]\n}\n" if before == "\n" else b"\n  ]\n}\n"
+
+    return O.write_atomic(entries.sparkSession, path, parts())
+
+
 def changed_rows(new: DataFrame, old: DataFrame, key: str, value: Column | str) -> DataFrame:
     """Rows of new whose value differs from the old one or has none: nothing is written for the rest."""
     was = old.select(F.col(key).alias("_key"), (F.col(value) if isinstance(value, str) else value).alias("_was"))
