@@ -6,6 +6,9 @@ keyed on an id.
 
 from __future__ import annotations
 
+import json
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +20,7 @@ from broadleaf.functions import images as I
 from broadleaf.functions import text as X
 from broadleaf.functions import urls as U
 from broadleaf.operators import derive, editorial, incremental, plan, privacy, validate
-from broadleaf.sources import corpus
+from broadleaf.sources import corpus, objects
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that all machines share; a local one only where none is set and the master is local."""
+    root = spark.conf.get("spark.checkpoint.dir", "") or ""
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+    return f"{(root or 'file://' + tempfile.mkdtemp(prefix='broadleaf-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 # -- variants, the same text in both engines ---------------------------------
 
 REST = "substr(url, instr(url, '://') + 3)"
@@ -198,7 +209,7 @@ def q_lines_explode(spark, sf_dir):
 SELECT doc_id, CASE WHEN cut_at > 0 THEN rtrim(array_to_string(l[1:cut_at - 1], chr(10)), ' ' || chr(9) || chr(10)) || chr(10) ELSE body END AS kept, coalesce(cut_at > 0, false) AS cut FROM c""")
 def q_footer_cut(spark, sf_dir):
     kept = X.without_footer(F.col("body"))
-    return bodies(spark, sf_dir).select("doc_id", kept.alias("kept"), (F.array_position(F.transform(X.lines(F.col("body")), lambda x: X.starts_footer(x)), True) > 0).alias("cut"))
+    return bodies(spark, sf_dir).select("doc_id", kept.alias("kept"), (X.footer_at(F.col("body")) > 0).alias("cut"))
 
 
 _FAMILY = r"CASE WHEN regexp_matches(chr(10) || body || chr(10), '\n[ \t]*Links:[ \t]*\n') THEN 'links_block' WHEN regexp_matches(body, '\)\s*\[\s*https?://') THEN 'inline_url' ELSE 'unknown' END"
@@ -222,47 +233,59 @@ def q_page_links(spark, sf_dir):
     return rows.groupBy("page_id", "href").agg(F.count("*").alias("n"))
 
 
-@query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality, CASE WHEN l.doc_id IS NULL THEN 'dangling_reference' END AS code FROM documents d LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) l ON d.doc_id = l.doc_id")
-def q_dangling_refs(spark, sf_dir):
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").distinct().withColumn("there", F.lit(True))
-    rows = table(spark, sf_dir, "documents").select("doc_id").join(labels, "doc_id", "left")
-    return rows.select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"), F.when(F.col("there").isNull(), "dangling_reference").alias("code"))
-
-
-# conversations as issues: a system turn is a heading, a user turn an item, other turns its text
-CONV = "c AS (SELECT *, last_value(CASE WHEN role = 'system' THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS h, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS item FROM conversations)"
+# conversations as newsletter files: user turns are items, some under a heading, with the turns' texts as summaries
+_CONV_HEADING = "CASE WHEN turn % 3 = 0 THEN CASE WHEN turn % 2 = 0 THEN 'BIG STORIES' ELSE 'QUICK LINKS' END END"
+_CONV_KIND = "CAST((conv_id + turn) % 5 AS INT)"
+_CONV_FORM = "CASE CAST(conv_id % 11 AS INT) WHEN 5 THEN 'unknown' WHEN 7 THEN 'inline_url' ELSE 'links_block' END"
 
 
-def conversations(spark, sf_dir):
-    by = W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, 0)
-    rows = table(spark, sf_dir, "conversations")
-    return rows.withColumn("heading", F.coalesce(F.last(F.when(F.col("role") == "system", F.col("text")), ignorenulls=True).over(by), F.lit(derive.GENERAL))).withColumn("item", F.sum((F.col("role") == "user").cast("long")).over(by))
+def newsletters(spark, sf_dir) -> DataFrame:
+    """relative_path and content of one file for each conversation."""
+    c = table(spark, sf_dir, "conversations").withColumn("form", F.expr(_CONV_FORM)).withColumn("heading", F.expr(_CONV_HEADING)).withColumn("kind", F.expr(_CONV_KIND))
+    text = F.regexp_replace("text", r"\s+", " ")
+    mark = F.when(F.col("form") == "inline_url", F.concat(F.lit("(3 MINUTE READ) [https://inline.example/"), F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")), F.lit("]")))
+    mark = F.coalesce(mark, F.element_at(F.array(*map(F.lit, ("(3 MINUTE READ) [1]", "(SPONSOR) [2]", "(GITHUB REPO) [3]", "(2 MINUTE READ)", "(5 MINUTE READ) [9]"))), F.col("kind") + 1))
+    head = F.concat(F.coalesce(F.concat(F.col("heading"), F.lit("\n\n")), F.lit("")), F.lit("STORY "), F.concat_ws(" ", F.col("conv_id").cast("string"), F.col("turn").cast("string")), F.lit(" "), mark, F.lit("\r\n\r\n"))
+    part = F.concat(F.when((F.col("role") == "user") & (F.col("form") != "unknown"), head).otherwise(""), text, F.lit("\n\n"))
+    rows = c.groupBy("conv_id", "form").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", part.alias("part")))), lambda x: x["part"]), "").alias("body"))
+    third = F.when(F.col("conv_id") % 7 == 0, f"https://{V.NEWS_SITE}/manage?email=x").otherwise("https://github.com/o/r")
+    links = F.concat(F.lit("Links:\n------\n[1] https://www.Example.com/"), F.col("conv_id").cast("string"), F.lit("?utm_source=x&email=a#top\n[2] https://news.exam\nple.org/s\n[3] "), third, F.lit("\n[3] https://late.example/\n"))
+    number = F.lpad((F.col("conv_id") % 28 + 1).cast("string"), 2, "0")
+    path = F.concat(F.lit(V.SECTOR_WORD + " C"), F.col("conv_id").cast("string"), F.lit("/article_"), number, F.lit("-01-2024.md"))
+    footer = F.lit("Thanks for reading,\nSTORY OF NOBODY (1 MINUTE READ) [1]\n")
+    return rows.select(path.alias("relative_path"), F.concat("body", F.when(F.col("form") == "links_block", links).otherwise(footer)).cast("binary").alias("content"))
 
 
-@query(f"WITH {CONV} SELECT conv_id, turn, coalesce(h, 'GENERAL') AS heading FROM c")
-def q_sections_forward_fill(spark, sf_dir):
-    return conversations(spark, sf_dir).select("conv_id", "turn", "heading")
+_CONV = rf"""c AS (SELECT *, {_CONV_FORM} AS form, {_CONV_HEADING} AS heading, {_CONV_KIND} AS kind, trim(regexp_replace(text, '\s+', ' ', 'g')) AS para, 'tldr-c' || conv_id || ':2024-01-' || lpad(CAST(conv_id % 28 + 1 AS VARCHAR), 2, '0') AS issue_id FROM conversations),
+w AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER t AS item, sum(CASE WHEN role = 'user' AND heading IS NOT NULL THEN 1 ELSE 0 END) OVER t AS section, last_value(CASE WHEN role = 'user' THEN heading END IGNORE NULLS) OVER t AS under
+  FROM c WHERE form <> 'unknown' WINDOW t AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT issue_id, conv_id, form, item, max(section) AS section, coalesce(max(under), 'GENERAL') AS heading, max(CASE WHEN role = 'user' THEN turn END) AS turn, max(CASE WHEN role = 'user' THEN kind END) AS kind, string_agg(para, chr(10) || chr(10) ORDER BY turn) AS summary FROM w WHERE item > 0 GROUP BY 1, 2, 3, 4),
+r AS (SELECT *, CASE WHEN form = 'inline_url' THEN NULL WHEN kind = 0 THEN '1' WHEN kind = 1 THEN '2' WHEN kind = 2 THEN '3' WHEN kind = 4 THEN '9' END AS ref FROM g),
+a AS (SELECT *, CASE WHEN form = 'inline_url' THEN 'https://inline.example/' || conv_id || '/' || turn WHEN ref = '1' THEN 'https://www.example.com/' || conv_id || '?utm_source=x' WHEN ref = '2' THEN 'https://news.example.org/s' WHEN ref = '3' AND conv_id % 7 <> 0 THEN 'https://github.com/o/r' END AS url,
+  issue_id || ':' || CASE WHEN ref IS NULL THEN 'o' || lpad(CAST(item AS VARCHAR), 3, '0') ELSE 'a0' || ref || CASE WHEN row_number() OVER (PARTITION BY conv_id, ref ORDER BY item) > 1 THEN '-' || lpad(CAST(row_number() OVER (PARTITION BY conv_id, ref ORDER BY item) AS VARCHAR), 2, '0') ELSE '' END END AS id,
+  CASE WHEN form = 'inline_url' THEN 'editorial' WHEN kind = 1 THEN 'sponsor' WHEN kind = 2 THEN 'github_repo' ELSE 'editorial' END AS content_type FROM r),
+s AS (SELECT conv_id, section, heading, row_number() OVER (PARTITION BY conv_id ORDER BY section) AS section_order, row_number() OVER (PARTITION BY conv_id, heading ORDER BY section) AS nth FROM (SELECT DISTINCT conv_id, section, heading FROM a) x)"""
 
 
-@query(f"WITH {CONV} SELECT conv_id, CAST(item AS BIGINT) AS item, string_agg(text, chr(10) ORDER BY turn) FILTER (role <> 'user') AS summary, max(CASE WHEN role = 'user' THEN text END) AS title FROM c WHERE item > 0 GROUP BY 1, 2")
-def q_item_grouping(spark, sf_dir):
-    rows = conversations(spark, sf_dir).where("item > 0").groupBy("conv_id", "item")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") != "user", F.struct("turn", "text")))), lambda x: x["text"]), "\n")
-    return rows.agg(F.nullif(body, F.lit("")).alias("summary"), F.max(F.when(F.col("role") == "user", F.col("text"))).alias("title"))
+@query(rf"""WITH {_CONV} SELECT issue_id, s.section_order AS section_order, lower(replace(a.heading, ' ', '-')) || CASE WHEN nth > 1 THEN '-' || nth ELSE '' END AS section_id, a.heading AS heading, id,
+  row_number() OVER (PARTITION BY a.conv_id, a.section ORDER BY item) AS article_order, 'STORY ' || a.conv_id || ' ' || turn AS title, summary, url,
+  CASE WHEN form = 'inline_url' THEN 3 WHEN kind = 0 THEN 3 WHEN kind = 3 THEN 2 WHEN kind = 4 THEN 5 END AS reading_time_minutes, regexp_replace(regexp_extract(url, '//([^/]*)', 1), '^www\.', '') AS source_domain, content_type, content_type = 'sponsor' AS is_sponsor
+FROM a JOIN s ON a.conv_id = s.conv_id AND a.section = s.section""")
+def q_issue_articles(spark, sf_dir):
+    issues = derive.issues(corpus.named_sources(newsletters(spark, sf_dir)))
+    sections = issues.select("issue_id", F.explode("sections").alias("s")).select("issue_id", F.col("s.order").alias("section_order"), F.col("s.id").alias("section_id"), F.col("s.heading").alias("heading"), F.explode("s.articles").alias("a"))
+    return sections.select("issue_id", "section_order", "section_id", "heading", F.col("a.id").alias("id"), F.col("a.order").alias("article_order"), "a.title", "a.summary", "a.url", "a.reading_time_minutes", "a.source_domain", "a.content_type", "a.is_sponsor")
 
 
-@query("""WITH r AS (SELECT conv_id, turn, CAST(turn % 3 AS VARCHAR) AS ref, row_number() OVER (PARTITION BY conv_id, turn % 3 ORDER BY turn) AS n FROM conversations)
-SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || ':a' || lpad(ref, 2, '0') || CASE WHEN n > 1 THEN '-' || lpad(CAST(n AS VARCHAR), 2, '0') ELSE '' END AS article_id FROM r""")
-def q_article_ids(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").withColumn("ref", (F.col("turn") % 3).cast("string"))
-    n = F.row_number().over(W.partitionBy("conv_id", "ref").orderBy("turn"))
-    return rows.select("conv_id", "turn", F.concat(F.col("conv_id").cast("string"), F.lit(":a"), F.lpad("ref", 2, "0"), F.when(n > 1, F.format_string("-%02d", n)).otherwise("")).alias("article_id"))
+_ISSUES = f"""{_CONV}, k AS (SELECT conv_id, count(*) AS n, count(*) FILTER (url IS NULL AND content_type <> 'sponsor') AS open, string_agg(code, ',' ORDER BY code) AS codes FROM (SELECT *, CASE WHEN ref = '9' THEN 'dangling_reference' WHEN ref IS NULL AND form <> 'inline_url' THEN 'missing_reference_number' END AS code FROM a) x GROUP BY 1),
+i AS (SELECT DISTINCT issue_id, conv_id, form FROM c)"""
 
 
-@query("SELECT conv_id, turn, CASE WHEN n > 1 THEN role || '-' || CAST(n AS VARCHAR) ELSE role END AS section_id FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS n FROM conversations) x")
-def q_section_id_dedup(spark, sf_dir):
-    n = F.row_number().over(W.partitionBy("conv_id", "role").orderBy("turn"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", derive._numbered(F.col("role"), n).alias("section_id"))
+@query(f"""WITH {_ISSUES} SELECT issue_id, 'TLDR C' || i.conv_id AS sector, split_part(issue_id, ':', 2) AS date, 'TLDR C' || i.conv_id || ' ' || split_part(issue_id, ':', 2) AS title, CASE WHEN form = 'inline_url' AND n IS NULL THEN 'unknown' ELSE form END AS format_family,
+  concat_ws(',', codes, CASE WHEN form = 'unknown' OR form = 'inline_url' AND n IS NULL THEN 'unknown_format' END) AS warnings, CASE WHEN n IS NULL THEN 'failed' WHEN codes IS NOT NULL OR open > 0 THEN 'partial' ELSE 'complete' END AS parse_status FROM i LEFT JOIN k ON i.conv_id = k.conv_id""")
+def q_issue_documents(spark, sf_dir):
+    issues = derive.issues(corpus.named_sources(newsletters(spark, sf_dir)))
+    return issues.select("issue_id", "sector", "date", "title", "format_family", F.array_join("parse_warnings.code", ",").alias("warnings"), "parse_status")
 
 
 _STATUS = "s AS (SELECT d.doc_id, source, n_chars, lang, CASE WHEN n_chars < 300 THEN 0 ELSE n_chars // 300 END AS articles, CASE WHEN toxic = 1 THEN 1 ELSE 0 END AS material, CASE WHEN quality = 0 THEN 1 ELSE 0 END AS unresolved, doc_id % 11 = 0 AS header_only FROM documents d LEFT JOIN labels l USING (doc_id))"
@@ -306,10 +329,18 @@ def q_classify(spark, sf_dir):
     return rows.select("conv_id", "turn", "content_class", editorial.front_page_eligible(F.col("content_class"), F.col("role"), F.when(F.col("turn") % 7 == 0, "  ").otherwise(F.col("text"))).alias("eligible"))
 
 
-@query("SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3 DESC, ts, event_id) AS n FROM events) x WHERE n = 1")
-def q_pair_dedup_rank(spark, sf_dir):
-    n = F.row_number().over(W.partitionBy("user_id", "event_type").orderBy(F.desc(F.col("event_id") % 3), "ts", "event_id"))
-    return table(spark, sf_dir, "events").withColumn("n", n).where("n = 1").select("user_id", "event_type", "event_id")
+@query("""WITH a AS (SELECT *, CASE CAST(event_id % 3 AS INT) WHEN 0 THEN 'editorial' WHEN 1 THEN 'tool' ELSE 'Sponsor' END AS kind FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3 DESC, value, event_id) AS n FROM a)
+SELECT 'u' || CAST(user_id AS VARCHAR) AS issue_id, event_type AS article_id, 'https://x.example/' || CAST(event_id AS VARCHAR) AS canonical_url, CASE kind WHEN 'tool' THEN 'resource' WHEN 'Sponsor' THEN 'sponsor' ELSE kind END AS content_class FROM r WHERE n = 1""")
+def q_article_dedup(spark, sf_dir):
+    """W1 by the library: of an article's repeats the one of the highest class stays, then the first."""
+    kind = F.element_at(F.array(*map(F.lit, ("editorial", "tool", "Sponsor"))), (F.col("event_id") % 3 + 1).cast("int"))
+    none = lambda t: F.lit(None).cast(t)
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("2024-01-01").alias("date"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("issue_id"), F.col("event_type").alias("id"), F.lit("s").alias("sector_slug"), none("string").alias("section_heading"), F.lit("T").alias("title"), none("string").alias("summary"),
+        F.concat(F.lit("https://x.example/"), F.col("event_id").cast("string")).alias("url"), none("string").alias("source_domain"), none("int").alias("reading_time_minutes"), kind.alias("content_type"), F.lit(False).alias("is_sponsor"), F.col("value").alias("si"), F.col("event_id").alias("ai"),
+    )
+    return editorial.candidates(rows).select("issue_id", "article_id", "canonical_url", "content_class")
 
 
 _SECTORS = "CASE CAST(c_nationkey % 14 AS INT) " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(V.SECTOR_ORDER)) + " ELSE concat('sector-', CAST(c_nationkey AS {s})) END"
@@ -335,12 +366,12 @@ f AS (SELECT *, row_number() OVER (PARTITION BY d, sector, is_lead ORDER BY pos)
 k AS (SELECT *, CASE WHEN is_lead THEN 0 ELSE row_number() OVER (PARTITION BY d, is_lead ORDER BY CASE WHEN sector <> lead_sector AND rs = 1 THEN 0 ELSE 1 END, pos) END AS kr FROM f),
 r AS (SELECT *, CASE WHEN is_lead THEN 'lead' WHEN kr <= 4 THEN 'secondary' ELSE 'brief' END AS role FROM k),
 o AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY CASE role WHEN 'lead' THEN 0 WHEN 'secondary' THEN 1 ELSE 2 END, CASE WHEN role = 'secondary' THEN kr ELSE pos END) AS rk FROM r)"""
-_SUPPLIERS = "e AS (SELECT concat('n', CAST(s_nationkey % 6 AS VARCHAR)) AS d, CASE CAST(s_suppkey % 5 AS INT) WHEN 0 THEN 'tldr' WHEN 1 THEN 'tldr-ai' WHEN 2 THEN 'tldr-dev' ELSE concat('x', CAST(s_suppkey % 4 AS VARCHAR)) END AS sector, s_suppkey AS pos FROM supplier WHERE s_acctbal > 0)"
+_SUPPLIERS = "e AS (SELECT concat('n', CAST(s_nationkey % 6 AS VARCHAR)) AS d, CASE CAST(s_suppkey % 5 AS INT) WHEN 0 THEN 'tldr' WHEN 1 THEN 'tldr-ai' WHEN 2 THEN 'tldr-dev' ELSE concat('x', CAST(s_suppkey % 4 AS VARCHAR)) END AS sector, s_suppkey AS pos FROM supplier)"
 
 
 def suppliers(spark, sf_dir):
     sector = "CASE CAST(s_suppkey % 5 AS INT) WHEN 0 THEN 'tldr' WHEN 1 THEN 'tldr-ai' WHEN 2 THEN 'tldr-dev' ELSE concat('x', CAST(s_suppkey % 4 AS STRING)) END"
-    return table(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.concat(F.lit("n"), (F.col("s_nationkey") % 6).cast("string")).alias("d"), F.expr(sector).alias("sector"), F.col("s_suppkey").alias("pos"))
+    return table(spark, sf_dir, "supplier").select(F.concat(F.lit("n"), (F.col("s_nationkey") % 6).cast("string")).alias("d"), F.expr(sector).alias("sector"), F.col("s_suppkey").alias("pos"))
 
 
 @query(f"WITH {_SUPPLIERS}, {FALLBACK} SELECT d, pos, sector, role, rk FROM o WHERE rk <= 9")
@@ -379,10 +410,10 @@ def q_filter_changed(spark, sf_dir):
     return changed.select("relative_path", "reason")
 
 
-@query("SELECT o_orderkey AS issue_id, o_orderstatus || CASE WHEN o_orderkey % 3 = 0 THEN '-new' ELSE '' END AS value FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0")
+@query("SELECT o_orderkey AS issue_id, o_orderstatus || CASE WHEN o_orderkey % 3 = 0 THEN '-new' ELSE '' END AS value FROM orders")
 def q_manifest_upsert(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    old = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("issue_id"), F.col("o_orderstatus").alias("value"))
+    old = o.where("o_orderkey % 3 <> 0 or o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("issue_id"), F.col("o_orderstatus").alias("value"))
     new = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("issue_id"), F.concat("o_orderstatus", F.lit("-new")).alias("value"))
     return incremental.upsert(old, new)
 
@@ -400,22 +431,29 @@ def q_checkpoint_eligible(spark, sf_dir):
     return incremental.eligible(pending, files).select("source_path")
 
 
-_MANIFEST = "m AS (SELECT c_custkey AS idx, CASE WHEN c_custkey % 50 = 0 THEN '' ELSE CAST(c_custkey - CASE WHEN c_custkey % 40 = 1 THEN 1 ELSE 0 END AS VARCHAR) END AS issue_id, CASE WHEN c_custkey % 90 = 0 THEN 'GoDaddy/' || c_name ELSE c_name END AS source_path, 'issues/' || CAST(c_custkey AS VARCHAR) AS derived_path FROM customer)"
+_MANIFEST = "m AS (SELECT c_custkey AS idx, CASE WHEN c_custkey % 50 = 0 THEN '' ELSE CAST(c_custkey - CASE WHEN c_custkey % 40 = 1 THEN 1 ELSE 0 END AS VARCHAR) END AS given, CASE WHEN c_custkey % 100 = 0 THEN 'x' || CAST(c_custkey AS VARCHAR) END AS id, CASE WHEN c_custkey % 90 = 0 THEN 'GoDaddy/' || c_name WHEN c_custkey % 77 = 0 THEN NULL ELSE c_name END AS source_path, CASE WHEN c_custkey % 83 = 0 THEN '' ELSE 'issues/' || CASE WHEN c_custkey % 120 = 0 THEN 'godaddy' ELSE '' END || CAST(c_custkey - CASE WHEN c_custkey % 60 = 2 THEN 1 ELSE 0 END AS VARCHAR) END AS derived_path FROM customer), n AS (SELECT *, coalesce(nullif(given, ''), id, '') AS issue_id, 'entry ' || lpad(CAST(idx AS VARCHAR), 12, '0') AS place FROM m)"
+_AGAIN = lambda k, o: f"SELECT place, {o}, 'duplicate manifest {k}: ' || {k} FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY idx) AS again FROM n WHERE coalesce({k}, '') <> '') x WHERE again > 1"
+_MISSING = lambda k, o: f"SELECT place, {o}, 'manifest issues[' || CAST(idx AS VARCHAR) || '] missing {k}' FROM n WHERE coalesce({k}, '') = ''"
 
 
-@query(f"""WITH {_MANIFEST}, f AS (SELECT derived_path, CASE WHEN idx % 60 = 0 THEN NULL ELSE '0.1.3' END AS gv, CASE WHEN idx % 70 = 0 THEN '0.9' ELSE '1.0.0' END AS sv, source_path FROM m WHERE idx % 30 <> 7)
-SELECT 10 AS ord, 'manifest issues[' || CAST(idx AS VARCHAR) || '] missing issue_id' AS error FROM m WHERE issue_id = ''
-UNION ALL SELECT 20, 'duplicate manifest issue_id: ' || issue_id FROM (SELECT issue_id, row_number() OVER (PARTITION BY issue_id ORDER BY idx) AS n FROM m WHERE issue_id <> '') x WHERE n > 1
-UNION ALL SELECT 30, 'missing derived file for ' || derived_path FROM m WHERE derived_path NOT IN (SELECT derived_path FROM f)
-UNION ALL SELECT 31, 'forbidden path in manifest: ' || source_path FROM m WHERE source_path LIKE '%GoDaddy%'
-UNION ALL SELECT 40, 'issue file count (' || CAST((SELECT count(*) FROM f) AS VARCHAR) || ') != manifest entries (' || CAST((SELECT count(*) FROM m) AS VARCHAR) || ')' WHERE (SELECT count(*) FROM f) <> (SELECT count(*) FROM m)
-UNION ALL SELECT 50, derived_path || ': generator_version null != 0.1.3' FROM f WHERE gv IS NULL
-UNION ALL SELECT 51, derived_path || ': schema_version ' || sv || ' != 1.0.0' FROM f WHERE sv <> '1.0.0'
-UNION ALL SELECT 60, 'forbidden issue output: ' || derived_path FROM f WHERE source_path LIKE '%GoDaddy%'""")
+@query(f"""WITH {_MANIFEST}, f AS (SELECT derived_path, CASE WHEN idx % 60 = 0 THEN NULL ELSE '0.1.3' END AS gv, CASE WHEN idx % 70 = 0 THEN '0.9' ELSE '1.0.0' END AS sv, source_path FROM m WHERE idx % 30 <> 7 AND derived_path <> ''),
+e AS (SELECT 'files' AS place, 0 AS ord, 'GoDaddy output exists under generated/issues' AS error WHERE (SELECT count(*) FROM f WHERE contains(lower(derived_path), 'godaddy')) > 0
+UNION ALL {_MISSING('issue_id', 0)} UNION ALL {_AGAIN('issue_id', 1)} UNION ALL {_MISSING('source_path', 10)} UNION ALL {_AGAIN('source_path', 11)} UNION ALL {_MISSING('derived_path', 20)} UNION ALL {_AGAIN('derived_path', 21)}
+UNION ALL SELECT place, 12, 'GoDaddy path in manifest: ' || source_path FROM n WHERE source_path LIKE '%GoDaddy%'
+UNION ALL SELECT place, 22, 'missing derived file for ' || derived_path FROM n WHERE derived_path <> '' AND derived_path NOT IN (SELECT derived_path FROM f)
+UNION ALL SELECT 'files', 1, 'issue file count (' || CAST((SELECT count(*) FROM f) AS VARCHAR) || ') != manifest entries (' || CAST((SELECT count(*) FROM m) AS VARCHAR) || ')' WHERE (SELECT count(*) FROM f) <> (SELECT count(*) FROM m)
+UNION ALL SELECT 'of ' || derived_path, 0, derived_path || ': generator_version None != ' || chr(39) || '0.1.3' || chr(39) FROM f WHERE gv IS NULL
+UNION ALL SELECT 'of ' || derived_path, 1, derived_path || ': schema_version ' || chr(39) || sv || chr(39) || ' != ' || chr(39) || '1.0.0' || chr(39) FROM f WHERE sv <> '1.0.0'
+UNION ALL SELECT 'of ' || derived_path, 2, 'GoDaddy issue output: ' || derived_path FROM f WHERE source_path LIKE '%GoDaddy%' OR contains(lower(derived_path), 'godaddy')) SELECT * FROM e""")
 def q_consistency_errors(spark, sf_dir):
     k = F.col("c_custkey")
-    m = table(spark, sf_dir, "customer").select(k.alias("idx"), F.when(k % 50 == 0, "").otherwise((k - F.when(k % 40 == 1, 1).otherwise(0)).cast("string")).alias("issue_id"), F.when(k % 90 == 0, F.concat(F.lit(V.FORBIDDEN_SOURCE + "/"), "c_name")).otherwise(F.col("c_name")).alias("source_path"), F.concat(F.lit("issues/"), k.cast("string")).alias("derived_path"))
-    f = m.where("idx % 30 <> 7").select("derived_path", F.when(F.col("idx") % 60 == 0, None).otherwise("0.1.3").alias("generator_version"), F.when(F.col("idx") % 70 == 0, "0.9").otherwise("1.0.0").alias("schema_version"), "source_path")
+    less = lambda m, r: F.when(k % m == r, 1).otherwise(0)
+    m = table(spark, sf_dir, "customer").select(
+        k.alias("idx"), F.when(k % 50 == 0, "").otherwise((k - less(40, 1)).cast("string")).alias("issue_id"), F.when(k % 100 == 0, F.concat(F.lit("x"), k.cast("string"))).alias("id"),
+        F.when(k % 90 == 0, F.concat(F.lit(V.FORBIDDEN_SOURCE + "/"), "c_name")).when(k % 77 != 0, F.col("c_name")).alias("source_path"),
+        F.when(k % 83 == 0, "").otherwise(F.concat(F.lit("issues/"), F.when(k % 120 == 0, V.FORBIDDEN_SOURCE.lower()).otherwise(""), (k - less(60, 2)).cast("string"))).alias("derived_path"),
+    )
+    f = m.where("idx % 30 <> 7 and derived_path <> ''").select("derived_path", F.when(F.col("idx") % 60 != 0, "0.1.3").alias("generator_version"), F.when(F.col("idx") % 70 == 0, "0.9").otherwise("1.0.0").alias("schema_version"), "source_path")
     return validate.consistency_errors(m, f)
 
 
@@ -433,11 +471,11 @@ _ISSUE_SQL = f"""art AS (SELECT strftime(DATE '2024-01-01' + CAST(page_id % 5 AS
   CASE WHEN page_id % 13 = 0 THEN ' ' ELSE 'Title ' || CAST(page_id AS VARCHAR) END AS title, CASE WHEN page_id % 4 = 0 THEN 'https://example.com/shared/' || CAST(page_id % 8 AS VARCHAR) || '?utm_source=' || CAST(page_id AS VARCHAR) ELSE url END AS u, {_KIND.replace('turn', 'page_id')} AS kind FROM pages)"""
 
 
-@query(f"""WITH {_ISSUE_SQL}, raw AS (SELECT * FROM art WHERE trim(title) <> '' AND date = '2024-01-03'), {CANON},
+@query(f"""WITH {_ISSUE_SQL}, raw AS (SELECT * FROM art WHERE trim(title) <> ''), {CANON},
 k AS (SELECT *, CASE WHEN lower(kind) = 'sponsor' THEN 'sponsor' WHEN lower(kind) IN ({IN(V.RESOURCE_TYPES)}) THEN 'resource' ELSE 'editorial' END AS class FROM canonical WHERE canonical IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY date, class, canonical ORDER BY {_RANK}, CASE WHEN {_RANK} = 11 THEN sector ELSE '' END, ai, CAST(issue AS VARCHAR), CAST(page_id AS VARCHAR)) AS n FROM k)
-SELECT CAST(page_id AS VARCHAR) AS article_id, sector AS sector_slug, title, canonical AS canonical_url, h AS source_domain, class AS content_class FROM r WHERE n = 1""")
-def q_load_date(spark, sf_dir):
+SELECT date, CAST(page_id AS VARCHAR) AS article_id, sector AS sector_slug, title, canonical AS canonical_url, h AS source_domain, class AS content_class FROM r WHERE n = 1""")
+def q_candidates(spark, sf_dir):
     p, k = table(spark, sf_dir, "pages"), F.col("page_id")
     issue = F.floor(k / 7)
     sector = F.expr("CASE CAST(floor(page_id / 7) % 14 AS INT) " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(V.SECTOR_ORDER)) + " ELSE concat('zz-', CAST(CAST(floor(page_id / 7) % 14 AS INT) AS STRING)) END")
@@ -447,8 +485,8 @@ def q_load_date(spark, sf_dir):
         F.lit(0).alias("si"), (k % 7).alias("ai"), k.cast("string").alias("id"), F.when(k % 13 == 0, " ").otherwise(F.concat(F.lit("Title "), k.cast("string"))).alias("title"), F.lit("s").alias("summary"), url.alias("url"),
         F.lit(None).cast("string").alias("source_domain"), F.lit(None).cast("int").alias("reading_time_minutes"), F.expr(_KIND.replace("turn", "page_id")).alias("content_type"), F.lit(False).alias("is_sponsor"),
     )
-    found = editorial.candidates(rows.where("date = '2024-01-03'"))
-    return found.select("article_id", "sector_slug", "title", "canonical_url", "source_domain", "content_class")
+    found = editorial.candidates(rows)
+    return found.select("date", "article_id", "sector_slug", "title", "canonical_url", "source_domain", "content_class")
 
 
 @query("""SELECT CAST(item_id AS VARCHAR) AS story_id, CASE WHEN item_id % 6 = 0 THEN 'calibration_story_issue_incomplete' WHEN item_id % 6 = 1 THEN 'calibration_story_reference_invalid' WHEN item_id % 6 = 2 THEN 'calibration_story_not_editorial' WHEN item_id % 6 = 3 THEN 'calibration_story_title_drift' WHEN item_id % 6 = 4 THEN 'calibration_story_summary_drift' END AS error FROM benchmark""")
@@ -461,32 +499,88 @@ def q_story_drift(spark, sf_dir):
     return editorial.story_errors(stories, manifest, found)
 
 
-_BRIEF_1 = '{{"mode":"none","source_candidate_ids":[],"central_subject":"","visual_metaphor":"","composition":"","forbidden_elements":[],"alt_text":"{alt}"}}'
-_PLAN_CASES = [
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"lead"}],"section_order":["s"],"visual_brief":' + _BRIEF_1.format(alt="") + "}", None),
-    ("{not json", "plan_malformed_json"),
-    ("[1]", "plan_not_object"),
-    ('{"lead_candidate_id":"c1","front_page":[],"section_order":[]}', "plan_unknown_properties"),
-    ('{"lead_candidate_id":" ","front_page":[],"section_order":[],"visual_brief":{}}', "plan_invalid_lead_id"),
-    ('{"lead_candidate_id":"c1","front_page":[],"section_order":[],"visual_brief":{}}', "plan_front_page_count"),
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"lead","x":"1"}],"section_order":[],"visual_brief":{}}', "plan_entry_properties"),
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"boss"}],"section_order":[],"visual_brief":{}}', "plan_role"),
-    ('{"lead_candidate_id":"c9","front_page":[{"candidate_id":"c9","role":"lead"}],"section_order":[],"visual_brief":{}}', "plan_unknown_candidate"),
-    ('{"lead_candidate_id":"c2","front_page":[{"candidate_id":"c2","role":"lead"}],"section_order":[],"visual_brief":{}}', "plan_ineligible_candidate"),
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"brief"}],"section_order":[],"visual_brief":{}}', "plan_lead"),
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"lead"}],"section_order":["t"],"visual_brief":{}}', "plan_section_order"),
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"lead"}],"section_order":["s"],"visual_brief":{"mode":"none"}}', "plan_visual_properties"),
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"lead"}],"section_order":["s"],"visual_brief":' + _BRIEF_1.format(alt="a photo").replace('"mode":"none"', '"mode":"lead_story"').replace('ids":[]', 'ids":["c1"]').replace('subject":""', 'subject":"x"').replace('metaphor":""', 'metaphor":"x"').replace('composition":""', 'composition":"x"') + "}", "plan_alt_text_photo"),
-    ('{"lead_candidate_id":"c1","front_page":[{"candidate_id":"c1","role":"lead"}],"section_order":["s"],"visual_brief":' + _BRIEF_1.format(alt="").replace('ids":[]', 'ids":["c1"]') + "}", "plan_visual_none_sources"),
-]
-
-
-@query("SELECT c_custkey, CASE CAST(c_custkey % %d AS INT) %s END AS error FROM customer".replace("%d", str(len(_PLAN_CASES))).replace("%s", " ".join(f"WHEN {i} THEN {'NULL' if e is None else repr(e)}" for i, (_, e) in enumerate(_PLAN_CASES))))
+def _plan_cases() -> list[str | None]:
+    """Plans that break one rule each, or two to show which comes first, or none."""
+    texts = {k: "x" for k in ("central_subject", "visual_metaphor", "composition")}
+    brief = {"mode": "edition_theme", "source_candidate_ids": ["e1", "e2"], **texts, "forbidden_elements": [" a ", "b"], "alt_text": " a drawing\t"}
+    second = {k: v for k, v in brief.items() if k != "visual_metaphor"} | {"schema_version": "2.0.0", "editorial_idea": "x", "visual_relationship": "x", "literal_elements": ["l"], "abstraction_level": "low", "failure_modes": ["f"]}
+    page = [{"candidate_id": f"e{k}", "role": "lead" if k == 1 else "secondary" if k < 6 else "brief"} for k in range(1, 8)]
+    good = {"lead_candidate_id": " e1 ", "front_page": page, "section_order": ["s", "t"], "visual_brief": brief}
+    entry = lambda k, **new: {"front_page": page[:k] + [page[k] | new] + page[k + 1 :]}
+    of = lambda base, **new: {"visual_brief": base | new}
+    changed = [
+        {}, {"visual_brief": second}, {"front_page": [page[0], {"candidate_id": " e2\t", "role": "secondary"}, *page[2:]]}, of(brief, mode="none", source_candidate_ids=[], central_subject=" ", alt_text=""),
+        {"more": 1}, {"lead_candidate_id": "\t"}, {"lead_candidate_id": 7}, {"lead_candidate_id": None}, {"lead_candidate_id": "x" * 17}, {"lead_candidate_id": "<b>"},
+        {"front_page": page[:6]}, {"front_page": {"a": 1}}, {"front_page": ["x"] * 7}, entry(3, more="1"), entry(3, candidate_id=4), entry(3, candidate_id="\t "), entry(3, role="boss"), entry(3, role=1), entry(3, candidate_id="c9"), entry(3, candidate_id="x1"),
+        {"front_page": [page[0] | {"candidate_id": "c9"}, page[1] | {"more": 1}, *page[2:]]}, {"front_page": [page[0] | {"role": "boss", "candidate_id": "c9"}, *page[1:]]}, entry(3, candidate_id="e1 "),
+        entry(0, role="brief"), entry(1, role="lead"), {"lead_candidate_id": "e2"}, entry(5, role="secondary"), entry(5, role="secondary") | {"section_order": ["u"]},
+        {"section_order": ["s", "s"]}, {"section_order": ["u"]}, {"section_order": [1]}, {"section_order": "s"}, {"section_order": None}, {"section_order": []},
+        {"visual_brief": []}, {"visual_brief": {"mode": "none"}}, {"visual_brief": brief | {"more": 1}}, of(brief, mode="other"), of(brief, mode=1), of(brief, source_candidate_ids="e1"), of(brief, source_candidate_ids=["e1", "e2", "e3", "e4"]), of(brief, source_candidate_ids=["e1", "e1"]),
+        of(brief, source_candidate_ids=["x1"]), of(brief, source_candidate_ids=[1]), of(brief, source_candidate_ids=[]), of(brief, mode="none"), of(brief, mode="lead_story"), of(brief, mode="lead_story", source_candidate_ids=["e1"]), of(second, schema_version="1.0.0"), of(second, schema_version=2),
+        of(second, editorial_idea=""), of(second, central_subject="y" * 301), of(second, central_subject="y" * 300), of(second, visual_relationship=5), of(second, composition="see http://x"), of(second, alt_text="[a](b)"), of(second, abstraction_level="none"), of(second, abstraction_level=["low"]),
+        of(second, literal_elements="x"), of(second, literal_elements=["x"] * 13), of(second, literal_elements=["x", " x"]), of(second, literal_elements=[1]), of(second, forbidden_elements=["x", "x"]), of(second, forbidden_elements=[""]), of(second, failure_modes=None), of(second, failure_modes=["z" * 101]),
+        of(brief, central_subject={"a": 1}), of(brief, visual_metaphor=""), of(brief, visual_metaphor="\u0001"), of(brief, forbidden_elements={}), of(brief, forbidden_elements=["x"] * 21), of(brief, forbidden_elements=["x", "x"]), of(brief, forbidden_elements=["<i>"]), of(brief, alt_text="a Photo of"), of(second, alt_text="photographic"), of(brief, alt_text="photos"),
+    ]
+    short = [json.dumps({k: v for k, v in good.items() if k != "section_order"}), None, "", "{not json", '{"a":1} x', "[1]", "3", "null"]
+    return [json.dumps(good | c) for c in changed] + short
+
+
+_PLANS = _plan_cases()
+_TEXT_OF = lambda x: f"({x}->>'$')"
+_NO_STRING = lambda x: f"coalesce(json_type({x}), '') <> 'VARCHAR'"
+_BAD = lambda x, n, free="false": rf"({_NO_STRING(x)} OR (NOT {free} AND regexp_full_match({_TEXT_OF(x)}, '\s*')) OR length({_TEXT_OF(x)}) > {n} OR regexp_matches({_TEXT_OF(x)}, '[\x01-\x08\x0b\x0c\x0e-\x1f\x7f]|(?i)https?://|<[^>]+>|\[[^\]]+\]\([^)]+\)'))"
+_STRIP = lambda x: rf"regexp_replace({_TEXT_OF(x)}, '^\s+|\s+$', '', 'g')"
+_IDS, _GOOD, _PLACES = "['e1', 'e2', 'e3', 'e4', 'e5', 'e6', 'e7', 'x1']", "['e1', 'e2', 'e3', 'e4', 'e5', 'e6', 'e7']", "['s', 't']"
+_LISTED = lambda x: f"CASE WHEN json_type({x}) = 'ARRAY' THEN CAST({x} AS JSON[]) END"
+_ALL_TEXT = lambda x: f"(len(list_filter({x}, lambda y: json_type(y) <> 'VARCHAR')) = 0)"
+_TEXTS = lambda x: f"list_transform({x}, lambda y: {_TEXT_OF('y')})"
+_DOUBLE = lambda x: f"(len(list_distinct({x})) <> len({x}))"
+_SAME_KEYS = lambda x, *sets: f"(coalesce(json_type({x}), '') = 'OBJECT' AND (" + " OR ".join(f"list_sort(json_keys({x})) = {sorted(k)!r}" for k in sets) + "))"
+
+
+def _plan_sql() -> str:
+    cases = ", ".join("NULL" if c is None else "'" + c.replace("'", "''") + "'" for c in _PLANS)
+    b = lambda k: f"(vb->'$.{k}')"
+    two, free = _SAME_KEYS("vb", V.BRIEF_2_KEYS), "(mode = 'none')"
+    text_rule = lambda k, n: f"WHEN {_BAD(b(k), n, free)} THEN 'plan_invalid_{k}' "
+
+    def list_rule(k, n, once):
+        x = _LISTED(b(k))
+        stripped = f"list_transform({x}, lambda y: {_STRIP('y')})"
+        return f"WHEN coalesce(json_type({b(k)}), '') <> 'ARRAY' OR len({x}) > {n} THEN 'plan_{k}' WHEN len(list_filter({x}, lambda y: {_BAD('y', 100)})) > 0 THEN 'plan_invalid_{k[:-1]}' " + (f"WHEN {_DOUBLE(stripped)} THEN 'plan_{k}' " if once else "")
+
+    photo = rf"WHEN regexp_matches({_TEXT_OF(b('alt_text'))}, '(?i)\b(photo|photograph|photographic)\b') THEN 'plan_alt_text_photo' "
+    of_two = f"CASE WHEN {_NO_STRING(b('schema_version'))} OR {_TEXT_OF(b('schema_version'))} <> '2.0.0' THEN 'plan_visual_schema_version' " + "".join(text_rule(k, n) for k, n in (("editorial_idea", 500), ("central_subject", 300), ("visual_relationship", 500), ("composition", 500), ("alt_text", 500)))
+    of_two += f"WHEN {_NO_STRING(b('abstraction_level'))} OR {_TEXT_OF(b('abstraction_level'))} NOT IN ('low', 'medium', 'high') THEN 'plan_abstraction_level' " + "".join(list_rule(k, n, True) for k, n in (("literal_elements", 12), ("forbidden_elements", 20), ("failure_modes", 12))) + photo + "END"
+    of_one = "CASE " + "".join(text_rule(k, n) for k, n in (("central_subject", 300), ("visual_metaphor", 500), ("composition", 500), ("alt_text", 500))) + list_rule("forbidden_elements", 20, False) + photo + "END"
+    entry = f"CASE WHEN NOT {_SAME_KEYS('e', ('candidate_id', 'role'))} THEN 'plan_entry_properties' WHEN {_BAD("(e->'$.candidate_id')", 16)} THEN 'plan_invalid_candidate_id' WHEN {_NO_STRING("(e->'$.role')")} OR (e->>'$.role') NOT IN ('lead', 'secondary', 'brief') THEN 'plan_role' WHEN NOT list_contains({_IDS}, {_STRIP("(e->'$.candidate_id')")}) THEN 'plan_unknown_candidate' WHEN NOT list_contains({_GOOD}, {_STRIP("(e->'$.candidate_id')")}) THEN 'plan_ineligible_candidate' END"
+    return f"""WITH p AS (SELECT c_custkey, [{cases}][c_custkey % {len(_PLANS)} + 1] AS content FROM customer),
+j AS (SELECT *, CASE WHEN json_valid(content) THEN CAST(content AS JSON) END AS v FROM p),
+x AS (SELECT *, v->'$.front_page' AS fp, v->'$.visual_brief' AS vb, v->'$.lead_candidate_id' AS ld, v->'$.section_order' AS so, v->>'$.visual_brief.mode' AS mode FROM j),
+y AS (SELECT *, {_LISTED('fp')} AS fl, {_LISTED('so')} AS sl, {_LISTED(b('source_candidate_ids'))} AS src, {_STRIP('ld')} AS lead FROM x),
+z AS (SELECT *, list_filter(list_transform(fl, lambda e: {entry}), lambda c: c IS NOT NULL)[1] AS broken, list_transform(fl, lambda e: {_STRIP("(e->'$.candidate_id')")}) AS ids, list_transform(fl, lambda e: e->>'$.role') AS roles FROM y)
+SELECT c_custkey, CASE WHEN content IS NULL THEN 'plan_content_missing' WHEN v IS NULL THEN 'plan_malformed_json' WHEN json_type(v) <> 'OBJECT' THEN 'plan_not_object' WHEN NOT {_SAME_KEYS('v', V.PLAN_KEYS)} THEN 'plan_unknown_properties'
+ WHEN {_BAD('ld', 16)} THEN 'plan_invalid_lead_id' WHEN fl IS NULL OR len(fl) <> 7 THEN 'plan_front_page_count' WHEN broken IS NOT NULL THEN broken WHEN {_DOUBLE('ids')} THEN 'plan_duplicate_candidate'
+ WHEN len(list_filter(roles, lambda r: r = 'lead')) <> 1 OR ids[list_position(roles, 'lead')] <> lead THEN 'plan_lead' WHEN len(list_filter(roles, lambda r: r = 'secondary')) > 4 THEN 'plan_secondary_count'
+ WHEN sl IS NULL OR NOT {_ALL_TEXT('sl')} OR {_DOUBLE('sl')} OR NOT list_has_all({_PLACES}, {_TEXTS('sl')}) THEN 'plan_section_order' WHEN NOT {_SAME_KEYS('vb', V.BRIEF_1_KEYS, V.BRIEF_2_KEYS)} THEN 'plan_visual_properties'
+ WHEN {_NO_STRING(b('mode'))} OR mode NOT IN ('lead_story', 'edition_theme', 'none') THEN 'plan_visual_mode' WHEN src IS NULL OR NOT {_ALL_TEXT('src')} OR len(src) > 3 OR {_DOUBLE('src')} OR NOT list_has_all(ids, {_TEXTS('src')}) THEN 'plan_visual_sources'
+ WHEN {free} AND len(src) > 0 THEN 'plan_visual_none_sources' WHEN NOT {free} AND len(src) = 0 THEN 'plan_visual_sources' WHEN mode = 'lead_story' AND {_TEXTS('src')} <> [lead] THEN 'plan_lead_visual_source'
+ WHEN {two} THEN {of_two} ELSE {of_one} END AS error,
+ lead AS _lead, list_transform(ids, lambda i: i) AS _ids, {_STRIP(b('alt_text'))} AS _alt FROM z"""
+
+
+_PLAN_SQL = f"SELECT c_custkey, error, CASE WHEN error IS NULL THEN _lead || ' ' || array_to_string(_ids, ',') || ' ' || _alt END AS cleaned FROM ({_plan_sql()}) x"
+
+
+@query(_PLAN_SQL)
 def q_plan_validate(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    content = F.element_at(F.array(*(F.lit(j) for j, _ in _PLAN_CASES)), (F.col("c_custkey") % len(_PLAN_CASES) + 1).cast("int"))
-    known = c.select("c_custkey", F.explode(F.array(F.struct(F.lit("c1").alias("candidate_id"), F.lit("s").alias("sector_slug"), F.lit(True).alias("eligible")), F.struct(F.lit("c2").alias("candidate_id"), F.lit("s").alias("sector_slug"), F.lit(False).alias("eligible")))).alias("x")).select("c_custkey", "x.*")
-    return plan.validate(c.select("c_custkey", content.alias("content")), known, "c_custkey").select("c_custkey", "error")
+    content = F.element_at(F.array(*(F.lit(j) for j in _PLANS)), (F.col("c_custkey") % len(_PLANS) + 1).cast("int"))
+    known = [(f"e{k}", "s" if k % 2 else "t", True) for k in range(1, 8)] + [("x1", "s", False)]
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("candidate_id"), F.lit(p).alias("sector_slug"), F.lit(e).alias("eligible")) for i, p, e in known)))
+    done = plan.validate(c.select("c_custkey", content.alias("content")), c.select("c_custkey", each.alias("x")).select("c_custkey", "x.*"), "c_custkey")
+    clean = F.concat_ws(" ", "plan.lead_candidate_id", F.array_join("plan.front_page.candidate_id", ","), "plan.visual_brief.alt_text")
+    return done.select("c_custkey", "error", F.when(F.col("error").isNull(), clean).alias("cleaned"))
 
 
 _KEYDATE = "strftime(DATE '2024-01-01' + CAST(doc_id % 366 AS INTEGER), '%Y-%m-%d')"
@@ -504,14 +598,40 @@ def q_object_keys(spark, sf_dir):
 _PART = lambda x: f"unhex(lpad(hex(octet_length(encode({x}))), 16, '0')) || encode({x})"
 
 
-@query(f"SELECT doc_id, 'sha256:' || sha256({_PART('text')} || {_PART('lang')}) AS hash FROM documents")
+_JSON = lambda x: f"(CAST(to_json({x}) AS VARCHAR) || chr(10))"
+
+
+@query(f"SELECT doc_id, 'sha256:' || sha256({_PART('text')} || {_PART(_JSON('lang'))} || {_PART(_JSON('text'))} || {_PART(_JSON('n_chars'))}) AS hash FROM documents")
 def q_hash_parts(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.hash_parts(F.col("text"), F.col("lang")).alias("hash"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.hash_parts(F.col("text").cast("binary"), *(X.canonical_json(F.col(c)) for c in ("lang", "text", "n_chars"))).alias("hash"))
+
+
+_CONFIG = """'{"accepted_upstream_formats":["image/jpeg","image/png","image/webp"],"aspect_ratio":"3:2","conversion":{"animation":false,"background":"opaque_white","format":"webp","metadata":"stripped","method":6,"mode":"RGB","quality":82},"conversion_version":"1.0.0","max_final_webp_bytes":3,"max_image_pixels":2,"max_provider_image_bytes":1,"n_policy":"one_explicit_or_endpoint_default","provider_webp_when_advertised":true,"resolution":"1K"}'"""
+_FACTS = "'[{\"summary\":' || CAST(to_json(text) AS VARCHAR) || ',\"title\":\"T' || CAST(item_id AS VARCHAR) || '\"}]'"
+_FACTS_2 = "'[{\"article_id\":\"a\",\"issue_id\":\"i' || CAST(item_id AS VARCHAR) || '\",\"summary\":' || CAST(to_json(text) AS VARCHAR) || ',\"title\":\"T' || CAST(item_id AS VARCHAR) || '\"}]'"
+_PROFILE = '{"fixed_negative_constraints":["no text"],"internal_id":"p","preamble":"Prä","profile_id":"q","rendering_material_constraints":[],"schema_version":"1.0.0","shared_factual_restrictions":["x"]}'
+_CONTRACT = f"""'{{"exact_sources":' || {_FACTS_2} || ',"illustration_profile":{_PROFILE},"illustration_prompt_version":"2.0.0","image_configuration":' || {_CONFIG} || ',"image_model":"m","visual_brief":{{"alt_text":"a","schema_version":"2.0.0"}},"visual_brief_schema_version":"2.0.0"}}'"""
+_LINE = lambda x: f"({x} || chr(10))"
 
 
-@query(f"SELECT page_id, {_UNESC(_UNESC('html'))} AS html FROM pages")
+@query(f"""SELECT item_id, 'sha256:' || sha256({" || ".join(_PART(_LINE(x)) for x in ("'{" + '"alt_text":"a"' + "}'", _FACTS, "'" + '"m"' + "'", "'" + '"1.0.0"' + "'", _CONFIG))}) AS hash_1, 'sha256:' || sha256({_PART(_LINE(_CONTRACT))}) AS hash_2 FROM benchmark""")
+def q_illustration_hash(spark, sf_dir):
+    i = F.col("item_id").cast("string")
+    sources = F.array(F.struct(F.concat(F.lit("T"), i).alias("title"), F.col("text").alias("summary"), F.concat(F.lit("i"), i).alias("issue_id"), F.lit("a").alias("article_id")))
+    config, model = objects.image_configuration(1, 2, 3), F.lit("m")
+    of = lambda *x: F.array(*map(F.lit, x)).cast("array<string>")
+    profile = F.struct(F.lit("q").alias("profile_id"), F.lit("p").alias("internal_id"), F.lit("1.0.0").alias("schema_version"), F.lit("Prä").alias("preamble"), of("no text").alias("fixed_negative_constraints"), of().alias("rendering_material_constraints"), of("x").alias("shared_factual_restrictions"))
+    one = editorial.illustration_hash_1(F.struct(F.lit("a").alias("alt_text")), sources, model, F.lit("1.0.0"), config)
+    two = editorial.illustration_hash_2(profile, F.struct(F.lit("a").alias("alt_text"), F.lit("2.0.0").alias("schema_version")), sources, model, config)
+    return table(spark, sf_dir, "benchmark").select("item_id", one.alias("hash_1"), two.alias("hash_2"))
+
+
+_RARE = "'caf&eacute; &#8217;&#x1F600; &mdash; 1 &lt 2 &amp;amp;lt; &notit; &NotAnEntity; &frac12'"
+
+
+@query(f"SELECT page_id, replace({_UNESC(_UNESC('html'))}, chr(160), chr(160)) || ' café ’\U0001f600 — 1 < 2 &lt; ¬it; &NotAnEntity; ½' AS html FROM pages")
 def q_entities(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", X.decode_entities(F.col("html")).alias("html"))
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(X.decode_entities(F.col("html")), F.lit(" "), X.decode_entities(F.lit(_RARE.strip("'"))))).toDF("page_id", "html")
 
 
 _RAWKV = """list_transform(list_filter(string_split(%s, '&'), lambda x: x <> ''), lambda x: replace(lower(trim(url_decode(replace(regexp_extract(x, '(?s)^([^=]*)', 1), '+', ' ')))), '-', '_'))""" % _UNESC("q")
@@ -620,12 +740,9 @@ def q_legacy_articles(spark, sf_dir):
 @query()
 def q_stream_ingest(spark, sf_dir):
     """Events streamed from files into a keyed table, each once; rows only, a test holds it against the batch."""
-    import os
-    import tempfile
-
     from broadleaf.streaming.ingest import Table, ingest, landing, once
 
-    root = (spark.conf.get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="broadleaf-")).rstrip("/") + "/stream-" + os.urandom(8).hex()
+    root = scratch(spark, "stream")
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     schema = events.schema
     events.repartition(4, "user_id").write.parquet(f"{root}/landing")
@@ -647,6 +764,50 @@ def q_changed_rows(spark, sf_dir):
     return corpus.changed_rows(docs, old, "doc_id", "text").select("doc_id")
 
 
+_ITEM_PATH = "'TLDR D' || item_id || '/article_' || lpad(CAST(item_id % 28 + 1 AS VARCHAR), 2, '0') || '-02-2024.md'"
+
+
+@query(f"SELECT {_ITEM_PATH} AS relative_path, 'TLDR D' || item_id AS sector, 'tldr-d' || item_id AS sector_slug, '2024-02-' || lpad(CAST(item_id % 28 + 1 AS VARCHAR), 2, '0') AS date_iso, 'sha256:' || sha256(text) AS content_hash, CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes FROM benchmark")
+def q_sources_round_trip(spark, sf_dir):
+    """Files written below sector folders, beside others that aren't approved, and found again."""
+    root, i = scratch(spark, "sources"), F.col("item_id").cast("string")
+    name = F.concat(F.lit("article_"), F.lpad((F.col("item_id") % 28 + 1).cast("string"), 2, "0"), F.lit("-02-2024.md"))
+    rows = table(spark, sf_dir, "benchmark").select(F.explode(F.array(F.concat(F.lit(V.SECTOR_WORD + " D"), i, F.lit("/"), name), F.concat(F.lit("Other "), i, F.lit("/"), name), F.concat(F.lit(V.SECTOR_WORD + " D"), i, F.lit("/deeper/"), name))).alias("path"), "text")
+    objects.put_texts(rows, root).write.format("noop").mode("overwrite").save()
+    return corpus.discover(spark, root).select("relative_path", "sector", "sector_slug", "date_iso", "content_hash", "size_bytes")
+
+
+@query(f"SELECT {_ITEM_PATH} AS source_path, CASE WHEN item_id % 3 = 0 THEN 'old' ELSE 'new' END || item_id AS source_content_hash FROM benchmark")
+def q_manifest_round_trip(spark, sf_dir):
+    """A manifest written, merged with a later run's entries, and read again by source."""
+    path = f"{scratch(spark, 'manifest')}/manifest.json"
+    b, i = table(spark, sf_dir, "benchmark"), F.col("item_id").cast("string")
+    number = F.lpad((F.col("item_id") % 28 + 1).cast("string"), 2, "0")
+    none = [F.lit("x").alias(c) for c in ("schema_version", "generator_version", "format_family", "parse_status", "derived_path")]
+    entries = lambda word: b.select(
+        F.concat(F.lit("tldr-d"), i, F.lit(":2024-02-"), number).alias("issue_id"), F.concat(F.lit(V.SECTOR_WORD + " D"), i).alias("sector"), F.concat(F.lit("tldr-d"), i).alias("sector_slug"), F.concat(F.lit("2024-02-"), number).alias("date"),
+        F.concat(F.lit(V.SECTOR_WORD + " D"), i, F.lit("/article_"), number, F.lit("-02-2024.md")).alias("source_path"), F.concat(F.lit(word), i).alias("source_content_hash"), *none, F.col("item_id").alias("k"),
+    )
+    corpus.write_manifest(entries("old").where("k % 3 = 0 or k % 2 = 0").drop("k"), path)
+    corpus.write_manifest(entries("new").where("k % 3 <> 0").drop("k"), path)
+    return corpus.manifest_hashes(corpus.read_manifest(spark, path))
+
+
+@query(f"""WITH {_ISSUES} SELECT i.issue_id AS issue_id, split_part(i.issue_id, ':', 2) AS date, 'issues/tldr-c' || i.conv_id || '/2024/' || split_part(i.issue_id, ':', 2) || '.json' AS derived_path, coalesce(n, 0) AS n_articles, true AS same_hash FROM i LEFT JOIN k ON i.conv_id = k.conv_id WHERE n IS NOT NULL""")
+def q_issue_files(spark, sf_dir):
+    """Issue documents written as files below issues/, then read by their manifest entries, which name them."""
+    root = scratch(spark, "issues")
+    issues = derive.issues(corpus.named_sources(newsletters(spark, sf_dir)))
+    corpus.write_issue_files(issues, root)
+    corpus.write_manifest(corpus.manifest_entries(issues), f"{root}/manifest.json")
+    entries = corpus.read_manifest(spark, f"{root}/manifest.json").where("parse_status <> 'failed'")
+    found = corpus.verified_issues(entries, corpus.issues_of(entries, root))
+    stored = corpus.existing_hashes(entries, root)
+    rows = entries.select("issue_id", "derived_path", F.col("source_content_hash").alias("given")).join(stored, "derived_path").join(found.select("issue_id", "date", "sections"), "issue_id")
+    n = F.aggregate("sections", F.lit(0), lambda a, s: a + F.size(s["articles"]))
+    return rows.select("issue_id", "date", "derived_path", n.cast("long").alias("n_articles"), (F.col("given") == F.col("source_content_hash")).alias("same_hash"))
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: canonical URLs of pages and their variants, one row kept per URL, counted by domain."""
     rows = pages_v(spark, sf_dir).select("page_id", "url", U.canonical(F.col("url")).alias("canonical")).where("canonical is not null")

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from broadleaf.functions import text
 from broadleaf.functions import images as I
 from broadleaf.operators import editorial, incremental, plan, privacy, validate
 from broadleaf.plans import catalogue
@@ -58,11 +59,16 @@ def test_shortlist_is_balanced(spark):
     assert [(r.candidate_id, r.article_id) for r in got] == [("c001", "tldr0"), ("c002", "tldr-ai0"), ("c003", "zz0"), ("c004", "tldr1"), ("c005", "tldr-ai1"), ("c006", "zz1")]
 
 
-@pytest.mark.parametrize("k", range(len(catalogue._PLAN_CASES)))
-def test_plan_codes(spark, k):
-    known = spark.createDataFrame([("d", "c1", "s", True), ("d", "c2", "s", False)], "date string, candidate_id string, sector_slug string, eligible boolean")
-    content, want = catalogue._PLAN_CASES[k]
-    assert plan.validate(spark.createDataFrame([("d", content)], "date string, content string"), known).collect()[0].error == want
+def test_first_broken_rule_of_a_plan(spark):
+    known = spark.createDataFrame([("d", "c1", "s", True), ("d", "c2", "s", True), ("d", "c3", "s", False)], "date string, candidate_id string, sector_slug string, eligible boolean")
+    page = lambda *e: '{"lead_candidate_id":"c1","front_page":[' + ",".join(e) + '],"section_order":["s"],"visual_brief":{"mode":"none","source_candidate_ids":[],"central_subject":%s,"visual_metaphor":"","composition":"","forbidden_elements":[],"alt_text":""}}'
+    one, two = '{"candidate_id":"c1","role":"lead"}', '{"candidate_id":"c2","role":"brief"}'
+    cases = [
+        (page(one, two) % '""', None), (page(one, two) % "5", "plan_invalid_central_subject"), (page(one, two) % '{"a":1}', "plan_invalid_central_subject"), (page(one, two).replace('"c1",', "1,", 1) % '""', "plan_invalid_lead_id"),
+        (page(one, two).replace('"c1",', '"\\t",', 1) % '""', "plan_invalid_lead_id"), (page('"x"', two) % '""', "plan_entry_properties"), (page('{"candidate_id":"c9","role":"lead"}', '{"candidate_id":"c2","role":"brief","x":1}') % '""', "plan_unknown_candidate"), (page(one) % '""', "plan_front_page_count"),
+    ]
+    for content, want in cases:
+        assert plan.validate(spark.createDataFrame([("d", content)], "date string, content string"), known).collect()[0].error == want, content
 
 
 def test_raw_privacy(spark):
@@ -123,9 +129,9 @@ def test_registry_and_gate(spark):
 def test_second_prompt_and_hash(spark):
     brief = F.struct(*(F.lit(x).alias(k) for k, x in (("editorial_idea", "i"), ("central_subject", "c"), ("visual_relationship", "r"), ("composition", "o"), ("abstraction_level", "low"))), *(F.array(F.lit("x"), F.lit("y")).alias(k) for k in ("literal_elements", "forbidden_elements", "failure_modes")))
     df = spark.createDataFrame([([("T", "S")],)], "stories array<struct<title:string,summary:string>>")
-    row = df.select(editorial.prompt_2(F.lit("P"), F.col("stories"), brief, ["no text"]).alias("p"), editorial.illustration_hash_2(F.struct(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b"))).alias("h")).collect()[0]
+    row = df.select(editorial.prompt_2(F.lit("P"), F.col("stories"), brief, ["no text"]).alias("p"), text.hash_parts(text.canonical_json(F.struct(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b"), F.lit("\x0b\x1f\"\\u000B").alias("c")))).alias("h")).collect()[0]
     assert row.p.split("\n")[:8] == ["Rendering style:", "P", "", "Exact source facts:", "Title: T", "Summary: S", "", "Editorial idea:"] and row.p.endswith("Global factual restrictions:\nno text\n")
-    data = b'{"a":1,"b":null}\n'
+    data = b'{"a":1,"b":null,"c":"\\u000b\\u001f\\"\\\\u000B"}\n'
     assert row.h == "sha256:" + hashlib.sha256(len(data).to_bytes(8, "big") + data).hexdigest()
 
 

@@ -20,16 +20,18 @@ def test_atomic_write_is_skipped_for_equal_bytes(spark, tmp_path):
 
 def test_objects_are_put_once(spark, tmp_path):
     key = "daily/2024/01/02/" + "0" * 64 + ".webp"
-    df = spark.createDataFrame([(key, bytearray(b"x")), ("no/key", bytearray(b"y"))], "key string, content binary")
+    df = spark.createDataFrame([(key, bytearray(b"x"))], "key string, content binary")
     root = f"file://{tmp_path}/o"
     assert [(r.key, r.written) for r in objects.ensured(df, root).collect()] == [(key, True)]
     assert [r.written for r in objects.ensured(df, root).collect()] == [False]
     assert [tuple(r) for r in objects.listed(spark, root).collect()] == [(key, 1)]
+    with pytest.raises(Exception, match="invalid_object_key no/key"):
+        objects.ensured(spark.createDataFrame([("no/key", bytearray(b"y"))], df.schema), root).collect()
 
 
 def test_settings(spark):
     row = spark.range(1).select(objects.image_configuration(1, 2, 3).alias("c")).select("c.*").collect()[0]
-    assert (row.quality, row.max_image_pixels) == (82, 2)
+    assert (row.conversion.quality, row.max_image_pixels, row.accepted_upstream_formats[0]) == (82, 2, "image/jpeg")
     assert objects.bounded("cap", "", 60, 1, 200) == 60
     with pytest.raises(ValueError):
         objects.bounded("cap", "0", 60, 1, 200)
