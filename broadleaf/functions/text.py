@@ -90,15 +90,13 @@ def line_feeds(text: Column) -> Column:
 
 
 #: What ends a line, and what is blank at its ends.
-LINE_END, BLANK = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])", r"[\p{IsWhite_Space}\x1c-\x1f]"
+ENDS = r"[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+LINE_END, BLANK = rf"(?:\r\n|{ENDS})", r"[\p{IsWhite_Space}\x1c-\x1f]"
 NOT_END = r"[^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
-#: What a footer's first line is, from its start on.
-FOOTER = (
-    rf"(?:{BLANK}*(?:{'|'.join(V.FOOTER_STARTS)})"
-    rf"|{BLANK}*jobs? board\.?{BLANK}*(?={LINE_END}|\z)"
-    rf"|(?={NOT_END}*unsubscribe)(?={NOT_END}*(?:http|\[))"
-    rf"|(?={NOT_END}*/manage\?email=))"
-)
+#: What a footer's first line is, from its start on: by its own words, or by words anywhere in it.
+BY_START = rf"{BLANK}*(?i:{'|'.join(V.FOOTER_STARTS)}|jobs? board\.?{BLANK}*(?={LINE_END}|\z))"
+BY_WORD = rf"(?={NOT_END}*(?i:unsubscribe))(?={NOT_END}*(?:(?i:http)|\[))|(?={NOT_END}*(?i:/manage\?email=))"
+FOOTER = rf"(?:{BY_START}|{BY_WORD})"
 
 
 def lines(text: Column) -> Column:
@@ -113,18 +111,26 @@ def stripped(text: Column) -> Column:
 
 def starts_footer(line: Column) -> Column:
     """T4, T5: whether a line starts the footer."""
-    return line.rlike(rf"(?i)\A{FOOTER}")
+    low = F.lower(line)
+    by_word = low.contains("unsubscribe") & (low.contains("http") | low.contains("[")) | low.contains("/manage?email=")
+    return by_word | line.rlike(rf"\A(?:{BY_START})")
 
 
 def footer_at(text: Column) -> Column:
-    """Where the line end before the first footer line, or a footer line that opens the text, starts; 0 if there is none."""
-    return F.regexp_instr(text, F.lit(rf"(?i)(?:\A|{LINE_END}){FOOTER}"))
+    """Where the line end before the first footer line stands, counting one line end put before the text; 0 if there is none.
+
+    Only text that holds one of the words that every BY_WORD line has is searched for them.
+    """
+    low, led = F.lower(text), F.concat(F.lit("\n"), text)
+    some = low.contains("unsubscribe") | low.contains("/manage?email=")
+    either, start = (F.regexp_instr(led, F.lit(rf"{ENDS}(?:{x})")) for x in (FOOTER, BY_START))
+    return F.when(some, either).when(~some, start)
 
 
 def without_footer(text: Column) -> Column:
     """T4: text up to the first footer line, right-trimmed, with line feeds only; as it is if there is none. One search of the whole text."""
     at = footer_at(text)
-    kept = F.regexp_replace(F.substring(text, F.lit(1), at - 1), LINE_END, "\n")
+    kept = F.regexp_replace(F.substring(text, F.lit(1), at - 2), LINE_END, "\n")
     return F.when(at > 0, F.concat(F.regexp_replace(kept, rf"{BLANK}+\z", ""), F.lit("\n"))).otherwise(text)
 
 
