@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, token_store, url_filter, warc
+from . import click_windows, decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, token_store, url_filter, warc
 from . import pipeline as corpus
 from .common import table, tokenizer_path
 from .pipeline import PII_KEY
@@ -69,6 +69,10 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.groups(table(spark, sf_dir, "documents"))
 
 
+def op11_click_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return click_windows.deduplicate(table(spark, sf_dir, "clicks"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
@@ -84,10 +88,36 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_importance": op9_importance,
     "op10_near_dup": op10_near_dup,
+    "op11_click_windows": op11_click_windows,
     "pipeline": pipeline,
 }
 
+#: CRC-32 by its table of bytes, in a column t, of the characters of an ASCII text.
+CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)), lambda a, x: xor(t[(xor(a, x) & 255) + 1], a >> 8)), 4294967295)"
+
 SQL: dict[str, str] = {
+    "op11_click_windows": f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+j AS (SELECT *, epoch_us(arrived_at) // 3600000000 AS h, unnest(range(click_id % 3 + 1)) AS j FROM clicks WHERE click_id IS NOT NULL AND arrived_at IS NOT NULL),
+c AS (SELECT *, {CRC.format("click_id || ':' || j")} AS c FROM j, crc),
+l AS (SELECT *, h + 6 * j * (c % 10) AS hour, h + 6 * j * (c % 10) + c // 10 % 200 AS l,
+        sha256(coalesce(client_id::VARCHAR, '') || '|' || coalesce(kind, '') || '|' || coalesce(floor(100 * value + 0.5)::BIGINT::VARCHAR, '') || '|' || coalesce(epoch_us(ts)::VARCHAR, '') || '|' || coalesce(props, '') || '|' || c % 3) AS hash FROM c),
+b AS (SELECT click_id, hour, hash, {CRC.format("hash")} AS crc, (l - min(l) OVER ()) * 8 // (max(l) OVER () - min(l) OVER () + 1) AS batch FROM l),
+m AS (SELECT b.b AS batch, max(hour) FILTER (batch < b.b) AS before, max(hour) FILTER (batch <= b.b) AS upto FROM b, (SELECT unnest(range(8)) AS b) b GROUP BY b.b),
+k AS (SELECT b.*, before, row_number() OVER (PARTITION BY click_id ORDER BY b.batch, hour, hash) AS rn FROM b JOIN m ON m.batch = b.batch WHERE before IS NULL OR hour >= before - 96),
+w AS (
+  SELECT click_id, rn, rn AS opener, hour AS start_hour FROM k WHERE rn = 1
+  UNION ALL
+  SELECT k.click_id, k.rn, CASE WHEN k.hour > start_hour + 24 OR start_hour + 24 < before - 96 THEN k.rn ELSE opener END, CASE WHEN k.hour > start_hour + 24 OR start_hour + 24 < before - 96 THEN k.hour ELSE start_hour END
+  FROM w JOIN k ON k.click_id = w.click_id AND k.rn = w.rn + 1),
+g AS (
+  SELECT w.click_id, w.opener, any_value(w.start_hour) AS start_hour, any_value(o.batch) AS batch, any_value(o.hash) AS hash, count(*) - 1 AS n_repeats,
+         count(*) FILTER (k.hash <> o.hash) AS n_conflicts, coalesce(sum(k.crc) FILTER (k.hash <> o.hash), 0)::BIGINT AS conflict_crc
+  FROM w JOIN k ON k.click_id = w.click_id AND k.rn = w.rn JOIN k o ON o.click_id = w.click_id AND o.rn = w.opener GROUP BY w.click_id, w.opener),
+n AS (SELECT *, lead(batch) OVER (PARTITION BY click_id ORDER BY opener) AS next_batch FROM g)
+SELECT click_id, start_hour, least(7, next_batch, (SELECT min(m.batch) FROM m WHERE m.batch >= n.batch AND n.start_hour + 24 < m.upto - 96))::BIGINT AS closed_batch, n_repeats, n_conflicts, conflict_crc, hash FROM n
+""",
     "op1_url_filter": r"""
 WITH p AS (
   SELECT page_id, url,
