@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import click_windows, decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, token_store, url_filter, warc
+from . import click_windows, conversation_trie, decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, token_store, url_filter, warc
 from . import pipeline as corpus
 from .common import table, tokenizer_path
 from .pipeline import PII_KEY
@@ -73,6 +73,10 @@ def op11_click_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return click_windows.deduplicate(table(spark, sf_dir, "clicks"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.digest(*conversation_trie.trie(table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op9_importance": op9_importance,
     "op10_near_dup": op10_near_dup,
     "op11_click_windows": op11_click_windows,
+    "op12_conversation_trie": op12_conversation_trie,
     "pipeline": pipeline,
 }
 
@@ -117,6 +122,27 @@ g AS (
   FROM w JOIN k ON k.click_id = w.click_id AND k.rn = w.rn JOIN k o ON o.click_id = w.click_id AND o.rn = w.opener GROUP BY w.click_id, w.opener),
 n AS (SELECT *, lead(batch) OVER (PARTITION BY click_id ORDER BY opener) AS next_batch FROM g)
 SELECT click_id, start_hour, least(7, next_batch, (SELECT min(m.batch) FROM m WHERE m.batch >= n.batch AND n.start_hour + 24 < m.upto - 96))::BIGINT AS closed_batch, n_repeats, n_conflicts, conflict_crc, hash FROM n
+""",
+    "op12_conversation_trie": f"""
+WITH crc AS ({CRC_TABLE}),
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS lead, {CRC.format("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t), crc),
+r AS (
+  SELECT c.conv_id, 0 AS part, i, role, text FROM c JOIN t ON t.conv_id = c.lead AND i < h
+  UNION ALL SELECT c.conv_id, 1, i, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND i >= h),
+p AS (SELECT c.conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY part, i) FILTER (i IS NOT NULL), []) AS path FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+e AS (SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM p),
+n AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+  FROM e GROUP BY path[1:depth], depth),
+k AS (SELECT node[1:depth - 1] AS parent, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY node[1:depth - 1], depth - 1),
+own AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth > 0 THEN (n_convs - 1) * octet_length(encode(node[n.depth].text)) ELSE 0 END AS saved
+  FROM n LEFT JOIN k ON k.parent = n.node AND k.depth = n.depth),
+up AS (SELECT node, unnest(range(depth + 1)) AS d, saved, n_children FROM own),
+s AS (SELECT node[1:d] AS node, d AS depth, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM up GROUP BY node[1:d], d)
+SELECT own.conv_id, own.depth, above.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves, saved_tokens, own.ends_sha256
+FROM own JOIN s ON s.node = own.node AND s.depth = own.depth LEFT JOIN n above ON own.depth > 0 AND above.depth = own.depth - 1 AND above.node = own.node[1:own.depth - 1]
 """,
     "op1_url_filter": r"""
 WITH p AS (
