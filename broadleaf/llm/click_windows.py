@@ -48,7 +48,7 @@ BATCHES = 8
 #: Copies of a bucket, over all batches; there are LEAST_BUCKETS at least.
 BUCKET_COPIES, LEAST_BUCKETS = 500_000, 24
 #: Rows that a scan task sorts at once, and windows of one packed row of the result.
-PACK_ROWS, OUT_ROWS = 262_144, 50_000
+PACK_ROWS, OUT_ROWS = 131_072, 50_000
 SPOOL_BYTES = 32 << 20
 
 HOUR_MS = 3_600_000
@@ -332,11 +332,10 @@ def counted(w: np.ndarray, rows: np.ndarray) -> None:
 
 
 def stream(spark: SparkSession, fed: str, batch: int, horizon: int | None = None) -> DataFrame:
-    """Closed windows of the rows (FED) in the folders of fed, as one start of the streaming query."""
+    """Closed windows, packed, of the rows (FED) in the folders of fed, as one start of the streaming query."""
     rows = spark.readStream.schema(FED).parquet(fed)
     chunks = rows.mapInArrow(_pack, "bucket int, event timestamp, body binary").withWatermark("event", f"{LATE_HOURS} hours 1 second")
-    closed = chunks.groupBy("bucket").transformWithState(Windows(batch, horizon), "windows binary", "Append", "EventTime")
-    return closed.mapInArrow(_unpack, RESULT)
+    return chunks.groupBy("bucket").transformWithState(Windows(batch, horizon), "windows binary", "Append", "EventTime")
 
 
 #: Settings of the streaming query, put back when its starts are over. Stores are closed after each batch: every start opens its own, each with
@@ -345,6 +344,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
 
@@ -389,4 +389,5 @@ def deduplicate(clicks: DataFrame, announce: bool = True) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(RESULT).parquet(f"{root}/closed/*")
+    # unpacked where they are read: a worker more beside each stateful task would cost its memory
+    return spark.read.schema("windows binary").parquet(f"{root}/closed/*").mapInArrow(_unpack, RESULT)
