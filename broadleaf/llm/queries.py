@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import click_windows, conversation_trie, decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, token_store, url_filter, warc
+from . import click_windows, conversation_trie, decontaminate, importance, langid, near_dup, pii, quality_rules, sentencepiece_sa, simhash, token_store, url_filter, warc
 from . import pipeline as corpus
 from .common import table, tokenizer_path
 from .pipeline import PII_KEY
@@ -77,6 +77,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.digest(*conversation_trie.trie(table(spark, sf_dir, "conversations")))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
@@ -94,6 +98,7 @@ QUERIES = {
     "op10_near_dup": op10_near_dup,
     "op11_click_windows": op11_click_windows,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_simhash": op13_simhash,
     "pipeline": pipeline,
 }
 
