@@ -1,17 +1,19 @@
 """Near-duplicate classes by Order MinHash, verified by banded alignment.
 
 Texts are lower-cased word sequences.  Equal sequences share a node (a 64-bit hash
-of the text).  Each node gets SKETCHES Order MinHash values: the TUPLE least of its
-five-word shingles, labelled by occurrence, under a random order, hashed in the
-order they have in the text.  Nodes that share a value share a bucket.
+of the text).  Each node gets SKETCHES Order MinHash values of its k-mers of words: the
+TUPLE least k-mers, labelled by occurrence, under a random order, hashed in the order
+they have in the text.  Nodes that share a value share a bucket.  Texts of SHORT words
+or fewer have sketches of single words, and texts of over 4/5 of that (so that two
+texts alike always have one kind in common) sketches of WORDS words in a row.
 
 Two nodes are a link if the longest common subsequence of their words, found by
 bit-parallel alignment within the band that the threshold leaves, is at least
-SIMILARITY of the words of both taken together.  So a text with one word in ten
-replaced is a copy, although it shares less than 0.8 of its shingles; shingles only
-bring candidates together.  Two texts at the threshold whose edits lie evenly share
-about 0.39 of their shingles, hence a bucket with a chance of 0.90; at 0.85 it is
-0.99, and 0.999 beyond 0.88.
+SIMILARITY of the words of both taken together.  So a text with one word in nine
+replaced is a copy, although with edits that lie evenly it shares but 0.29 of its
+five-word shingles.  The k-mers only bring candidates together, and are shorter so that
+texts just at the threshold meet wherever their edits lie: tests plant pairs of 4 to 900
+words at 0.80 and 0.84.
 
 First every node is paired with the least node of all its buckets, one pair a node,
 which joins most of any large family.  Then members of buckets that still hold several
@@ -19,16 +21,16 @@ classes are paired with the bucket's least and with its greatest node, unless bo
 in one class already.  Buckets that hold several classes even then have all their
 pairs across classes judged, in blocks of about BLOCK_BYTES of nodes alike in size,
 each with each whose sizes allow a link: words in common are counted for all pairs of
-two blocks at once, and only pairs with enough of them are aligned.  So every link
-between two members of a bucket is found or implied, whatever its size.  Links make
-classes by contraction over written tables.
+two blocks at once, and only pairs with enough of them are aligned (words by 32 bits of
+their hashes).  So every link between two members of a bucket is found or implied,
+whatever its size.  Links make classes by contraction over written tables.
 
 Only light rows are kept of all texts.  Words are read again just for nodes that
 occur in pairs, once per node.  Copies within a task are counted once before any
 shuffle.  A node in many pairs has its words copied under several salts.
 
 Defined results: null text and text without words are classes of their own; texts
-of fewer than five words have one shingle, so that only equal ones meet; the class id
+of fewer than four words have no near copies but equal ones; the class id
 is its least doc_id (null if none has one); rows that share a doc_id each get a row,
 and deduplicate() keeps exactly one row of each class whatever the ids are.
 """
@@ -43,12 +45,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Hashes, Scratch, arrow_rows, broadcast_if_small, mixed, remembers, with_texts, written
+from .components import NODE_BYTES, components, joined
 
-WORDS, SIMILARITY = 5, 0.8
-SKETCHES, TUPLE = 40, 3
+SIMILARITY = 0.8
+WORDS, SKETCHES, TUPLE = 3, 40, 3
+#: Words of a text up to which single words are its k-mers.
+SHORT = 20
 ORDERS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-#: A row of two longs in a broadcast hash table.
-NODE_BYTES = 160
 #: Words of a block of the exact pass; a node counts as LEAST_BYTES at least, so that a block has 512 nodes at most.
 BLOCK_BYTES, LEAST_BYTES = 2 << 20, 4096
 #: Nodes that a task remembers to count copies once.
@@ -109,6 +112,14 @@ def sketches(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def text_sketches(h: np.ndarray) -> np.ndarray:
+    """The sketches of a text by its words' hashes; none without words."""
+    kinds = [mixed(sketches(h) ^ ORDERS[0])] if 0 < len(h) <= SHORT else []
+    if len(h) > SIMILARITY * SHORT:
+        kinds.append(sketches(shingles(h)))
+    return np.concatenate(kinds) if kinds else h
+
+
 def mixed_orders(h: np.ndarray, order: np.ndarray) -> np.ndarray:
     x = (h ^ (order >> np.uint64(7))) * order
     return x ^ (x >> np.uint64(32))
@@ -213,7 +224,7 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.add(node)
             nodes.append(node)
             sizes.append(len(h))
-            values.append(sketches(shingles(h)).view(np.int64) if new and len(h) else ())
+            values.append(text_sketches(h).view(np.int64) if new else ())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int64()))], schema=schema)
 
 
@@ -286,58 +297,9 @@ def _block_links(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
 
-def few(df: DataFrame, rows: int) -> DataFrame:
-    """df in as many partitions as that number of light rows needs."""
-    return df.coalesce(1 + rows // 200_000)
-
-
-def _renamed(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
-    """rows with the label in place of each node of a column that has one."""
-    side = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    return rows.join(side, F.col(column) == F.col("_node"), "left").withColumn(column, F.coalesce("_label", column)).drop("_node", "_label")
-
-
-def _ordered(links: DataFrame) -> DataFrame:
-    """Distinct links a, b with a < b."""
-    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-
-
-def components(links: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """node and label (the least node of its component) of n links a, b: links are contracted until none is left.
-
-    Every node hangs on its least neighbour if that is less than itself; chains of such are halved until each node
-    hangs on a root; links between roots remain for the next turn.
-    """
-    edges, done = scratch.written(few(_ordered(links), n), "links"), None
-    while n:
-        hung = scratch.written(few(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label")), n), "hung")
-        while True:
-            jumped = hung.withColumn("was", F.col("label"))
-            jumped = scratch.written(few(_renamed(jumped, "label", broadcast_if_small(hung, NODE_BYTES, n)), n), "hung")
-            hung = jumped.select("node", "label")
-            if jumped.where("label <> was").isEmpty():
-                break
-        side = broadcast_if_small(hung, NODE_BYTES, n)
-        done = hung if done is None else scratch.written(few(_renamed(done, "label", side).unionByName(hung), 2 * n), "labels")
-        edges = scratch.written(few(_ordered(_renamed(_renamed(edges, "a", side), "b", side)), n), "links")
-        n = edges.count()
-    return scratch.written(done.unionByName(done.select(F.col("label").alias("node"), "label").distinct()), "labels")
-
-
-def joined(labels: DataFrame | None, links: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """labels, of classes found so far, after n more links between nodes."""
-    if labels is None:
-        return components(links, n, scratch)
-    edges = scratch.written(_ordered(_renamed(_renamed(links.select("a", "b"), "a", labels), "b", labels)), "links")
-    if not (m := edges.count()):
-        return labels
-    new = components(edges, m, scratch)
-    return scratch.written(_renamed(labels, "label", broadcast_if_small(new, NODE_BYTES, 2 * m)).unionByName(new.join(labels.select("node"), "node", "left_anti")), "labels")
-
-
 def _blobs_of(own: DataFrame, least: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
     """node and blob (its words as 32-bit hashes) of n nodes. Texts are read again for them only."""
-    needed = scratch.written(few(nodes.join(least, "node").select("node", "raw"), n), "needed")
+    needed = scratch.written(nodes.join(least, "node").select("node", "raw"), "needed")
     found = own.select("raw", "text").join(broadcast_if_small(needed, NODE_BYTES), "raw").select("node", "text").mapInArrow(_blobs, "node long, blob binary")
     return scratch.written(found.groupBy("node").agg(F.first("blob").alias("blob")), "blobs")
 
@@ -399,7 +361,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text = F.col(text_col).cast("string")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("raw"), text.alias("text"))
     rows = scratch.written(own.mapInArrow(_sketch, "doc_id long, raw long, node long, n long, values array<long>"), "sketches")
-    keys = rows.where("n > 0").select("node", F.posexplode("values").alias("k", "v")).select(F.xxhash64("k", "v").alias("key"), "node")
+    keys = rows.where("n > 0").select("node", F.explode("values").alias("key")).select("key", "node")
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = scratch.written(keys.join(shared, "key").distinct(), "members")  # of buckets with several nodes
     least = rows.where("n > 0").groupBy("node").agg(F.min("raw").alias("raw"))
@@ -448,9 +410,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     several = scratch.written(nodes, "several")  # nodes that share their class with others or have copies
     ids = several.groupBy("class").agg(F.min("doc").alias("class_id"))
     n_several = several.count()
-    ids = scratch.written(few(ids, n_several), "class-ids")
+    ids = scratch.written(ids, "class-ids")
     named = several.select("node", "class").join(broadcast_if_small(ids, NODE_BYTES), "class")
-    named = broadcast_if_small(scratch.written(few(named, n_several), "named"), NODE_BYTES, n_several)
+    named = broadcast_if_small(scratch.written(named, "named"), NODE_BYTES, n_several)
     own_node = F.when(F.col("n") > 0, F.col("node"))
     done = written(rows.select("doc_id", own_node.alias("node")).join(named, "node", "left").select("doc_id", "node", F.coalesce("class", "node").alias("class"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")), "classes")
     scratch.clear()

@@ -687,10 +687,9 @@ def plain_similarity(a, b):
 
 
 def plain_classes(docs):
-    """Least id of each connected class of texts whose words are alike, all pairs that share five words in a row compared."""
+    """Least id of each connected class of texts whose words are alike, all pairs compared."""
     texts_ = sorted({" ".join((t or "").lower().split()) for _, t in docs} - {""})
     own = [t.split() for t in texts_]
-    sh = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in own]
     root = list(range(len(texts_)))
 
     def find(i):
@@ -698,9 +697,9 @@ def plain_classes(docs):
             i = root[i]
         return i
 
-    for i in range(len(sh)):
+    for i in range(len(own)):
         for j in range(i):
-            if min(len(own[i]), len(own[j])) >= 0.8 * max(len(own[i]), len(own[j])) and sh[i] & sh[j] and plain_similarity(own[i], own[j]) >= 0.8:
+            if min(len(own[i]), len(own[j])) >= 0.8 * max(len(own[i]), len(own[j])) and plain_similarity(own[i], own[j]) >= 0.8:
                 root[find(i)] = find(j)
     place = {t: find(k) for k, t in enumerate(texts_)}
     least = {}
@@ -725,6 +724,31 @@ def test_near_duplicates_against_all_pairs(spark):
     assert Counter((r.doc_id, r.class_id) for r in near_dup.groups(df).collect()) == plain_classes(docs)
 
 
+def edited(rng, words, n, even):
+    """words with n of them replaced by new ones, at even steps or anywhere."""
+    at = [int((k + 0.5) * len(words) / n) for k in range(n)] if even else rng.sample(range(len(words)), n)
+    return [f"new{rng.randrange(1 << 40)}" if k in set(at) else w for k, w in enumerate(words)]
+
+
+def test_near_duplicates_at_the_threshold(spark):
+    """Of 200 planted pairs of each size, similarity and way of editing nine tenths at least share a class."""
+    rng, docs, kinds = random.Random(20), [], {}
+    for size, n in ((9, 1), (18, 2), (45, 5), (45, 4), (180, 20), (180, 16), (900, 100), (900, 78)):
+        for even in (True, False):
+            for _ in range(200):
+                words = [f"w{rng.randrange(1 << 40)}" for _ in range(size)]
+                kinds[len(docs)] = (size, n, even)
+                docs += [(len(docs), " ".join(words)), (len(docs) + 1, " ".join(edited(rng, words, n, even)))]
+    for _ in range(200):  # a word put into four
+        words = [f"w{rng.randrange(1 << 40)}" for _ in range(5)]
+        out = rng.randrange(5)
+        kinds[len(docs)] = (4, 1, None)
+        docs += [(len(docs), " ".join(words)), (len(docs) + 1, " ".join(w for k, w in enumerate(words) if k != out))]
+    classes = {r.doc_id: r.class_id for r in near_dup.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = Counter(kind for d, kind in kinds.items() if classes[d + 1] == d)
+    assert {kind: n for kind, n in found.items() if n < 180} == {} and len(found) == 17
+
+
 @pytest.mark.parametrize("block", [near_dup.BLOCK_BYTES, 200_000])
 def test_near_duplicates_within_a_template(spark, monkeypatch, block):
     monkeypatch.setattr(near_dup, "BLOCK_BYTES", block)
