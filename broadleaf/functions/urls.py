@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from broadleaf import fixed as V
 
-from .text import decode_entities, strip_zero_width, unescape
+from .text import bound, decode_entities, strip_zero_width, unescape_all
 
 _SPLIT = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 RAW_URL = r"(?i)https?://[^\p{IsWhite_Space}\x1c-\x1f<>\"']+"
@@ -111,14 +111,17 @@ def is_management_host(host: Column) -> Column:
     return _site(host, V.NEWS_SITE, V.NEWS_MAIL_SITE, *V.ACCOUNT_HOSTS)
 
 
-def is_private(url: Column, repair: bool = True, full: bool = True) -> Column:
-    """U-3: a subscription, account or referral link; empty counts as one."""
-    url = repaired(url, full) if repair else url
-    host, p, q = F.lower(netloc(url)), path(url), query(url)
+def _parts(url: Column) -> Column:
+    return F.struct(url.alias("url"), F.regexp_extract(url, _SPLIT, 1).alias("s"), netloc(url).alias("loc"), hostname(netloc(url)).alias("host"), path(url).alias("p"), query(url).alias("q"))
+
+
+def _private(x: Column) -> Column:
+    """U-3 for the parts of an address."""
+    host, p, q = F.lower(x["loc"]), x["p"], x["q"]
     low = F.lower(F.concat(p, F.lit("?"), q))
     identity = q.rlike(r"(?i)(^|&)(email|subscriber|subscriber_id)=")
     return (
-        (url == "")
+        (x["url"] == "")
         | _site(host, *V.ACCOUNT_HOSTS)
         | (_site(host, V.NEWS_MAIL_SITE) & (low.rlike(r"unsubscribe|/manage\b|preferences?|account") | identity))
         | (_site(host, V.NEWS_SITE) & (p.rlike(r"(?i)/(manage|unsubscribe|preferences?|account)(/|$|\?)") | (identity & F.lower(p).rlike("manage|unsubscribe"))))
@@ -126,20 +129,33 @@ def is_private(url: Column, repair: bool = True, full: bool = True) -> Column:
     )
 
 
+def is_private(url: Column, repair: bool = True, full: bool = True) -> Column:
+    """U-3: a subscription, account or referral link; empty counts as one."""
+    return bound(repaired(url, full) if repair else url, lambda u: bound(_parts(u), _private))
+
+
+def _public(x: Column) -> Column:
+    """U-2 for the parts of a repaired address."""
+
+    def of_pairs(found: Column) -> Column:
+        key = lambda f: F.lower(f["k"])
+        allowed = lambda k: F.coalesce(F.element_at(_hosts_by_key(), k), F.array().cast("array<string>"))
+        hidden = F.exists(found, lambda f: key(f).isin(*V.CREDENTIAL_KEYS) & ~F.array_contains(allowed(key(f)), x["host"]))
+        q = joined(F.filter(found, lambda f: ~key(f).isin(*V.SUBSCRIBER_KEYS, *V.CREDENTIAL_KEYS)))
+        out = bound(q, lambda t: F.concat(F.lower(x["s"]), F.lit("://"), F.lower(x["loc"]), x["p"], F.when(t == "", "").otherwise(F.concat(F.lit("?"), t))))
+        ok = F.lower(x["s"]).isin("http", "https") & (x["loc"] != "") & userinfo(x["loc"]).isNull() & ~hidden & ~_private(x)
+        return bound(out, lambda u: F.when(ok & ~bound(_parts(u), _private), u))
+
+    return bound(pairs(x["q"]), of_pairs)
+
+
+def _hosts_by_key() -> Column:
+    return F.create_map(*(c for k, hosts in V.PUBLIC_CREDENTIALS.items() for c in (F.lit(k), F.array(*map(F.lit, hosts)))))
+
+
 def public(url: Column, full: bool = True) -> Column:
     """U-2: the URL without fragment, subscriber keys and removable credentials; null if private, invalid or not to be shown."""
-    url = repaired(url, full)
-    s, loc, host = F.regexp_extract(url, _SPLIT, 1), netloc(url), hostname(netloc(url))
-    found = pairs(query(url))
-    secret = F.array_intersect(F.transform(found, lambda x: F.lower(x["k"])), F.array(*map(F.lit, V.CREDENTIAL_KEYS)))
-    shown = F.lit(True)
-    for key in V.CREDENTIAL_KEYS:
-        shown = shown & (~F.array_contains(secret, key) | host.isin(*V.PUBLIC_CREDENTIALS.get(key, ("",))))
-    kept = F.filter(found, lambda x: ~F.lower(x["k"]).isin(*V.SUBSCRIBER_KEYS) & ~F.lower(x["k"]).isin(*V.CREDENTIAL_KEYS))
-    q = joined(kept)
-    out = F.concat(F.lower(s), F.lit("://"), F.lower(loc), path(url), F.when(q == "", "").otherwise(F.concat(F.lit("?"), q)))
-    ok = F.lower(s).isin("http", "https") & (loc != "") & userinfo(loc).isNull() & shown & ~is_private(url, False)
-    return F.when(ok & ~is_private(out, False), out)
+    return bound(repaired(url, full), lambda u: bound(_parts(u), _public))
 
 
 # -- rules over raw text -----------------------------------------------------
@@ -156,7 +172,7 @@ def unbalanced(url: Column) -> Column:
 
 def raw_pairs(url: Column) -> Column:
     """(k, raw) of the query's non-empty parts, entities decoded once."""
-    parts = F.filter(F.split(unescape(query(url)), "&"), lambda x: x != "")
+    parts = F.filter(F.split(unescape_all(query(url)), "&"), lambda x: x != "")
     return F.transform(parts, lambda x: F.struct(F.translate(F.lower(F.trim(decoded(F.regexp_extract(x, r"(?s)^([^=]*)", 1)))), "-", "_").alias("k"), x.alias("raw")))
 
 

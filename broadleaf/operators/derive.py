@@ -105,23 +105,35 @@ def _numbered(name: Column, n: Column) -> Column:
     return F.when(n > 1, F.concat(name, F.lit("-"), n.cast("string"))).otherwise(name)
 
 
-def sections(rows: DataFrame) -> DataFrame:
-    """issue_id and its sections with articles, in order; the n-th section of one name gets `-n`."""
-    rows = rows.withColumn("is_sponsor", F.col("content_type") == "sponsor")
-    place = F.row_number().over(W.partitionBy("issue_id", "section").orderBy("item"))
-    article = F.struct("id", place.alias("order"), "title", "summary", "url", "reading_time_minutes", "source_domain", "content_type", "is_sponsor")
-    by_section = rows.select("issue_id", "section", "heading", article.alias("a")).groupBy("issue_id", "section", "heading").agg(F.array_sort(F.collect_list(F.struct(F.col("a.order").alias("k"), F.col("a").alias("a")))).alias("l"))
-    by_section = by_section.withColumn("name", X.slug(F.col("heading")))
-    n = F.row_number().over(W.partitionBy("issue_id", "name").orderBy("section"))
-    k = F.row_number().over(W.partitionBy("issue_id").orderBy("section"))
-    section = F.struct(_numbered(F.col("name"), n).alias("id"), "heading", k.alias("order"), F.transform("l", lambda x: x["a"]).alias("articles"))
-    return by_section.select("issue_id", section.alias("s")).groupBy("issue_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col("s.order").alias("k"), F.col("s").alias("s")))), lambda x: x["s"]).alias("sections"))
+ARTICLE_COLUMNS = ("item", "section", "heading", "id", "title", "summary", "url", "reading_time_minutes", "source_domain", "content_type", "code", "ref", "line")
 
 
-def warnings(rows: DataFrame) -> DataFrame:
-    """Warning rows (issue_id, code, message, line) of items."""
-    message = F.when(F.col("code") == "dangling_reference", F.concat(F.lit("Reference "), F.col("ref"), F.lit(" has no link definition"))).otherwise("Item has no reference number or address")
-    return rows.where("code is not null").select("issue_id", "code", message.alias("message"), F.col("line").cast("int").alias("line"))
+def articles(rows: DataFrame) -> DataFrame:
+    """issue_id and its items in order, from which sections, counts and warnings follow without another look at the items."""
+    return rows.groupBy("issue_id").agg(F.array_sort(F.collect_list(F.struct(*ARTICLE_COLUMNS))).alias("articles"))
+
+
+def sections(found: Column) -> Column:
+    """An issue's sections with articles, in order; the n-th section of one name gets `-n`."""
+    headings = F.array_distinct(F.transform(found, lambda a: F.struct(a["section"].alias("k"), a["heading"].alias("heading"))))
+    named = F.transform(headings, lambda s: F.struct(s["k"].alias("k"), s["heading"].alias("heading"), X.slug(s["heading"]).alias("name")))
+
+    def article(a: Column, i: Column) -> Column:
+        own = [a[c].alias(c) for c in ("title", "summary", "url", "reading_time_minutes", "source_domain", "content_type")]
+        return F.struct(a["id"].alias("id"), (i + 1).alias("order"), *own, (a["content_type"] == "sponsor").alias("is_sponsor"))
+
+    def section(s: Column, i: Column) -> Column:
+        nth = F.size(F.filter(F.slice(named, F.lit(1), i + 1), lambda t: t["name"] == s["name"]))
+        own = F.transform(F.filter(found, lambda a: a["section"] == s["k"]), article)
+        return F.struct(_numbered(s["name"], nth).alias("id"), s["heading"].alias("heading"), (i + 1).alias("order"), own.alias("articles"))
+
+    return F.transform(named, section)
+
+
+def warnings(found: Column) -> Column:
+    """What an issue's items lack: code, message, line."""
+    message = lambda a: F.when(a["code"] == "dangling_reference", F.concat(F.lit("Reference "), a["ref"], F.lit(" has no link definition"))).otherwise("Item has no reference number or address")
+    return F.transform(F.filter(found, lambda a: a["code"].isNotNull()), lambda a: F.struct(a["code"].alias("code"), message(a).alias("message"), a["line"].cast("int").alias("line")))
 
 
 def ordered_warnings(found: Column) -> Column:
@@ -145,19 +157,22 @@ def issues(sources: DataFrame) -> DataFrame:
     rows = sources.select("*", clean(F.col("content").cast("string")).alias("text")).select("*", X.issue_id(F.col("sector_slug"), F.col("date_iso")).alias("issue_id"), format_family(F.col("text")).alias("format_family"))
     links = link_table(rows.where("format_family <> 'inline_url'").select("issue_id", "text"))
     found = items(paragraphs(rows.select("issue_id", "sector", "text")), links)
-    own = rows.select("issue_id", "text", "format_family")
-    extra = own.where("format_family = 'unknown'").select("issue_id", F.lit("unknown_format").alias("code"), F.lit("Could not detect links_block or inline_url format").alias("message"), F.lit(None).cast("int").alias("line"))
-    empty = own.where(X.stripped(F.col("text")) == "").select("issue_id", F.lit("empty_body").alias("code"), F.lit("Source file is empty").alias("message"), F.lit(None).cast("int").alias("line"))
-    listed = warnings(found).unionByName(extra).unionByName(empty).groupBy("issue_id").agg(ordered_warnings(F.collect_list(F.struct("code", "message", "line"))).alias("parse_warnings"))
-    counts = found.groupBy("issue_id").agg(F.count("*").alias("n"), F.count_if(F.col("url").isNull() & (F.col("content_type") != "sponsor")).alias("unresolved"))
-    full = rows.join(listed, "issue_id", "left").join(counts, "issue_id", "left").join(sections(found), "issue_id", "left")
-    given = F.coalesce("parse_warnings", F.array().cast("array<struct<code:string,message:string,line:int>>"))
-    material = F.size(F.filter(given, lambda w: w["code"].isin(*V.MATERIAL_WARNINGS)))
-    status = decide_status(F.coalesce("n", F.lit(0)), material, F.coalesce("unresolved", F.lit(0)), header_only(F.col("text")))
+    listed = articles(found)
+    none, no_item = F.array().cast("array<struct<code:string,message:string,line:int>>"), F.array().cast(listed.schema["articles"].dataType)
+    warning = lambda when, code, message: F.when(when, F.array(F.struct(F.lit(code).alias("code"), F.lit(message).alias("message"), F.lit(None).cast("int").alias("line")))).otherwise(none)
+    rows = rows.withColumns({
+        "_of_file": F.concat(warning(F.col("format_family") == "unknown", "unknown_format", "Could not detect links_block or inline_url format"), warning(X.stripped(F.col("text")) == "", "empty_body", "Source file is empty")),
+        "_header_only": header_only(F.col("text")),
+    }).drop("text", "content")
+    full = rows.join(listed, "issue_id", "left").withColumn("articles", F.coalesce("articles", no_item))
+    full = full.withColumn("parse_warnings", ordered_warnings(F.concat(warnings(F.col("articles")), F.col("_of_file"))))
+    material = F.size(F.filter("parse_warnings", lambda w: w["code"].isin(*V.MATERIAL_WARNINGS)))
+    unresolved = F.size(F.filter("articles", lambda a: a["url"].isNull() & (a["content_type"] != "sponsor")))
+    status = decide_status(F.size("articles"), material, unresolved, F.col("_header_only"))
     return full.select(
         F.lit(V.SCHEMA_VERSION).alias("schema_version"), F.lit(V.GENERATOR_VERSION).alias("generator_version"),
         "issue_id", "sector", "sector_slug", F.col("date_iso").alias("date"), F.col("relative_path").alias("source_path"), F.col("content_hash").alias("source_content_hash"),
-        "format_family", status.alias("parse_status"), given.alias("parse_warnings"),
+        "format_family", status.alias("parse_status"), "parse_warnings",
         F.concat_ws(" ", "sector", "date_iso").alias("title"),  # T20, assumed
-        F.coalesce("sections", F.array().cast(full.schema["sections"].dataType)).alias("sections"),
+        sections(F.col("articles")).alias("sections"),
     )

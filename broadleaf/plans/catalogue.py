@@ -208,8 +208,8 @@ def q_lines_explode(spark, sf_dir):
 @query(f"""WITH {BODIES}, l AS (SELECT doc_id, body, {_LINES} AS l FROM b), c AS (SELECT *, list_position(list_transform(l, lambda x: {_FOOT}), true) AS cut_at FROM l)
 SELECT doc_id, CASE WHEN cut_at > 0 THEN rtrim(array_to_string(l[1:cut_at - 1], chr(10)), ' ' || chr(9) || chr(10)) || chr(10) ELSE body END AS kept, coalesce(cut_at > 0, false) AS cut FROM c""")
 def q_footer_cut(spark, sf_dir):
-    kept = X.without_footer(F.col("body"))
-    return bodies(spark, sf_dir).select("doc_id", kept.alias("kept"), (X.footer_at(F.col("body")) > 0).alias("cut"))
+    rows = bodies(spark, sf_dir).select("doc_id", "body", X.footer_at(F.col("body")).alias("at"))
+    return rows.select("doc_id", X.cut_at(F.col("body"), F.col("at")).alias("kept"), (F.col("at") > 0).alias("cut"))
 
 
 _FAMILY = r"CASE WHEN regexp_matches(chr(10) || body || chr(10), '\n[ \t]*Links:[ \t]*\n') THEN 'links_block' WHEN regexp_matches(body, '\)\s*\[\s*https?://') THEN 'inline_url' ELSE 'unknown' END"
@@ -797,7 +797,8 @@ def q_manifest_round_trip(spark, sf_dir):
 def q_issue_files(spark, sf_dir):
     """Issue documents written as files below issues/, then read by their manifest entries, which name them."""
     root = scratch(spark, "issues")
-    issues = derive.issues(corpus.named_sources(newsletters(spark, sf_dir)))
+    derive.issues(corpus.named_sources(newsletters(spark, sf_dir))).write.parquet(f"{root}/derived")  # parsed once, for files and manifest
+    issues = spark.read.parquet(f"{root}/derived")
     corpus.write_issue_files(issues, root)
     corpus.write_manifest(corpus.manifest_entries(issues), f"{root}/manifest.json")
     entries = corpus.read_manifest(spark, f"{root}/manifest.json").where("parse_status <> 'failed'")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from broadleaf import fixed as V
 from broadleaf.functions import text as X
@@ -158,16 +158,14 @@ def compact_json(value: Column) -> Column:
     return F.concat(F.to_json(value, {"ignoreNullFields": "false"}), F.lit("\n"))
 
 
-def _pretty(compact: pd.Series) -> pd.Series:
-    return compact.map(lambda x: None if x is None else json.dumps(json.loads(x), ensure_ascii=False, indent=2) + "\n")
-
-
-def pretty_json(compact: Column) -> Column:
-    """Two-space indent, field order kept, other than ASCII kept, and a line feed."""
-    return F.pandas_udf(_pretty, T.StringType())(compact)
+def _pretty(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        laid_out = [json.dumps(json.loads(x), ensure_ascii=False, indent=2) + "\n" for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(laid_out, pa.string())], names=["derived_path", "json"])
 
 
 def issue_json(issues: DataFrame) -> DataFrame:
-    """derived_path and the canonical JSON of each issue."""
+    """derived_path and the canonical JSON of each issue. S19: two-space indent, field order kept, other than ASCII kept, and a line feed."""
     cols = [c.strip().split()[0] for c in ISSUE.split(", ") if c.split()[0] in issues.columns]
-    return issues.select(X.issue_path(F.col("sector_slug"), F.col("date")).alias("derived_path"), pretty_json(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})).alias("json"))
+    compact = issues.select(X.issue_path(F.col("sector_slug"), F.col("date")).alias("derived_path"), F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("json"))
+    return compact.mapInArrow(_pretty, "derived_path string, json string")
