@@ -65,6 +65,11 @@ def canonical_json(value: Column) -> Column:
     return F.concat(F.when(compact.contains("\\u00"), lowered).otherwise(compact), F.lit("\n"))  # hardly any text has such a code
 
 
+def sorted_json(text: Column) -> Column:
+    """S20 for JSON text of any shape: compact, with the keys of every object in order, as the variant form keeps them; null if it is no JSON."""
+    return F.to_json(F.try_parse_json(text))
+
+
 def hash_parts(*parts: Column) -> Column:
     """hash of parts, each after its length as eight big-endian bytes; bytes as they are, other values by way of canonical_json."""
     sized = lambda x: F.concat(F.unhex(F.lpad(F.hex(F.octet_length(x).cast("long")), 16, "0")), x)

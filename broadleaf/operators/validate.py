@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -97,3 +97,16 @@ def unique_registry(rows: DataFrame, key: str) -> None:
     """An error if a registry names something twice."""
     if not duplicates(rows, [key]).isEmpty():
         raise ValueError(f"duplicate {key}")
+
+
+def written_with_report(issues: DataFrame, path: str) -> DataFrame:
+    """A1, A2 in one job: issues written as a table, and one row of their counts, which Spark takes as they pass (sources, each status, articles)."""
+    seen = Observation("issues")
+    n_articles = F.aggregate("sections", F.lit(0), lambda n, s: n + F.size(s["articles"]))
+    of = lambda status: F.count_if(F.col("parse_status") == status).alias(status)
+    issues.observe(seen, F.count("*").alias("sources"), of("complete"), of("partial"), of("failed"), F.coalesce(F.sum(n_articles), F.lit(0)).alias("articles")).write.parquet(path)
+    counts = seen.get
+    return issues.sparkSession.createDataFrame([tuple(counts[c] for c in REPORT_COLUMNS)], ", ".join(f"{c} long" for c in REPORT_COLUMNS))
+
+
+REPORT_COLUMNS = ("sources", "complete", "partial", "failed", "articles")
