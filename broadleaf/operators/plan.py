@@ -19,19 +19,14 @@ def bad_text(value: Column, most: int = 500, empty: Column | bool = False) -> Co
     return value.isNull() | blank | (F.char_length(value) > most) | value.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]") | value.rlike(r"(?i)https?://|<[^>]+>|\[[^\]]+\]\([^)]+\)")
 
 
-def _is(value: Column, kind: str) -> Column:
-    """Whether a variant is an OBJECT, an ARRAY or a STRING; null isn't."""
-    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
-
-
 def _text(value: Column) -> Column:
     """The string of a variant; null if it is of another type."""
-    return F.when(_is(value, "STRING"), F.try_variant_get(value, "$", "string"))
+    return F.when(F.to_json(value).startswith('"'), F.try_variant_get(value, "$", "string"))
 
 
 def _list(value: Column) -> Column:
     """The elements of a variant, as variants; null if it is no array."""
-    return F.when(_is(value, "ARRAY"), F.try_variant_get(value, "$", "array<variant>"))
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
 def _texts(value: Column) -> Column:
@@ -45,16 +40,23 @@ def _has_keys(value: Column, *keys: tuple[str, ...]) -> Column:
     out = F.lit(False)
     for names in keys:
         out = out | (found == F.array(*map(F.lit, sorted(names))))
-    return _is(value, "OBJECT") & F.coalesce(out, F.lit(False))
+    return F.coalesce(out, F.lit(False))
 
 
 def _repeats(values: Column) -> Column:
     return F.size(F.array_distinct(values)) != F.size(values)
 
 
+def strict(content: Column) -> Column:
+    """JSON text with NaN and the infinities, where they are values, as 0: as much a number, and what a strict parser takes."""
+    text = r'"(?:[^"\\]|\\.)*+"'
+    number = F.regexp_replace(content, rf"(?s)\G((?:[^\"NI-]|{text}|-(?!Infinity|NaN))*+)(?:NaN|-?Infinity)", "$10")
+    return F.when(content.contains("NaN") | content.contains("Infinity"), number).otherwise(content)
+
+
 def parse_error(content: Column) -> Column:
-    """V4: null for a JSON object."""
-    listed = F.try_parse_json(F.concat(F.lit("["), content, F.lit("]")))  # the parser overlooks what follows a value
+    """V4: null for a JSON object. NaN and infinities are numbers, and of repeated keys the last counts (see validate)."""
+    listed = F.try_parse_json(F.concat(F.lit("["), strict(content), F.lit("]")))  # the parser overlooks what follows a value
     bad = listed.isNull() | F.try_variant_get(listed, "$[1]", "variant").isNotNull() | F.try_variant_get(listed, "$[0]", "variant").isNull()
     return F.when(content.isNull(), "plan_content_missing").when(bad, "plan_malformed_json").when(~F.ltrim(content, F.lit(" \t\r\n")).startswith("{"), "plan_not_object")
 
@@ -62,8 +64,9 @@ def parse_error(content: Column) -> Column:
 def validate(plans: DataFrame, candidates: DataFrame, by: str = "date", content_col: str = "content") -> DataFrame:
     """Plans with `error`, the first broken rule of the first broken part, or null, and `plan`, the plan with its texts stripped, or null.
 
-    candidates: by, candidate_id, sector_slug, eligible.
+    candidates: by, candidate_id, sector_slug, eligible. Sets the session to take JSON with repeated keys.
     """
+    plans.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     known = candidates.groupBy(by).agg(
         F.collect_set("candidate_id").alias("_ids"),
         F.collect_set(F.when(F.col("eligible"), F.col("candidate_id"))).alias("_good"),
@@ -71,7 +74,7 @@ def validate(plans: DataFrame, candidates: DataFrame, by: str = "date", content_
         F.count_if("eligible").alias("_n"),
     )
     none = F.array().cast("array<string>")
-    rows = plans.join(known, by, "left").withColumns({"_malformed": parse_error(F.col(content_col)), "_v": F.try_parse_json(content_col)})
+    rows = plans.join(known, by, "left").withColumns({"_malformed": parse_error(F.col(content_col)), "_v": F.try_parse_json(strict(F.col(content_col)))})
     rows = rows.withColumns({c: F.coalesce(c, none) for c in ("_ids", "_good", "_sectors")})
     part = lambda v, name: F.try_variant_get(v, f"$.{name}", "variant")
     rows = rows.withColumns({"_front": _list(part(F.col("_v"), "front_page")), "_order": _list(part(F.col("_v"), "section_order")), "_brief": part(F.col("_v"), "visual_brief"), "_lead": _text(part(F.col("_v"), "lead_candidate_id"))})

@@ -144,3 +144,22 @@ def test_windowed_counts(spark, tmp_path):
     q.awaitTermination()
     got = {(r.start.hour, r.event_type, r.n, r.total) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(0, "a", 2, 3.0), (1, "b", 1, 3.0)}  # the last window stays open
+
+
+def test_json_of_plans_is_read_as_python_reads_it(spark):
+    import json
+
+    from broadleaf.operators import plan
+
+    cases = ['{"a":1,"a":2}', '{"a":NaN}', '{"a":[-Infinity,Infinity]}', '{"NaN":"Infinity -Infinity \\" NaN","b":-1}', '{"a":-NaN}', '{"a":NaN,}', 'NaN', '{"a":Nan}', '{"a":1} {"b":2}', '{}', ' {"a":{"b":1,"b":[NaN]}} ', '"NaN', '{"a":1e999}', '["x"]']
+    plans = spark.createDataFrame(list(enumerate(cases)), "k int, content string")
+    none = spark.createDataFrame([], "k int, candidate_id string, sector_slug string, eligible boolean")
+    got = {r.k: r.error for r in plan.validate(plans, none, "k").collect()}
+
+    def wanted(text):
+        try:
+            return "plan_unknown_properties" if isinstance(json.loads(text), dict) else "plan_not_object"
+        except ValueError:
+            return "plan_malformed_json"
+
+    assert got == {k: wanted(t) for k, t in enumerate(cases)}
