@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which run() writes
 as Parquet in the shared folder and reads again for the next one.  All but the last
 give the columns of documents.
+
+Defined results: rows of null text or of text without a letter have no language and go in
+the first stage, as do all rows if no row has a language to learn from; repeated rows and
+rows with one doc_id are copies or documents each, by their texts; a row with a null doc_id
+stays unless it is a copy; empty and very long texts and further columns of any name pass
+through; an empty table gives an empty table at every stage.
 """
 
 from __future__ import annotations
