@@ -20,7 +20,8 @@ which joins most of any large family.  Then members of buckets that still hold s
 classes are paired with the bucket's least and with its greatest node, unless both are
 in one class already.  Buckets that hold several classes even then have all their
 pairs across classes judged, in blocks of about BLOCK_BYTES of nodes alike in size,
-each with each whose sizes allow a link: words in common are counted for all pairs of
+each with each whose sizes allow a link and that aren't of one class (a class that fills
+blocks has its own): words in common are counted for all pairs of
 two blocks at once, and only pairs with enough of them are aligned (words by 32 bits of
 their hashes).  So every link between two members of a bucket is found or implied,
 whatever its size.  Links make classes by contraction over written tables.
@@ -339,11 +340,18 @@ def _rest(own: DataFrame, least: DataFrame, sizes: DataFrame, members: DataFrame
     unit = F.when(F.col("whole"), F.xxhash64(F.lit("family"), "family")).otherwise(F.xxhash64(F.lit("key"), "key"))
     parts = named.join(whole, "family", "left").select(unit.alias("unit"), "node", "label").distinct().join(sizes, "node")
     parts = scratch.written(parts.withColumn("step", F.floor(F.log("n") / F.log(F.lit(SIZE_STEP)))).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(1 << 20))), "sized")
-    # blocks of a unit: by size step, and by hash where a step needs several
-    filled = parts.groupBy("unit", "step").agg(F.ceil(F.sum(F.greatest(F.lit(LEAST_BYTES), 4 * F.col("n"))) / BLOCK_BYTES).alias("several"))
-    filled = broadcast_if_small(scratch.written(filled, "filled"), NODE_BYTES)
-    block = F.col("step") * (1 << 32) + F.floor(F.col("salt") * F.col("several") / (1 << 20))
-    parts = scratch.written(parts.join(filled, ["unit", "step"]).select("unit", "node", "label", "n", block.alias("blk")), "parts")
+    # Blocks of a unit: by size step. A class that fills a block has blocks of its own, which don't meet each other; the other classes share theirs.
+    size = F.sum(F.greatest(F.lit(LEAST_BYTES), 4 * F.col("n")))
+    classes_ = scratch.written(parts.groupBy("unit", "step", "label").agg(size.alias("bytes")), "classes")
+    large = classes_.where(F.col("bytes") >= BLOCK_BYTES // 2).select("unit", "step", "label", F.ceil(F.col("bytes") / BLOCK_BYTES).alias("own"))
+    large = broadcast_if_small(scratch.written(large, "large"), 2 * NODE_BYTES)
+    shared = classes_.where(F.col("bytes") < BLOCK_BYTES // 2).groupBy("unit", "step").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("several"))
+    shared = broadcast_if_small(scratch.written(shared, "shared"), NODE_BYTES)
+    place = lambda several: F.floor(F.col("salt") * several / (1 << 20))
+    alone = F.lit(1 << 40) + F.pmod(F.xxhash64("label"), F.lit(1 << 19)) * (1 << 20) + place(F.col("own"))
+    block = F.col("step") * (1 << 48) + F.when(F.col("own").isNotNull(), alone).otherwise(place(F.coalesce("several", F.lit(1))))
+    parts = parts.join(large, ["unit", "step", "label"], "left").join(shared, ["unit", "step"], "left")
+    parts = scratch.written(parts.select("unit", "node", "label", "n", block.alias("blk")), "parts")
     blocks = parts.groupBy("unit", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("from"), F.max("label").alias("to"))
     x, y = (blocks.select("unit", *(F.col(c).alias(c + k) for c in ("blk", "lo", "hi", "from", "to"))) for k in "12")
     fits = (F.col("blk1") <= F.col("blk2")) & (F.col("hi1") >= F.col("lo2") * SIMILARITY - 1) & (F.least("from1", "from2") < F.greatest("to1", "to2"))
