@@ -739,16 +739,15 @@ def q_legacy_articles(spark, sf_dir):
 
 @query("SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events")
 def q_stream_ingest(spark, sf_dir):
-    """Events streamed from files into a keyed table, each once."""
-    from broadleaf.streaming.ingest import Table, ingest, landing, once
+    """Events streamed from files into a table, each once."""
+    from broadleaf.streaming.ingest import ingest, ingested, landing, once
 
     root = scratch(spark, "stream")
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     schema = events.schema
     events.repartition(4, "user_id").write.parquet(f"{root}/landing")
-    keyed = Table(spark, f"{root}/table", schema, "event_id")
-    ingest(once(landing(spark, f"{root}/landing", schema), "event_id", "ts", "60 days"), keyed, f"{root}/checkpoint").awaitTermination()
-    return keyed.read().withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    ingest(once(landing(spark, f"{root}/landing", schema), "event_id", "ts", "60 days"), f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return ingested(spark, f"{root}/table", schema).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("SELECT n, count(*) AS sources FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) x GROUP BY n")

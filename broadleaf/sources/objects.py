@@ -1,9 +1,8 @@
-"""Files beside tables: contained paths, atomic writes, object listing and idempotent puts, raster normalisation."""
+"""Files beside tables: contained paths, atomic writes, object listing and idempotent puts."""
 
 from __future__ import annotations
 
 import hashlib
-import io
 import uuid
 from collections.abc import Iterable, Iterator
 from pathlib import Path, PurePosixPath
@@ -165,23 +164,3 @@ def read_texts(paths: DataFrame, root: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], names=["path", "text"])
 
     return paths.select(F.col("path").cast("string")).mapInArrow(run, "path string, text string")
-
-
-def normalized_raster(data: bytes, max_pixels: int) -> bytes:
-    """One still image as opaque WebP; needs Pillow, which is optional."""
-    try:
-        from PIL import Image, ImageOps
-    except ImportError as missing:
-        raise RuntimeError("pillow_not_installed") from missing
-    with Image.open(io.BytesIO(data)) as opened:
-        if getattr(opened, "n_frames", 1) != 1:
-            raise ValueError("image_animated")
-        width, height = opened.size
-        if width * height > max_pixels:
-            raise ValueError("image_pixel_limit")
-        rgba = ImageOps.exif_transpose(opened).convert("RGBA")
-        opaque = Image.new("RGB", rgba.size, (255, 255, 255))
-        opaque.paste(rgba, mask=rgba.getchannel("A"))
-        out = io.BytesIO()
-        opaque.save(out, format="WEBP", quality=V.WEBP_QUALITY, method=V.WEBP_METHOD)
-        return out.getvalue()

@@ -1,16 +1,12 @@
-"""Structured Streaming over a landing folder: each message once, upserted into a keyed table."""
+"""Structured Streaming over a landing folder: each message once."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from broadleaf.operators.incremental import upsert
-
 
 def landing(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000) -> DataFrame:
     """New Parquet files of a folder as a stream."""
@@ -22,46 +18,18 @@ def once(events: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-class Table:
-    """A keyed table as versions below a folder; the marker file of a version names it, so a batch that is run again changes nothing."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str):
-        self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-
-    def _fs(self):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def versions(self) -> dict[int, str]:
-        p, fs = self._fs()
-        if not fs.exists(p):
-            return {}
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return {int(n.split("-")[1]): n for n in names if n.startswith("v-") and fs.exists(self._child(n, "_SUCCESS"))}
-
-    def _child(self, *names: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
+def ingest(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """All that has landed, once, as one folder a micro-batch: a batch that is run again replaces its own folder and no other is touched."""
 
-    def read(self) -> DataFrame:
-        found = self.versions()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{found[max(found)]}") if found else self.spark.createDataFrame([], self.schema)
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{batch_id}")
 
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        """U1 for a micro-batch: exactly once by batch number; the version before stays until the next one is there."""
-        found = self.versions()
-        if batch_id in found:
-            return
-        last = batch.withColumn("_n", F.monotonically_increasing_id()).groupBy(self.key).agg(*(F.max_by(c, "_n").alias(c) for c in batch.columns if c != self.key)).select(*batch.columns)
-        name = f"v-{batch_id:010d}-{uuid.uuid4().hex}"
-        upsert(self.read(), last, self.key).write.parquet(f"{self.path}/{name}")
-        _, fs = self._fs()
-        for old in sorted(found)[:-1]:
-            fs.delete(self._child(found[old]), True)
+    return events.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def ingest(events: DataFrame, table: Table, checkpoint: str) -> StreamingQuery:
-    """All that has landed, once, into the table."""
-    return events.writeStream.foreachBatch(table.merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ingest has kept."""
+    return spark.read.schema(schema).parquet(f"{path}/*")
 
 
 def windowed_counts(events: DataFrame, time: str = "ts", by: str = "event_type", window: str = "1 hour", delay: str = "2 hours") -> DataFrame:

@@ -35,8 +35,3 @@ def test_settings(spark):
     assert objects.bounded("cap", "", 60, 1, 200) == 60
     with pytest.raises(ValueError):
         objects.bounded("cap", "0", 60, 1, 200)
-    try:
-        import PIL  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError):
-            objects.normalized_raster(b"", 1)
