@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadleaf.llm.common import delete, new_dir, written
+
 NODE = "level int, prefix string, parent string, is_file boolean, digest string, n_files long"
 LANES = 8
 
@@ -65,16 +67,20 @@ def stale(made: DataFrame, inputs: DataFrame) -> DataFrame:
     """Ids of artifacts that are stale, and how many steps away the nearest reason is (0: an input of its own).
 
     made: id, hash, of everything there is; inputs: id, input_id, input_hash, what each artifact was made from and the hash that that had then. Whatever
-    hangs on a stale artifact is stale; a missing input is one that changed. A cycle is an error.
+    hangs on a stale artifact is stale; a missing input is one that changed. A cycle is an error. Each step is a join and a written table of its own, since
+    a recursive query stops beyond a number of rows.
     """
     spark = made.sparkSession
     own = inputs.join(made.select(F.col("id").alias("input_id"), "hash"), "input_id", "left").where(~F.col("hash").eqNullSafe(F.col("input_hash"))).select("id").distinct()
-    own.createOrReplaceTempView("_own_stale")
-    inputs.select("id", "input_id").distinct().createOrReplaceTempView("_inputs")
-    reached = spark.sql(f"""
-        WITH RECURSIVE reached(id, steps) MAX RECURSION LEVEL {MOST_STEPS + 5} AS (
-            SELECT id, 0 FROM _own_stale
-            UNION ALL
-            SELECT i.id, r.steps + 1 FROM reached r JOIN _inputs i ON i.input_id = r.id WHERE r.steps < {MOST_STEPS})
-        SELECT id, min(steps) AS steps, max(steps) AS most FROM reached GROUP BY id""")
-    return reached.select("id", F.when(F.col("most") < MOST_STEPS, F.col("steps")).otherwise(F.raise_error(F.lit("artifacts that are made from each other")).cast("int")).alias("steps"))
+    stage = new_dir(spark, "stale-edges")
+    edges = written(inputs.select("id", "input_id"), "stale-edges", stage)
+    at, reached = written(own, "stale"), None
+    for step in range(MOST_STEPS):
+        found = at.select("id", F.lit(step).alias("steps"))
+        reached = found if reached is None else reached.unionByName(found)
+        at = written(edges.join(at.select(F.col("id").alias("input_id")), "input_id", "left_semi").select("id").distinct(), "stale")
+        if at.isEmpty():
+            delete(spark, stage)
+            return reached.groupBy("id").agg(F.min("steps").alias("steps"))
+    delete(spark, stage)
+    raise ValueError("artifacts that are made from each other")

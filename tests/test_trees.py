@@ -35,6 +35,23 @@ def test_stale_follows_what_was_made(spark):
         inventory.stale(made, spark.createDataFrame([*inputs, ("d", "e", "E")], "id string, input_id string, input_hash string")).collect()
 
 
+def test_stale_of_more_rows_than_a_recursive_query_may_have(spark):
+    name = lambda kind: F.concat(F.lit(kind), F.col("id").cast("string"))
+    n, limit = 500, "spark.sql.cteRecursionRowLimit"
+    made = spark.range(n).select(name("a").alias("id"), F.lit("new").alias("hash"))
+    inputs = spark.range(n).select(name("b").alias("id"), name("a").alias("input_id"), F.lit("old").alias("input_hash"))
+    for above, below in ("bc", "cd"):
+        made = made.unionByName(spark.range(n).select(name(above).alias("id"), F.lit("x").alias("hash")))
+        inputs = inputs.unionByName(spark.range(n).select(name(below).alias("id"), name(above).alias("input_id"), F.lit("x").alias("input_hash")))
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, str(n))
+        found = inventory.stale(made, inputs).collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert sorted((r.id[0], r.steps) for r in found) == [("b", 0)] * n + [("c", 1)] * n + [("d", 2)] * n
+
+
 def test_sorted_json(spark):
     values = [{"b": {"z": 1, "a": [{"y": None, "x": "é\n\"\\"}, []], "B": True}, "a": {}}, [3, {"b": 1, "a": 2}], "text", 7, None, {"ä": 1, "z": 2, "": 3}]
     rows = [(k, json.dumps(v)) for k, v in enumerate(values)] + [(90, "{not json"), (91, None)]
