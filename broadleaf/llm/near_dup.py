@@ -21,8 +21,8 @@ classes are paired with the bucket's least and with its greatest node, unless bo
 in one class already.  Buckets that hold several classes even then have all their
 pairs across classes judged, in blocks of about BLOCK_BYTES of nodes alike in size,
 each with each whose sizes allow a link and that aren't of one class (a class that fills
-blocks has its own): words in common are counted for all pairs of
-two blocks at once, and only pairs with enough of them are aligned (words by 32 bits of
+blocks has its own): words in common are counted for all pairs of a
+block and PARTNERS that it meets at once, and only pairs with enough of them are aligned (words by 32 bits of
 their hashes).  So every link between two members of a bucket is found or implied,
 whatever its size.  Links make classes by contraction over written tables.
 
@@ -44,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import Hashes, Scratch, arrow_rows, broadcast_if_small, mixed, remembers, with_texts, written
 from .components import NODE_BYTES, components, joined
@@ -55,6 +56,8 @@ SHORT = 20
 ORDERS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 #: Words of a block of the exact pass; a node counts as LEAST_BYTES at least, so that a block has 512 nodes at most.
 BLOCK_BYTES, LEAST_BYTES = 2 << 20, 4096
+#: Blocks that a block is judged against at once.
+PARTNERS = 4
 #: Nodes that a task remembers to count copies once.
 MOST_SEEN = 200_000
 #: Pairs of a node under one salt.
@@ -250,9 +253,10 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
 
-def overlaps(arrays: list[np.ndarray]) -> np.ndarray:
-    """For each two arrays, how many values they have in common, repeats counted."""
+def overlaps(arrays: list[np.ndarray], first: int | None = None) -> np.ndarray:
+    """For each of the first arrays (all, if None) and each array, how many values they have in common, repeats counted."""
     n = len(arrays)
+    m = n if first is None else first
     labelled = []
     for x in arrays:
         x = np.sort(x).astype(np.uint64)
@@ -264,32 +268,37 @@ def overlaps(arrays: list[np.ndarray]) -> np.ndarray:
     _, code, count = np.unique(np.concatenate(labelled), return_inverse=True, return_counts=True)
     order = np.argsort(code, kind="stable")
     owner, start = owner[order], np.cumsum(count) - count
-    total = np.zeros(n * n, np.float32)
-    for c in range(2, 9):  # values of few arrays, pair by pair
+    total = np.zeros(m * n, np.float32)
+    for c in range(2, 9):  # values of few arrays, pair by pair; owners ascend
         at = start[count == c]
         for i in range(c):
             for j in range(i + 1, c):
-                total += np.bincount(owner[at + i] * n + owner[at + j], minlength=n * n)
-    total = total.reshape(n, n)
-    total += total.T
+                x, y = owner[at + i], owner[at + j]
+                x, y = x[x < m], y[x < m]
+                total += np.bincount(x * n + y, minlength=m * n)
+    total = total.reshape(m, n)
+    total[:, :m] += total[:, :m].T.copy()
     hot = np.flatnonzero(count > 8)
     for k in range(0, len(hot), 4096):
         part = hot[k : k + 4096]
         has = np.zeros((n, len(part)), np.float32)
         for i, h in enumerate(part):
             has[owner[start[h] : start[h] + count[h]], i] = 1
-        total += has @ has.T
+        total += has[:m] @ has.T
     return total
 
 
 def _block_links(group: pa.Table) -> pa.Table:
-    """Links among the nodes of a block, or between those of two, that join all of their classes that links join."""
+    """Links between the nodes of a block (own) and those of the blocks that it meets, and within it (inner), that join all of their classes that links join."""
+    own = group["own"].to_numpy(zero_copy_only=False)
+    group = group.take(np.argsort(~own, kind="stable"))
+    first, inner = int(own.sum()), group["chunk"][0].as_py() == 0
     nodes, arrays = group["node"].to_pylist(), [np.frombuffer(x, np.uint32) for x in group["blob"].to_pylist()]
-    side, label, size = group["blk"].to_numpy(), group["label"].to_numpy().copy(), np.array([len(x) for x in arrays])
-    need = np.ceil((size[:, None] + size[None, :]) * SIMILARITY / (1 + SIMILARITY) - 1e-9)
-    wanted = (overlaps(arrays) >= need) & (label[:, None] != label[None, :])
-    wanted &= (side[:, None] != side[None, :]) if side.min() != side.max() else True
-    a, b = np.nonzero(np.triu(wanted, 1))
+    label, size = group["label"].to_numpy().copy(), np.array([len(x) for x in arrays])
+    need = np.ceil((size[:first, None] + size[None, :]) * SIMILARITY / (1 + SIMILARITY) - 1e-9)
+    wanted = (overlaps(arrays, first) >= need) & (label[:first, None] != label[None, :])
+    wanted[:, :first] = np.triu(wanted[:, :first], 1) if inner else False
+    a, b = np.nonzero(wanted)
     links = []
     for i, j in zip(a.tolist(), b.tolist(), strict=True):
         if label[i] != label[j] and similarity(arrays[i], arrays[j]) > 0:
@@ -298,6 +307,18 @@ def _block_links(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
 
+def _meetings(blocks: DataFrame) -> DataFrame:
+    """unit, blk1, chunk, blk: block blk1 with those after it that it meets, PARTNERS at a time, so that blk1 is sent once for all of a chunk; chunk 0 has it with itself.
+
+    blocks: unit, blk, lo, hi (sizes of nodes), from, to (least and greatest label).
+    """
+    x, y = (blocks.select("unit", *(F.col(c).alias(c + k) for c in ("blk", "lo", "hi", "from", "to"))) for k in "12")
+    fits = (F.col("blk1") <= F.col("blk2")) & (F.col("hi1") >= F.col("lo2") * SIMILARITY - 1) & (F.least("from1", "from2") < F.greatest("to1", "to2"))
+    chunk = F.floor((F.row_number().over(W.partitionBy("unit", "blk1").orderBy("blk2")) - 1) / PARTNERS).cast("int")
+    meet = x.join(y, "unit").where(fits).select("unit", "blk1", "blk2", chunk.alias("chunk"))
+    return meet.select("unit", "blk1", "chunk", F.explode(F.array("blk1", "blk2")).alias("blk")).distinct()
+
+
 def _blobs_of(own: DataFrame, least: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
     """node and blob (its words as 32-bit hashes) of n nodes. Texts are read again for them only."""
     needed = scratch.written(nodes.join(least, "node").select("node", "raw"), "needed")
@@ -331,9 +352,10 @@ def _rest(own: DataFrame, least: DataFrame, sizes: DataFrame, members: DataFrame
     n = members.count()
     if not n:
         return None
-    stars = members.join(members.groupBy("key").agg(F.min("node").alias("a")), "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    families = components(stars, n, scratch).select("node", F.col("label").alias("family"))
-    named = scratch.written(members.join(families, "node"), "named")
+    centres = scratch.written(members.groupBy("key").agg(F.min("node").alias("a")), "centres")
+    stars = members.join(centres, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    families = components(stars, n, scratch).select(F.col("node").alias("a"), F.col("label").alias("family"))
+    named = scratch.written(members.join(centres.join(families, "a").select("key", "family"), "key"), "named")  # a bucket is of one family
     apart = named.groupBy("family", "key").agg(F.count("*").cast("double").alias("c")).groupBy("family").agg(F.sum(F.col("c") * F.col("c")).alias("apart"))
     whole = named.groupBy("family").agg(F.countDistinct("node").cast("double").alias("c")).join(apart, "family").where("c * c <= apart").select("family", F.lit(True).alias("whole"))
     whole = broadcast_if_small(scratch.written(whole, "whole"), NODE_BYTES)
@@ -353,13 +375,10 @@ def _rest(own: DataFrame, least: DataFrame, sizes: DataFrame, members: DataFrame
     parts = parts.join(large, ["unit", "step", "label"], "left").join(shared, ["unit", "step"], "left")
     parts = scratch.written(parts.select("unit", "node", "label", "n", block.alias("blk")), "parts")
     blocks = parts.groupBy("unit", "blk").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("from"), F.max("label").alias("to"))
-    x, y = (blocks.select("unit", *(F.col(c).alias(c + k) for c in ("blk", "lo", "hi", "from", "to"))) for k in "12")
-    fits = (F.col("blk1") <= F.col("blk2")) & (F.col("hi1") >= F.col("lo2") * SIMILARITY - 1) & (F.least("from1", "from2") < F.greatest("to1", "to2"))
-    meet = scratch.written(x.join(y, "unit").where(fits).select("unit", "blk1", "blk2"), "meet")
-    places = meet.select("unit", "blk1", "blk2", F.explode(F.array_distinct(F.array("blk1", "blk2"))).alias("blk"))
+    places = scratch.written(_meetings(blocks), "meet")
     blobs = _blobs_of(own, least, parts.select("node").distinct(), n, scratch)
-    rows = parts.select("unit", "blk", "node", "label").join(places, ["unit", "blk"]).join(blobs, "node").select("unit", "blk1", "blk2", "blk", "node", "label", "blob")
-    return scratch.written(rows.groupBy("unit", "blk1", "blk2").applyInArrow(_block_links, "a long, b long"), "rest")
+    rows = parts.select("unit", "blk", "node", "label").join(places, ["unit", "blk"]).join(blobs, "node").select("unit", "blk1", "chunk", (F.col("blk") == F.col("blk1")).alias("own"), "node", "label", "blob")
+    return scratch.written(rows.groupBy("unit", "blk1", "chunk").applyInArrow(_block_links, "a long, b long"), "rest")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -902,3 +902,25 @@ def test_pipeline(spark, sf_dir):
 def test_filters_keep_column_names(spark):
     df = spark.createDataFrame([(1, "a")], "`x.y` int, t string")
     assert keep_texts(df, "t", lambda texts: [True] * len(texts)).columns == ["x.y", "t"]
+
+
+def test_blocks_meet_once_and_are_sent_for_several(spark):
+    """Each two blocks alike in size meet once; a block is sent fewer than 0.7 times as often as it meets."""
+    n = 24
+    blocks = spark.createDataFrame([(1, k, 10, 10, k, k + 1) for k in range(n)] + [(2, 0, 5, 5, 1, 1)], "unit long, blk long, lo long, hi long, `from` long, `to` long")
+    places = near_dup._meetings(blocks).collect()
+    assert {p.unit for p in places} == {1}
+    met = [(p.blk1, p.blk) for p in places if p.blk != p.blk1]
+    assert sorted(met) == [(i, j) for i in range(n) for j in range(i + 1, n)]
+    assert {(p.blk1, p.blk) for p in places if p.chunk == 0} >= {(k, k) for k in range(n)}
+    assert len(places) < 0.7 * n * n
+
+
+def test_words_in_common_of_the_first_arrays():
+    rng = np.random.default_rng(4)
+    arrays = [rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint32) for _ in range(40)]
+    whole = near_dup.overlaps(arrays)
+    count = lambda a, b: sum(min((a == v).sum(), (b == v).sum()) for v in np.unique(a))
+    assert all(whole[i, j] == count(arrays[i], arrays[j]) for i in range(40) for j in range(40) if i != j)
+    part = near_dup.overlaps(arrays, 7)
+    assert part.shape == (7, 40) and all(part[i, j] == whole[i, j] for i in range(7) for j in range(40) if i != j)
