@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from broadleaf.functions import text as X
+from broadleaf.llm.common import arrow_rows
 
 MANIFEST = pa.schema([("key", pa.string()), ("staged", pa.string()), ("size", pa.int64()), ("sha256", pa.string())])
+#: Rows of a manifest that a task holds before it writes them.
+MANIFEST_ROWS = 10_000
 RESULT = "key string, written boolean, size long, media_type string, sha256 string"
 
 
@@ -62,30 +65,35 @@ class Writer(DataSourceArrowWriter):
         store, base = store_of(self.root)
         task = f"{base}/_staged/{self.job}/{uuid.uuid4().hex}"
         rows: dict[str, list] = {c: [] for c in MANIFEST.names}
+        n = 0
         store.create_dir(task, recursive=True)
         try:
-            for batch in iterator:
-                for key, content in zip(batch.column(0), batch.column(1), strict=True):
-                    key, content = key.as_py(), content.as_py()
-                    if key is None or content is None:
-                        raise ValueError("an object needs a key and content")
-                    wanted, staged = (len(content), hashlib.sha256(content).hexdigest()), None
-                    there = found_at(store, f"{base}/{key}")
-                    if there is None:
-                        staged = f"{task}/{len(rows['key'])}"
-                        with store.open_output_stream(staged, compression=None) as f:
-                            f.write(content)
-                        there = found_at(store, staged)
-                    if there != wanted:
-                        raise ValueError(f"{key} reads back with other bytes")
-                    for c, v in zip(rows, (key, staged, *wanted), strict=True):
-                        rows[c].append(v)
-            with store.open_output_stream(f"{task}/manifest.parquet") as f:
-                pq.write_table(pa.table(rows, schema=MANIFEST), f)
+            with store.open_output_stream(f"{task}/manifest.parquet") as m, pq.ParquetWriter(m, MANIFEST) as manifest:
+                for batch in iterator:
+                    for key, content in zip(batch.column(0), batch.column(1), strict=True):
+                        key, content = key.as_py(), content.as_py()
+                        if key is None or content is None:
+                            raise ValueError("an object needs a key and content")
+                        wanted, staged = (len(content), hashlib.sha256(content).hexdigest()), None
+                        there = found_at(store, f"{base}/{key}")
+                        if there is None:
+                            staged = f"{task}/{n}"
+                            with store.open_output_stream(staged, compression=None) as f:
+                                f.write(content)
+                            there = found_at(store, staged)
+                        if there != wanted:
+                            raise ValueError(f"{key} reads back with other bytes")
+                        for c, v in zip(rows, (key, staged, *wanted), strict=True):
+                            rows[c].append(v)
+                        n += 1
+                        if len(rows["key"]) == MANIFEST_ROWS:
+                            manifest.write_table(pa.table(rows, schema=MANIFEST))
+                            rows = {c: [] for c in MANIFEST.names}
+                manifest.write_table(pa.table(rows, schema=MANIFEST))
         except BaseException:
             store.delete_dir(task)
             raise
-        return Staged(f"{task}/manifest.parquet", len(rows["key"]))
+        return Staged(f"{task}/manifest.parquet", n)
 
     def commit(self, messages: list[Staged | None]) -> None:
         store, base = store_of(self.root)
@@ -116,6 +124,7 @@ class Objects(DataSource):
 def staged(objects: DataFrame, root: str) -> None:
     """The first phase: all rows key, content staged and named by one commit, or nothing. An invalid key is an error."""
     objects.sparkSession.dataSource.register(Objects)
+    arrow_rows(objects.sparkSession, 500)  # contents are long, and a worker holds several copies of a batch
     broken = X.object_key_error(F.col("key"), F.lit(None).cast("string"))
     key = F.when(F.col("key").isNull() | broken.isNotNull(), F.raise_error(F.concat(F.lit("invalid_object_key "), F.coalesce("key", F.lit("null")))).cast("string")).otherwise(F.col("key"))
     objects.select(key.alias("key"), "content").write.format("object_sink").mode("append").save(root)

@@ -88,6 +88,18 @@ def test_a_committed_job_is_published_later(spark, tmp_path):
     assert sink.published(spark, root).where("written").count() == 0
 
 
+def test_a_task_writes_its_manifest_in_parts(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(sink, "MANIFEST_ROWS", 4, raising=False)
+    rows = [(f"k{k}", b"object %d" % k) for k in range(10)]
+    batches = (pa.RecordBatch.from_pydict({"key": [k], "content": [c]}, schema=pa.schema([("key", pa.string()), ("content", pa.binary())])) for k, c in rows)
+    done = sink.Writer({"path": f"file://{tmp_path}"}).write(batches)
+    found = pq.ParquetFile(done.manifest)
+    assert found.num_row_groups == 3 and found.read()["key"].to_pylist() == [k for k, _ in rows] and done.objects == 10
+
+
 def test_notices_in_any_order_end_once():
     hour = handoff.HOUR_MS
     notices = [("noted", "s", "n", 0), ("source", "s", None, 2 * hour), ("normalized", None, "n", hour), ("gone", None, None, 9 * hour)]
