@@ -48,8 +48,10 @@ BATCHES = 8
 #: Copies of a bucket, over all batches; there are LEAST_BUCKETS at least.
 BUCKET_COPIES, LEAST_BUCKETS = 500_000, 24
 #: Rows that a scan task sorts at once, and windows of one packed row of the result.
-PACK_ROWS, OUT_ROWS = 131_072, 50_000
-SPOOL_BYTES = 32 << 20
+PACK_ROWS, OUT_ROWS = 32_768, 25_000
+SPOOL_BYTES = 8 << 20
+#: Copies of a batch that a writing task holds; it writes to all batches at once.
+BLOCK_BYTES = 8 << 20
 
 HOUR_MS = 3_600_000
 NEVER = 1 << 40
@@ -339,13 +341,16 @@ def stream(spark: SparkSession, fed: str, batch: int, horizon: int | None = None
 
 
 #: Settings of the streaming query, put back when its starts are over. Stores are closed after each batch: every start opens its own, each with
-#: some 4 MB of an executor's disk.
+#: some 4 MB of an executor's disk; the open ones share one cache. Batches are written side by side, without a sort of the copies before.
 SETTINGS = {
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.maxConcurrentOutputFileWriters": str(BATCHES),
 }
 
 
@@ -359,10 +364,6 @@ def deduplicate(clicks: DataFrame, announce: bool = True) -> DataFrame:
     buckets = max(LEAST_BUCKETS, -(-n // BUCKET_COPIES))
     batch = F.floor((F.col("l") - F.lit(low)) * BATCHES / F.lit(high - low + 1)).cast("int")
     rows = copies(clicks).select(bucket_of(F.col("click_id"), buckets).alias("bucket"), "click_id", "hour", "crc", "hash", batch.alias("b"))
-    rows.write.option("compression", "zstd").partitionBy("b").parquet(f"{root}/cut")
-    most = {r.b: r.m for r in spark.read.parquet(f"{root}/cut").groupBy("b").agg(F.max("hour").alias("m")).collect()}
-    # past every deadline: its event moves the watermark on after the last batch, so that all timers fire
-    bell = spark.createDataFrame([(0, None, max(most.values()) + 10 * (LATE_HOURS + REPEAT_HOURS), None, None)], FED)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path(f"{root}/fed"))
@@ -371,6 +372,10 @@ def deduplicate(clicks: DataFrame, announce: bool = True) -> DataFrame:
     try:
         for k, v in SETTINGS.items():
             spark.conf.set(k, v)
+        rows.write.option("compression", "zstd").option("parquet.block.size", BLOCK_BYTES).partitionBy("b").parquet(f"{root}/cut")
+        most = {r.b: r.m for r in spark.read.parquet(f"{root}/cut").groupBy("b").agg(F.max("hour").alias("m")).collect()}
+        # past every deadline: its event moves the watermark on after the last batch, so that all timers fire
+        bell = spark.createDataFrame([(0, None, max(most.values()) + 10 * (LATE_HOURS + REPEAT_HOURS), None, None)], FED)
         for b in range(BATCHES):
             if b in most:
                 files.rename(path(f"{root}/cut/b={b}"), path(f"{root}/fed/{b}"))

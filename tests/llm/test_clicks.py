@@ -82,3 +82,12 @@ def test_no_clicks(spark):
 
 def test_windows_against_sql(spark, sf_dir):
     same(queries.op11_click_windows(spark, sf_dir), queries.SQL["op11_click_windows"], sf_dir)
+
+
+def test_scan_tasks_pack_few_rows_at_once():
+    import pyarrow as pa
+
+    n = 10_000
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([480_000] * n, pa.int64()), pa.array([1] * n, pa.int64()), pa.array([b"h" * 32] * n, pa.binary())], names=["bucket", "click_id", "hour", "crc", "hash"])
+    sizes = [len(body.as_py()) // click_windows.COPY.itemsize for out in click_windows._pack([batch] * 14) for body in out.column("body")]
+    assert sum(sizes) > 0 and max(sizes) <= 50_000 and len(sizes) > 2
