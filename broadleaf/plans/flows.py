@@ -116,7 +116,8 @@ def notices(events: DataFrame) -> DataFrame:
 
 def handed_off(spark: SparkSession, rows: DataFrame, root: str, starts: int, delay: str = "48 hours") -> DataFrame:
     """Steps of notices fed by arrival to so many starts of one query, and then a notice far ahead, which ends what is under way."""
-    low, high = rows.agg(F.min("arrived"), F.max("arrived")).first()
+    low, high, n = rows.agg(F.min("arrived"), F.max("arrived"), F.count("*")).first()
+    buckets = max(handoff.LEAST_BUCKETS, -(-n // handoff.BUCKET_NOTICES))
     place = (F.col("arrived").cast("double") - F.lit(low).cast("double")) / (F.lit(high).cast("double") - F.lit(low).cast("double") + 1)
     rows.withColumn("b", F.floor(place * starts).cast("int")).drop("arrived").write.partitionBy("b").parquet(f"{root}/cut")
     last = spark.range(1).select(F.lit(None).cast("long").alias("mailbox"), *(F.lit(None).cast("string").alias(c) for c in ("key", "kind", "source_sha256", "normalized_sha256")), (F.lit(high) + F.expr("interval 400 days")).alias("at"))
@@ -137,7 +138,7 @@ def handed_off(spark: SparkSession, rows: DataFrame, root: str, starts: int, del
                 df.write.mode("overwrite").parquet(f"{root}/steps/{epoch}")
 
             stream = spark.readStream.schema(handoff.NOTICE).parquet(f"{root}/fed/*")
-            handoff.steps(stream, delay).writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+            handoff.steps(stream, delay, buckets).writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -11,12 +11,14 @@ digests noted: `acknowledge` is asked for), and acknowledged (gone) or asked for
 RETRY_MS (`retry`) until MOST attempts are over (`failed`).  What isn't verified KEEP_MS after its first
 notice ends as `unverified`.
 
-A mailbox is the key of a transformWithState operator: its state holds the messages under way,
-one event-time timer stands at the earliest step due.  Rows only add to the state; steps are
-taken when the watermark has passed their time, so that notices out of order within the
-watermark's delay change nothing.  A notice that comes again is either merged into the message
-under way or, once the message has ended, older than the watermark and dropped: one end a message.
-State follows the messages under way.
+Messages are hashed to buckets, the keys of a transformWithState operator, so that a large
+mailbox is no task of its own: a bucket's state holds its messages under way, read and
+written once a batch, and one event-time timer stands at the earliest step due.  Rows come
+as Arrow batches and only add to the state; steps are taken when the watermark has passed
+their time, so that notices out of order within the watermark's delay change nothing.  A
+notice that comes again is either merged into the message under way or, once the message
+has ended, older than the watermark and dropped: one end a message.  State follows the
+messages under way.
 """
 
 from __future__ import annotations
@@ -24,14 +26,20 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 HOUR_MS = 3_600_000
 RETRY_MS, KEEP_MS, MOST = 6 * HOUR_MS, 72 * HOUR_MS, 3
+#: A watermark before all times: no step is taken.
+NEVER_PASSED = -(1 << 62)
 NOTICE = "mailbox long, key string, kind string, source_sha256 string, normalized_sha256 string, at timestamp"
 STEPS = "mailbox long, key string, action string, attempt int, at timestamp"
+TAKEN = {"name": "string", "action": "string", "attempt": "int", "at_ms": "long"}
+#: Notices of a bucket, over all batches; there are LEAST_BUCKETS at least.
+BUCKET_NOTICES, LEAST_BUCKETS = 100_000, 48
 
 
 def merged(entry: dict | None, kind: str, source: str | None, normalized: str | None, at: int) -> dict:
@@ -71,7 +79,9 @@ def due(entry: dict, upto: int) -> tuple[list[tuple[str, int, int]], int | None]
         steps.append(("acknowledge" if n == 0 else "retry", n + 1, at))
 
 
-class Mailbox(StatefulProcessor):
+class Messages(StatefulProcessor):
+    """A bucket of messages."""
+
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("under_way", "messages string")
@@ -79,50 +89,56 @@ class Mailbox(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def load(self) -> dict:
+    def load(self) -> tuple[int | None, dict]:
+        """The time of the bucket's timer, and its messages."""
         held = self.state.get()
-        return json.loads(held[0]) if held else {}
-
-    def keep(self, under_way: dict) -> None:
-        """The state, and one timer at the earliest step due."""
-        self.state.update((json.dumps(under_way),)) if under_way else self.state.clear()
-        times = [due(dict(e), -1)[1] for e in under_way.values()]
-        wanted = min(times, default=None)
-        for at in [t[0] if isinstance(t, tuple) else t for t in self.handle.listTimers()]:
-            if at == wanted:
-                wanted = None
-            else:
-                self.handle.deleteTimer(at)
-        if wanted is not None:
-            self.handle.registerTimer(wanted)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        under_way, passed = self.load(), timerValues.getCurrentWatermarkInMs()
-        for r in rows:
-            if r.key is not None and r.at_ms >= passed:
-                under_way[r.key] = merged(under_way.get(r.key), r.kind, r.source_sha256, r.normalized_sha256, r.at_ms)
-        self.keep(under_way)
+        return json.loads(held[0]) if held else (None, {})
+
+    def keep(self, timer: int | None, under_way: dict) -> None:
+        """The state, and one timer just after the earliest step due: Spark takes a timer at the watermark itself as expired, a step waits until its time has passed. timer: the one that stands."""
+        wanted = min((due(e, NEVER_PASSED)[1] + 1 for e in under_way.values()), default=None)
+        if timer != wanted:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if wanted is not None:
+                self.handle.registerTimer(wanted)
+        self.state.update((json.dumps([wanted, under_way]),)) if under_way else self.state.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        (timer, under_way), passed = self.load(), timerValues.getCurrentWatermarkInMs()
+        for part in rows:
+            columns = [part[c].astype(object).tolist() for c in ("name", "kind", "source_sha256", "normalized_sha256", "at_ms")]
+            for name, kind, source, normalized, at in zip(*columns, strict=True):
+                if isinstance(name, str) and at >= passed:  # a null is None or NaN, by the version of pandas
+                    under_way[name] = merged(under_way.get(name), kind, source if isinstance(source, str) else None, normalized if isinstance(normalized, str) else None, at)
+        self.keep(timer, under_way)
         yield from ()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        under_way, passed = self.load(), timerValues.getCurrentWatermarkInMs()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        (_, under_way), passed = self.load(), timerValues.getCurrentWatermarkInMs()
+        taken = []
         for name in list(under_way):
-            steps, later = due(under_way[name], passed)
+            done, later = due(under_way[name], passed)
             if later is None:
                 del under_way[name]
-            for action, attempt, at in steps:
-                yield Row(mailbox=key[0], key=name, action=action, attempt=attempt, at_ms=at)
-        self.state.update((json.dumps(under_way),)) if under_way else self.state.clear()
-        times = [due(dict(e), -1)[1] for e in under_way.values()]
-        if times:
-            self.handle.registerTimer(min(times))
-
-
-def steps(notices: DataFrame, delay: str) -> DataFrame:
-    """STEPS of a stream of NOTICE rows; times are kept in milliseconds."""
-    rows = notices.withColumn("at_ms", F.unix_millis("at")).withWatermark("at", delay)
-    taken = rows.groupBy("mailbox").transformWithState(Mailbox(), "mailbox long, key string, action string, attempt int, at_ms long", "Append", "EventTime")
-    return taken.select("mailbox", "key", "action", "attempt", F.timestamp_millis("at_ms").alias("at"))
+            taken += [(name, *step) for step in done]
+        self.keep(None, under_way)  # the timer that has expired is deleted by Spark
+        if taken:
+            yield pd.DataFrame(taken, columns=list(TAKEN))
+
+
+def bucket_of(mailbox: Column, key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(mailbox, key), F.lit(buckets)).cast("int")
+
+
+def steps(notices: DataFrame, delay: str, buckets: int = LEAST_BUCKETS) -> DataFrame:
+    """STEPS of a stream of NOTICE rows; times are kept in milliseconds. A query has the same buckets at each of its starts."""
+    name = F.concat(F.coalesce(F.col("mailbox").cast("string"), F.lit("")), F.lit("|"), "key")
+    rows = notices.select(bucket_of(F.col("mailbox"), F.col("key"), buckets).alias("bucket"), name.alias("name"), "kind", "source_sha256", "normalized_sha256", "at", F.unix_millis("at").alias("at_ms"))
+    taken = rows.withWatermark("at", delay).groupBy("bucket").transformWithStateInPandas(Messages(), ", ".join(f"{k} {v}" for k, v in TAKEN.items()), "Append", "EventTime")
+    bar = F.instr("name", "|")
+    mailbox = F.expr("try_cast(substr(name, 1, instr(name, '|') - 1) AS long)")
+    return taken.select(mailbox.alias("mailbox"), F.col("name").substr(bar + 1, F.length("name")).alias("key"), "action", "attempt", F.timestamp_millis("at_ms").alias("at"))
 
 
 #: Settings of a query with this operator.

@@ -120,6 +120,18 @@ def test_notices_in_any_order_end_once():
     assert [s[0] for s in handoff.due(never[-1], 1 << 60)[0]] == ["acknowledge", "retry", "retry", "failed"]
 
 
+def test_a_large_mailbox_is_many_buckets(spark, tmp_path):
+    from broadleaf.plans import flows
+
+    ids = spark.range(300).select(F.col("id").alias("event_id"), F.lit(7).cast("long").alias("user_id"), (F.timestamp_seconds(F.lit(1_700_000_000)) + F.make_dt_interval(F.lit(0), (F.col("id") % 90).cast("int"))).alias("ts"))
+    rows = flows.notices(ids).withColumn("mailbox", F.when(F.col("key") != "1", F.col("mailbox"))).withColumn("key", F.when(F.col("key") == "2", "2|x").otherwise(F.col("key")))
+    spread = rows.select(handoff.bucket_of(F.col("mailbox"), F.col("key"), handoff.LEAST_BUCKETS)).distinct().count()
+    assert spread > handoff.LEAST_BUCKETS // 2
+    got = flows.handed_off(spark, rows, f"file://{tmp_path}", 2).collect()
+    ends = [(r.mailbox, r.key) for r in got if r.action in ("acknowledged", "failed", "unverified")]
+    assert len(ends) == len(set(ends)) == 300 and (None, "1") in ends and (7, "2|x") in ends
+
+
 def test_footer_in_linear_time(spark):
     blank = ["a" + "\n" * 100_000 + "b", "a" + " " * 100_000 + "b", "a" + " \n" * 50_000 + "Thanks for reading", "\u2028" * 100_000 + "x\u2028JOB BOARD \u2028y", "a\r\n\r\n  thanks for reading,\r\nb", "a\x85Share TLDR\x85", "unsubscribe\nsee [1] to unsubscribe\nc"]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(blank)], "k int, t string").repartition(1)
