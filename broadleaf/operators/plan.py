@@ -74,7 +74,9 @@ def validate(plans: DataFrame, candidates: DataFrame, by: str = "date", content_
         F.count_if("eligible").alias("_n"),
     )
     none = F.array().cast("array<string>")
-    rows = plans.join(known, by, "left").withColumns({"_malformed": parse_error(F.col(content_col)), "_v": F.try_parse_json(strict(F.col(content_col)))})
+    # rows are small beside the work on each: dealt out evenly, whatever files they came from and however few bytes adaptive execution finds in the join
+    dealt = plans.join(known, by, "left").repartition(int(plans.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = dealt.withColumns({"_malformed": parse_error(F.col(content_col)), "_v": F.try_parse_json(strict(F.col(content_col)))})
     rows = rows.withColumns({c: F.coalesce(c, none) for c in ("_ids", "_good", "_sectors")})
     part = lambda v, name: F.try_variant_get(v, f"$.{name}", "variant")
     rows = rows.withColumns({"_front": _list(part(F.col("_v"), "front_page")), "_order": _list(part(F.col("_v"), "section_order")), "_brief": part(F.col("_v"), "visual_brief"), "_lead": _text(part(F.col("_v"), "lead_candidate_id"))})
