@@ -18,9 +18,14 @@ in chunks.  A bucket goes over its chunks twice: first for the least hash of eac
 Chunks beyond SPOOL_BYTES wait in a temporary file of the task, so that memory follows
 the ids and hours of a bucket and not its rows.  `horizon`, where the feed knows its
 batch's largest hour, lets windows that the batch itself expires close at once instead
-of going through the state; the bucket's expired slots are drained in the same call,
-and the timer is left for buckets without rows.  Without a horizon all goes by timers;
-the results are the same.
+of going through the state; the bucket's expired slots are drained in the same call.
+The feed then sends every bucket a bell, an event without a copy, so that those without
+copies drain theirs too and a start is one micro-batch.  Without a horizon all goes by
+timers, in a second micro-batch; the results are the same.
+
+A micro-batch opens every state store anew, and Spark never frees the statistics of a
+store that it closes, native memory that no setting bounds.  So there are no more
+micro-batches than starts.
 
 Defined results: rows with a null click_id or arrived_at, or with click_id % 3 < 0, have no
 copies; other nulls are empty in the hash; times without a zone are UTC, hours are from
@@ -354,8 +359,13 @@ SETTINGS = {
 }
 
 
+def bells(spark: SparkSession, buckets: int, hour: int) -> DataFrame:
+    """A row (FED) without a copy for each bucket, with an event at this hour."""
+    return spark.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("bucket"), *(F.lit(v).cast(k).alias(name) for name, k, v in (("click_id", "long", None), ("hour", "long", hour), ("crc", "long", None), ("hash", "binary", None))))
+
+
 def deduplicate(clicks: DataFrame, announce: bool = True) -> DataFrame:
-    """The windows of all copies of clicks, fed in BATCHES batches of lateness. announce: give each start its batch's horizon."""
+    """The windows of all copies of clicks, fed in BATCHES batches of lateness. announce: give each start its batch's horizon, and all buckets a bell."""
     spark = clicks.sparkSession
     root = new_dir(spark, "clicks")
     n, low, high = copies(clicks, light=True).agg(F.count("*"), F.min("l"), F.max("l")).first()
@@ -367,21 +377,22 @@ def deduplicate(clicks: DataFrame, announce: bool = True) -> DataFrame:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(path(f"{root}/fed"))
-    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    settings = SETTINGS | {"spark.sql.streaming.noDataMicroBatches.enabled": str(not announce).lower()}
+    before = {k: spark.conf.get(k, None) for k in settings}
     seen = -NEVER
     try:
-        for k, v in SETTINGS.items():
+        for k, v in settings.items():
             spark.conf.set(k, v)
         rows.write.option("compression", "zstd").option("parquet.block.size", BLOCK_BYTES).partitionBy("b").parquet(f"{root}/cut")
         most = {r.b: r.m for r in spark.read.parquet(f"{root}/cut").groupBy("b").agg(F.max("hour").alias("m")).collect()}
-        # past every deadline: its event moves the watermark on after the last batch, so that all timers fire
-        bell = spark.createDataFrame([(0, None, max(most.values()) + 10 * (LATE_HOURS + REPEAT_HOURS), None, None)], FED)
         for b in range(BATCHES):
             if b in most:
                 files.rename(path(f"{root}/cut/b={b}"), path(f"{root}/fed/{b}"))
             seen = max(seen, most.get(b, seen))
-            if b == BATCHES - 1:
-                bell.coalesce(1).write.parquet(f"{root}/fed/bell")
+            if announce:
+                bells(spark, buckets, seen).write.parquet(f"{root}/fed/bells-{b}")
+            elif b == BATCHES - 1:  # past every deadline: its event moves the watermark on after the last batch, so that all timers fire
+                bells(spark, 1, seen + 10 * (LATE_HOURS + REPEAT_HOURS)).write.parquet(f"{root}/fed/bell")
             horizon = (NEVER if b == BATCHES - 1 else seen - LATE_HOURS) if announce else None
             closed = stream(spark, f"{root}/fed/*", b, horizon)
 

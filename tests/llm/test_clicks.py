@@ -75,6 +75,15 @@ def test_windows_of_odd_rows(spark, sf_dir):
         assert sorted(tuple(r) for r in got.collect()) == wanted
 
 
+def test_a_start_is_one_micro_batch(spark, sf_dir):
+    df = odd(spark, sf_dir)
+    got = click_windows.deduplicate(df)
+    assert {f.split("/")[-2] for f in got.inputFiles()} == {f"{b}-{b}" for b in range(click_windows.BATCHES)}
+    # few ids in a long time: most buckets have no copies in most batches, and their windows close all the same
+    few = df.where("click_id IN (4, 5, 9)")
+    assert sorted(tuple(r) for r in click_windows.deduplicate(few).collect()) == plain(few.collect())
+
+
 def test_no_clicks(spark):
     none = click_windows.deduplicate(spark.createDataFrame([(None, None, None, 1, None, None, None)], CLICKS))
     assert none.count() == 0 and none.columns == ["click_id", "start_hour", "closed_batch", "n_repeats", "n_conflicts", "conflict_crc", "hash"]
