@@ -25,7 +25,9 @@ timers, in a second micro-batch; the results are the same.
 
 A micro-batch opens every state store anew, and Spark never frees the statistics of a
 store that it closes, native memory that no setting bounds.  So there are no more
-micro-batches than starts.
+micro-batches than starts, and the rest of an executor's memory is kept low: all Python
+of a start runs in one pool of workers, the result is read without Python, and the
+copies are cut by writers with small row groups and no dictionary of unlike values.
 
 Defined results: rows with a null click_id or arrived_at, or with click_id % 3 < 0, have no
 copies; other nulls are empty in the hash; times without a zone are UTC, hours are from
@@ -56,7 +58,7 @@ BUCKET_COPIES, LEAST_BUCKETS = 500_000, 24
 PACK_ROWS, OUT_ROWS = 32_768, 25_000
 SPOOL_BYTES = 8 << 20
 #: Copies of a batch that a writing task holds; it writes to all batches at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 HOUR_MS = 3_600_000
 NEVER = 1 << 40
@@ -66,7 +68,10 @@ COPY = np.dtype([("id", "<i8"), ("hour", "<i8"), ("crc", "<u4"), ("n", "<i8"), *
 WINDOW = np.dtype([("id", "<i8"), ("start", "<i8"), ("closed", "<i8"), ("repeats", "<i8"), ("conflicts", "<i8"), ("crc", "<i8"), *HASH])
 NAMES = [name for name, _ in HASH]
 FED = "bucket int, click_id long, hour long, crc long, hash binary"
-RESULT = "click_id long, start_hour long, closed_batch long, n_repeats long, n_conflicts long, conflict_crc long, hash string"
+CLOSED = "click_id long, start_hour long, closed_batch long, n_repeats long, n_conflicts long, conflict_crc long, hash binary"
+RESULT = CLOSED.replace("binary", "string")
+#: For columns of nearly distinct values a dictionary only costs a writer's memory.
+UNLIKE = {f"parquet.enable.dictionary#{c}": "false" for c in ("click_id", "crc", "conflict_crc", "hash")}
 
 
 def micros(df: DataFrame, name: str) -> Column:
@@ -155,12 +160,13 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed windows to rows (CLOSED)."""
     for batch in batches:
         for body in batch.column("windows"):
             w = np.frombuffer(body.as_py(), WINDOW)
-            digits = np.stack([w[k] for k in NAMES], axis=1).astype(">u8").tobytes().hex()
-            hashes = [digits[k : k + 64] for k in range(0, len(digits), 64)]
-            yield pa.RecordBatch.from_arrays([*(pa.array(w[k]) for k in ("id", "start", "closed", "repeats", "conflicts", "crc")), pa.array(hashes, pa.string())], names=[x.split()[0] for x in RESULT.split(", ")])
+            digits = np.stack([w[k] for k in NAMES], axis=1).astype(">u8").tobytes()
+            hashes = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(w), [None, pa.py_buffer(digits)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*(pa.array(w[k]) for k in ("id", "start", "closed", "repeats", "conflicts", "crc")), hashes], names=[x.split()[0] for x in CLOSED.split(", ")])
 
 
 class Windows(StatefulProcessor):
@@ -347,6 +353,7 @@ def stream(spark: SparkSession, fed: str, batch: int, horizon: int | None = None
 
 #: Settings of the streaming query, put back when its starts are over. Stores are closed after each batch: every start opens its own, each with
 #: some 4 MB of an executor's disk; the open ones share one cache. Batches are written side by side, without a sort of the copies before.
+#: Spark gives stateful workers no simplified tracebacks; asking for none elsewhere lets all stages share a pool of workers.
 SETTINGS = {
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -355,6 +362,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.execution.pyspark.udf.simplifiedTraceback.enabled": "false",
     "spark.sql.maxConcurrentOutputFileWriters": str(BATCHES),
 }
 
@@ -383,7 +392,7 @@ def deduplicate(clicks: DataFrame, announce: bool = True) -> DataFrame:
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        rows.write.option("compression", "zstd").option("parquet.block.size", BLOCK_BYTES).partitionBy("b").parquet(f"{root}/cut")
+        rows.write.options(**UNLIKE).option("compression", "zstd").option("parquet.block.size", BLOCK_BYTES).partitionBy("b").parquet(f"{root}/cut")
         most = {r.b: r.m for r in spark.read.parquet(f"{root}/cut").groupBy("b").agg(F.max("hour").alias("m")).collect()}
         for b in range(BATCHES):
             if b in most:
@@ -397,13 +406,16 @@ def deduplicate(clicks: DataFrame, announce: bool = True) -> DataFrame:
             closed = stream(spark, f"{root}/fed/*", b, horizon)
 
             def keep(df: DataFrame, epoch: int, b: int = b) -> None:
-                df.write.mode("overwrite").parquet(f"{root}/closed/{b}-{epoch}")
+                # in two steps: a worker that unpacks beside each stateful task would cost its memory
+                df.write.mode("overwrite").parquet(f"{root}/packed/{b}-{epoch}")
+                packed = df.sparkSession.read.schema("windows binary").parquet(f"{root}/packed/{b}-{epoch}")
+                packed.mapInArrow(_unpack, CLOSED).write.options(**UNLIKE).mode("overwrite").parquet(f"{root}/closed/{b}-{epoch}")
+                delete(spark, f"{root}/packed/{b}-{epoch}")
 
             query = closed.writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
             query.awaitTermination()
-        delete(spark, f"{root}/cut", f"{root}/fed", f"{root}/state")
+        delete(spark, f"{root}/cut", f"{root}/fed", f"{root}/packed", f"{root}/state")
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    # unpacked where they are read: a worker more beside each stateful task would cost its memory
-    return spark.read.schema("windows binary").parquet(f"{root}/closed/*").mapInArrow(_unpack, RESULT)
+    return spark.read.schema(CLOSED).parquet(f"{root}/closed/*").withColumn("hash", F.lower(F.hex("hash")))

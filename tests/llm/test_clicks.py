@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import math
+import os
 import zlib
 from collections import defaultdict
 
@@ -84,6 +85,32 @@ def test_a_start_is_one_micro_batch(spark, sf_dir):
     assert sorted(tuple(r) for r in click_windows.deduplicate(few).collect()) == plain(few.collect())
 
 
+def test_python_of_all_stages_shares_one_pool_of_workers(spark, sf_dir, tmp_path, monkeypatch):
+    folder, pack, unpack, setting = str(tmp_path), click_windows._pack, click_windows._unpack, "spark.sql.execution.pyspark.udf.simplifiedTraceback.enabled"
+
+    def noted(stage, run):
+        def note(batches):
+            open(f"{folder}/{stage}-{os.getppid()}", "w").close()
+            yield from run(batches)
+
+        return note
+
+    class Noted(click_windows.Windows):
+        def handleInputRows(self, key, rows, timerValues):
+            open(f"{folder}/state-{os.getppid()}", "w").close()
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(click_windows, "_pack", noted("pack", pack))
+    monkeypatch.setattr(click_windows, "_unpack", noted("unpack", unpack))
+    monkeypatch.setattr(click_windows, "Windows", Noted)
+    df, before = odd(spark, sf_dir), spark.conf.get(setting)
+    got = click_windows.deduplicate(df)
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in got.collect()) == plain(df.collect()) and spark.conf.get(setting) == before
+    stages, pools = zip(*(f.name.split("-") for f in tmp_path.iterdir()))
+    assert set(stages) == {"pack", "state", "unpack"} and len(set(pools)) == 1
+
+
 def test_no_clicks(spark):
     none = click_windows.deduplicate(spark.createDataFrame([(None, None, None, 1, None, None, None)], CLICKS))
     assert none.count() == 0 and none.columns == ["click_id", "start_hour", "closed_batch", "n_repeats", "n_conflicts", "conflict_crc", "hash"]
